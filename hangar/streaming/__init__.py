@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The warehouse is rebuilt by a full-refresh batch job: the operational
+system has no event stream, watermark, window over event time or stateful
+operator to reproduce, so this package is deliberately empty.
+"""
