@@ -40,4 +40,4 @@ def text_to_date(text: Column | str) -> Column:
 def text_to_id(text: Column | str) -> Column:
     """Numeric text (``12``, ``12.0``, `` 7 ``) to BIGINT; non-numeric -> null."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.try_cast(F.trim(text), "double").cast("bigint")
+    return F.trim(text).try_cast("double").cast("bigint")

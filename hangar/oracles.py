@@ -320,3 +320,171 @@ select manufacturer, year, 'MAREP' as "role",
   cast(1000 * round(sum(maintenancereports) / nullif(sum(flighthours), 0), 3) as decimal(10,3)) RRh,
   cast(100 * round(sum(maintenancereports) / nullif(sum(takeoffs), 0), 2) as decimal(10,2)) RRc
 from star group by manufacturer, year""")
+
+# ---- source-level queries (Q4-Q6) ----------------------------------------
+# Manufacturer by IN-lists against the lookup (the Spark code joins instead).
+SOURCE_LEVEL = """,
+airbus as (select aircraft_reg_code r from aircraft_lookup where aircraft_manufacturer = 'Airbus'),
+boeing as (select aircraft_reg_code r from aircraft_lookup where aircraft_manufacturer = 'Boeing'),
+atomic0 as (
+  select aircraftregistration, cast(year(scheduleddeparture) as varchar) as "year",
+         case when cancelled then 0
+              else epoch_us(actualarrival) - epoch_us(actualdeparture) end flight_us,
+         case when cancelled then 0 else 1 end cycles,
+         case when cancelled then 1 else 0 end cancellations,
+         case when cancelled then 0
+              when epoch_us(actualarrival) - epoch_us(scheduledarrival) > 900000000 then 1
+              else 0 end delays,
+         case when cancelled then 0
+              when epoch_us(actualarrival) - epoch_us(scheduledarrival) > 900000000
+              then epoch_us(actualarrival) - epoch_us(scheduledarrival)
+              else 0 end delay_us,
+         cast(0 as bigint) scheduled_us, cast(0 as bigint) unscheduled_us
+  from flights
+  union all
+  select aircraftregistration, cast(year(scheduleddeparture) as varchar),
+         0, 0, 0, 0, 0,
+         case when programmed
+              then epoch_us(scheduledarrival) - epoch_us(scheduleddeparture) else 0 end,
+         case when programmed then 0
+              else epoch_us(scheduledarrival) - epoch_us(scheduleddeparture) end
+  from maintenance),
+atomic as (
+  select *, case when aircraftregistration in (select r from airbus) then 'Airbus'
+                 when aircraftregistration in (select r from boeing) then 'Boeing'
+                 else aircraftregistration end manufacturer
+  from atomic0),
+src_g as (
+  select manufacturer, "year",
+         cast(sum(cast(flight_us as decimal(38,0))) as double) / 3600000000.0 H,
+         sum(cycles) T,
+         cast(sum(cast(scheduled_us as decimal(38,0))) as double) / 86400000000.0 S,
+         cast(sum(cast(unscheduled_us as decimal(38,0))) as double) / 86400000000.0 U,
+         sum(delays) D, sum(cancellations) C,
+         cast(sum(cast(delay_us as decimal(38,0))) as double) / 60000000.0 M,
+         count(distinct aircraftregistration) n
+  from atomic group by manufacturer, "year"),
+util_src as (
+  select case when aircraftregistration in (select r from airbus) then 'Airbus'
+              when aircraftregistration in (select r from boeing) then 'Boeing'
+              else aircraftregistration end manufacturer,
+         cast(year(scheduleddeparture) as varchar) as "year",
+         cast(sum(cast(case when cancelled then 0
+                  else epoch_us(actualarrival) - epoch_us(actualdeparture) end
+                  as decimal(38,0))) as double) / 3600000000.0 H,
+         sum(case when cancelled then 0 else 1 end) T
+  from flights group by 1, 2),
+rep_src as (
+  select case when aircraftregistration in (select r from airbus) then 'Airbus'
+              when aircraftregistration in (select r from boeing) then 'Boeing'
+              else aircraftregistration end manufacturer,
+         cast(year(reportingdate) as varchar) as "year", reporteurclass as "role"
+  from reports)
+"""
+
+
+def _src(name: str, body: str) -> None:
+    register(name, body, SOURCE_LEVEL)
+
+
+_src("registrations_per_manufacturer", """
+select r aircraftregistration, 'Airbus' manufacturer from airbus
+union
+select r, 'Boeing' from boeing where r not in (select r from airbus)""")
+_src("source_manufacturer", """
+select aircraftregistration,
+       case when aircraftregistration in (select r from airbus) then 'Airbus'
+            when aircraftregistration in (select r from boeing) then 'Boeing'
+            else aircraftregistration end manufacturer
+from (select aircraftregistration from flights union select aircraftregistration from maintenance
+      union select aircraftregistration from reports) x""")
+_src("source_atomic", """
+select aircraftregistration, "year", flight_us, cycles, cancellations, delays, delay_us,
+       scheduled_us, unscheduled_us, manufacturer
+from atomic""")
+_src("source_utilization", """
+select manufacturer, "year",
+  cast(round(H / nullif(n, 0), 2) as decimal(10,2)) FH,
+  cast(round((T // nullif(n, 0))::double, 2) as decimal(10,2)) TakeOff,
+  cast(round(S / nullif(n, 0), 2) as decimal(10,2)) ADOSS,
+  cast(round(U / nullif(n, 0), 2) as decimal(10,2)) ADOSU,
+  cast(round((S + U) / nullif(n, 0), 2) as decimal(10,2)) ADOS,
+  cast(365 - round((S + U) / nullif(n, 0), 2) as decimal(10,2)) ADIS,
+  cast(round(round(H / nullif(n, 0), 2)
+       / nullif((365 - round((S + U) / nullif(n, 0), 2)) * 24, 0), 2) as decimal(10,2)) DU,
+  cast(round(round((T // nullif(n, 0))::double, 2)
+       / nullif(365 - round((S + U) / nullif(n, 0), 2), 0), 2) as decimal(10,2)) DC,
+  cast(100 * round(D / nullif(T, 0), 4) as decimal(10,2)) DYR,
+  cast(100 * round(C / nullif(T, 0), 4) as decimal(10,2)) CNR,
+  cast(100 - round((100 * (D + C) // nullif(T, 0))::double, 2) as decimal(10,2)) TDR,
+  cast(100 * round(M / nullif(D, 0), 2) as decimal(10,2)) ADD
+from src_g""")
+_src("source_reporting", """
+select r.manufacturer, r."year",
+  cast(1000 * round(r.counter / nullif(u.H, 0), 3) as decimal(10,3)) RRh,
+  cast(100 * round(r.counter / nullif(u.T, 0), 2) as decimal(10,2)) RRc
+from (select manufacturer, "year", count(*) counter from rep_src group by 1, 2) r
+join util_src u on u.manufacturer = r.manufacturer and u."year" = r."year" """)
+_src("source_reporting_by_role", """
+select r.manufacturer, r."year", r."role",
+  cast(1000 * round(r.counter / nullif(u.H, 0), 3) as decimal(10,3)) RRh,
+  cast(100 * round(r.counter / nullif(u.T, 0), 2) as decimal(10,2)) RRc
+from (select manufacturer, "year", "role", count(*) counter from rep_src group by 1, 2, 3) r
+join util_src u on u.manufacturer = r.manufacturer and u."year" = r."year" """)
+
+# ---- integrity checks (C1-C3) and text coercion ----------------------------
+
+
+def _check_sql() -> tuple[str, str, str]:
+    from hangar.schemas import FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS, WAREHOUSE_SCHEMAS
+
+    cte = {"aircrafts": "aircrafts", "dates": "dates", "airports": "airports",
+           "daily_aircraft_stats": "fact_daily", "total_maintenance_reports": "fact_total"}
+    nulls, keys, refs = [], [], []
+    for name, schema in WAREHOUSE_SCHEMAS.items():
+        for f in schema:
+            if not f.nullable:
+                nulls.append(f"select 'not_null:{name}.{f.name}' rule, "
+                             f"cast(count(*) filter (where {f.name} is null) as bigint) violations "
+                             f"from {cte[name]}")
+    for kind, table_keys in (("primary_key", PRIMARY_KEYS), ("unique", UNIQUE_KEYS)):
+        for name, cols in table_keys.items():
+            c = ", ".join(cols)
+            keys.append(f"select '{kind}:{name}({','.join(cols)})' rule, count(*) violations "
+                        f"from (select {c} from {cte[name]} group by {c} having count(*) > 1) d")
+    for name, fks in FOREIGN_KEYS.items():
+        for col, parent in fks:
+            refs.append(f"select 'foreign_key:{name}.{col}->{parent}' rule, count(*) violations "
+                        f"from {cte[name]} x where not exists "
+                        f"(select 1 from {cte[parent]} p where p.{col} = x.{col})")
+    return tuple("\nunion all\n".join(parts) for parts in (nulls, keys, refs))
+
+
+_nulls_sql, _keys_sql, _refs_sql = _check_sql()
+_wh("check_nulls", _nulls_sql)
+_wh("check_keys", _keys_sql)
+_wh("check_refs", _refs_sql)
+
+ORACLES["csv_text_dates"] = """
+with t as (
+  select o_orderkey,
+         case o_orderkey % 4
+           when 0 then strftime(o_orderdate, '%Y-%m-%d')
+           when 1 then cast(year(o_orderdate) as varchar) || '-' || cast(month(o_orderdate) as varchar)
+                       || '-' || cast(day(o_orderdate) as varchar)
+           when 2 then strftime(o_orderdate, '%Y-%m-%d %H:%M')
+           else 'x' || cast(o_orderkey as varchar) end as "text"
+  from orders)
+select o_orderkey, "text", cast(try_strptime("text", '%Y-%m-%d') as date) parsed from t
+"""
+ORACLES["csv_text_ids"] = """
+with t as (
+  select o_orderkey,
+         case o_orderkey % 4
+           when 0 then cast(o_custkey as varchar)
+           when 1 then cast(o_custkey as varchar) || '.0'
+           when 2 then ' ' || cast(o_custkey as varchar) || ' '
+           else 'id' || cast(o_custkey as varchar) end as "text"
+  from orders)
+select o_orderkey, "text", cast(try_cast(trim("text") as double) as bigint) reporteurid from t
+"""

@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hangar.operators import dimensions, facts
+from hangar.operators import checks, facts
 from hangar.plans import source_kpis, warehouse_kpis
 from hangar.plans.etl import Warehouse, build
-from hangar.sources import driver_views
+from hangar.sources import driver_views, text_inputs
 from hangar.sources.readers import registrations_per_manufacturer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,3 +217,37 @@ def source_reporting(spark, sf_dir):
 def source_reporting_by_role(spark, sf_dir):
     s = _src(spark, sf_dir)
     return source_kpis.reporting_by_role(s.flights, s.reports, s.aircraft_lookup)
+
+
+# ---- integrity checks and text coercion ---------------------------------------
+
+def _tables(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return {"aircrafts": wh.aircrafts, "dates": wh.dates, "airports": wh.airports,
+            "daily_aircraft_stats": wh.daily_aircraft_stats,
+            "total_maintenance_reports": wh.total_maintenance_reports}
+
+
+@query("check_nulls")
+def check_nulls(spark, sf_dir):
+    return checks.not_null_violations(_tables(spark, sf_dir))
+
+
+@query("check_keys")
+def check_keys(spark, sf_dir):
+    return checks.key_violations(_tables(spark, sf_dir))
+
+
+@query("check_refs")
+def check_refs(spark, sf_dir):
+    return checks.reference_violations(_tables(spark, sf_dir))
+
+
+@query("csv_text_dates")
+def csv_text_dates(spark, sf_dir):
+    return text_inputs.text_dates(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
+@query("csv_text_ids")
+def csv_text_ids(spark, sf_dir):
+    return text_inputs.text_ids(spark.read.parquet(f"{sf_dir}/orders.parquet"))
