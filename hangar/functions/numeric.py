@@ -40,3 +40,31 @@ def idiv_or_null(num: Column | str, den: Column | str) -> Column:
 def to_decimal(x: Column | str, precision: int = 10, scale: int = 2) -> Column:
     """Cast an already-rounded DOUBLE to DECIMAL(p, s)."""
     return _c(x).cast(f"decimal({precision},{scale})")
+
+
+# ---- exact sums of microsecond durations -----------------------------------
+# A BIGINT sum of microseconds overflows after ~292,000 years of total
+# duration -- reachable when one key gathers a large share of 100 TB of
+# flights.  Splitting each value into whole seconds and the microsecond rest
+# keeps both partial sums far inside BIGINT while staying exact, and both
+# are plain BIGINT additions (no per-row DECIMAL arithmetic).
+_MICROS = 1_000_000
+
+
+def split_micros(us: Column | str, name: str) -> list[Column]:
+    """Two BIGINT columns ``{name}_s`` / ``{name}_r`` with us = s * 1e6 + r."""
+    us = _c(us).cast("bigint")
+    return [F.call_function("div", us, F.lit(_MICROS).cast("bigint")).alias(f"{name}_s"),
+            (us % F.lit(_MICROS)).alias(f"{name}_r")]
+
+
+def sum_split(name: str) -> list[Column]:
+    """Aggregates of the split parts (null when every input is null)."""
+    return [F.sum(f"{name}_s").alias(f"{name}_s"), F.sum(f"{name}_r").alias(f"{name}_r")]
+
+
+def split_to_double(name: str) -> Column:
+    """Recombine summed parts exactly (DECIMAL(38,0)) and convert to DOUBLE."""
+    exact = (F.col(f"{name}_s").cast("decimal(38,0)") * F.lit(_MICROS).cast("decimal(38,0)")
+             + F.col(f"{name}_r").cast("decimal(38,0)"))
+    return exact.cast("double")

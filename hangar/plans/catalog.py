@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hangar.operators import checks, facts
 from hangar.plans import source_kpis, warehouse_kpis
-from hangar.plans.etl import Warehouse, build
+from hangar.plans.etl import Warehouse, build, checkpointed
 from hangar.sources import driver_views, text_inputs
 from hangar.sources.readers import registrations_per_manufacturer
 
@@ -34,7 +34,8 @@ def _src(spark: SparkSession, sf_dir: str) -> driver_views.OperationalSources:
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return build(_src(spark, sf_dir))
+    """Warehouse stages over ``sf_dir``; shared stages are checkpointed."""
+    return build(_src(spark, sf_dir), checkpointed)
 
 
 # ---- sources ---------------------------------------------------------------

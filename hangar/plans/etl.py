@@ -13,7 +13,7 @@ import logging
 import os
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, fields
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,75 +26,133 @@ log = logging.getLogger(__name__)
 
 Materialize = Callable[[str, DataFrame], DataFrame]
 
+# stages read by more than one later stage: these are materialized
+SHARED_STAGES = ("aircrafts", "airports", "flights_clean", "dates",
+                 "daily_aircraft_stats", "total_maintenance_reports")
 
-def _lazy(_name: str, df: DataFrame) -> DataFrame:
+
+def lazy(_name: str, df: DataFrame) -> DataFrame:
+    """No materialization: one plan from the sources to the result."""
     return df
 
 
-@dataclass
+def checkpointed(_name: str, df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir``: cuts the lineage so
+    later plans start from the stored rows (and a lost executor does not
+    recompute the stage), and keeps every plan small."""
+    return df.checkpoint(eager=True)
+
+
 class Warehouse:
-    # cleaned inputs and rejects
-    flights_swapped: DataFrame
-    flights_clean: DataFrame
-    overlap_rejects: DataFrame
-    reports_known: DataFrame
-    reports_rejects: DataFrame
-    flights_dated: DataFrame
-    flight_years: DataFrame
-    maintenance_valid: DataFrame
-    reports_valid: DataFrame
-    # per-row measures
-    flight_measures: DataFrame
-    maintenance_measures: DataFrame
-    report_measures: DataFrame
-    # dimensions and facts
-    aircrafts: DataFrame
-    airports: DataFrame
-    dates: DataFrame
-    daily_aircraft_stats: DataFrame
-    total_maintenance_reports: DataFrame
-
-
-def build(src: OperationalSources, materialize: Materialize = _lazy,
+    """The warehouse as a set of lazily built stages.
+
+    Each attribute is built on first access from the stages it needs;
+    stages in ``SHARED_STAGES`` pass through ``materialize`` once.
+    """
+
+    def __init__(self, src: OperationalSources, materialize: Materialize = lazy,
+                 overlap_bucket: str = "day"):
+        self.src = src
+        self._materialize = materialize
+        self._bucket = overlap_bucket
+        self._overlap: tuple[DataFrame, DataFrame] | None = None
+
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        return self._materialize(name, df) if name in SHARED_STAGES else df
+
+    # -- dimensions from the lookups
+    @cached_property
+    def aircrafts(self) -> DataFrame:
+        return self._stage("aircrafts", dimensions.aircraft_dimension(self.src.aircraft_lookup))
+
+    @cached_property
+    def airports(self) -> DataFrame:
+        return self._stage("airports", dimensions.airport_dimension(self.src.personnel_lookup))
+
+    # -- flights: swap, then overlap removal
+    @cached_property
+    def flights_swapped(self) -> DataFrame:
+        return quality.swap_reversed_times(self.src.flights)
+
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        if self._overlap is None:
+            self._overlap = quality.split_overlapping(self.flights_swapped, self._bucket)
+        return self._overlap
+
+    @cached_property
+    def flights_clean(self) -> DataFrame:
+        return self._stage("flights_clean", self._split()[0])
+
+    @cached_property
+    def overlap_rejects(self) -> DataFrame:
+        return self._split()[1]
+
+    # -- reports on known aircraft
+    @cached_property
+    def reports_known(self) -> DataFrame:
+        return quality.split_known_aircraft(self.src.reports, self.aircrafts)[0]
+
+    @cached_property
+    def reports_rejects(self) -> DataFrame:
+        return quality.split_known_aircraft(self.src.reports, self.aircrafts)[1]
+
+    # -- flight years
+    @cached_property
+    def flights_dated(self) -> DataFrame:
+        return quality.with_flight_day(self.flights_clean)
+
+    @cached_property
+    def flight_years(self) -> DataFrame:
+        return quality.flight_years(self.flights_dated)
+
+    @cached_property
+    def maintenance_valid(self) -> DataFrame:
+        m = self.src.maintenance.withColumn("_day", F.to_date("scheduleddeparture"))
+        return quality.restrict_to_years(m, "_day", self.flight_years).drop("_day")
+
+    @cached_property
+    def reports_valid(self) -> DataFrame:
+        return quality.restrict_to_years(self.reports_known, "reportingdate", self.flight_years)
+
+    # -- per-row measures
+    @cached_property
+    def flight_measures(self) -> DataFrame:
+        return facts.flight_measures(self.flights_dated)
+
+    @cached_property
+    def maintenance_measures(self) -> DataFrame:
+        return facts.maintenance_measures(self.maintenance_valid)
+
+    @cached_property
+    def report_measures(self) -> DataFrame:
+        return facts.report_measures(self.reports_valid)
+
+    # -- date dimension and facts
+    @cached_property
+    def dates(self) -> DataFrame:
+        return self._stage("dates", dimensions.date_dimension(
+            self.flight_measures, self.maintenance_measures, self.report_measures))
+
+    @cached_property
+    def daily_aircraft_stats(self) -> DataFrame:
+        daily = facts.daily_measures(self.flight_measures, self.maintenance_measures,
+                                     self.report_measures)
+        return self._stage("daily_aircraft_stats",
+                           facts.attach_daily_keys(daily, self.aircrafts, self.dates))
+
+    @cached_property
+    def total_maintenance_reports(self) -> DataFrame:
+        rows = facts.total_maintenance_rows(
+            facts.airport_report_totals(facts.marep_counts(self.reports_valid),
+                                        self.src.personnel_lookup),
+            facts.aircraft_totals(self.flight_measures))
+        return self._stage("total_maintenance_reports",
+                           facts.attach_total_keys(rows, self.aircrafts, self.airports))
+
+
+def build(src: OperationalSources, materialize: Materialize = lazy,
           overlap_bucket: str = "day") -> Warehouse:
-    """Compose the whole warehouse; ``materialize(name, df)`` may stage a
-    DataFrame (write + read back) and return its replacement."""
-    aircrafts = materialize("aircrafts", dimensions.aircraft_dimension(src.aircraft_lookup))
-    airports = materialize("airports", dimensions.airport_dimension(src.personnel_lookup))
-
-    swapped = quality.swap_reversed_times(src.flights)
-    clean, overlap_rejects = quality.split_overlapping(swapped, overlap_bucket)
-    clean = materialize("flights_clean", clean)
-
-    known, report_rejects = quality.split_known_aircraft(src.reports, aircrafts)
-
-    dated = quality.with_flight_day(clean)
-    years = quality.flight_years(dated)
-    maint = quality.restrict_to_years(
-        src.maintenance.withColumn("_day", F.to_date("scheduleddeparture")),
-        "_day", years).drop("_day")
-    reports = quality.restrict_to_years(known, "reportingdate", years)
-
-    fm = facts.flight_measures(dated)
-    mm = facts.maintenance_measures(maint)
-    rm = facts.report_measures(reports)
-    dates = materialize("dates", dimensions.date_dimension(
-        fm, mm, rm.select("date")))
-
-    daily = facts.attach_daily_keys(facts.daily_measures(fm, mm, rm), aircrafts, dates)
-    totals = facts.total_maintenance_rows(
-        facts.airport_report_totals(facts.marep_counts(reports), src.personnel_lookup),
-        facts.aircraft_totals(fm))
-    total = facts.attach_total_keys(totals, aircrafts, airports)
-    return Warehouse(
-        flights_swapped=swapped, flights_clean=clean, overlap_rejects=overlap_rejects,
-        reports_known=known, reports_rejects=report_rejects, flights_dated=dated,
-        flight_years=years, maintenance_valid=maint, reports_valid=reports,
-        flight_measures=fm, maintenance_measures=mm, report_measures=rm,
-        aircrafts=aircrafts, airports=airports, dates=dates,
-        daily_aircraft_stats=materialize("daily_aircraft_stats", daily),
-        total_maintenance_reports=materialize("total_maintenance_reports", total),
-    )
+    return Warehouse(src, materialize, overlap_bucket)
 
 
 WAREHOUSE_TABLES = ["aircrafts", "airports", "dates", "daily_aircraft_stats",
@@ -127,6 +185,8 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
         return spark.read.parquet(path)
 
     wh = build(src, materialize, overlap_bucket)
+    for name in SHARED_STAGES:
+        getattr(wh, name)  # build (and write) every shared stage in order
     for rule, df in (("overlapping_flights", wh.overlap_rejects),
                      ("invalid_reports", wh.reports_rejects)):
         path = os.path.join(out_dir, "rejects", rule)
@@ -143,7 +203,3 @@ def open_warehouse(spark: SparkSession, out_dir: str, register_views: bool = Tru
         for name, df in tables.items():
             df.createOrReplaceTempView(name)
     return tables
-
-
-def warehouse_fields() -> list[str]:
-    return [f.name for f in fields(Warehouse)]

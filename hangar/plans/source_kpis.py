@@ -12,7 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hangar.functions.numeric import div_or_null, idiv_or_null, round_half_away as r
+from hangar.functions.numeric import (
+    div_or_null,
+    round_half_away as r,
+    split_micros,
+    split_to_double,
+    sum_split,
+)
 from hangar.functions.numeric import to_decimal as dec
 from hangar.functions.temporal import (
     MICROS_PER_DAY,
@@ -40,15 +46,14 @@ def with_manufacturer(df: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
             .drop("_maker"))
 
 
-def source_atomic(flights: DataFrame, maintenance: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
-    """U3 + P18/P19: one row per flight and per maintenance event with
-    conditional measures (durations in microseconds)."""
+def _atomic_rows(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
+    """U3 + P18/P19 without the manufacturer; ``year`` is an INT here."""
     cancelled = F.col("cancelled")
     late = micros_between("scheduledarrival", "actualarrival")
     late_counted = F.coalesce(late > DELAY_MIN_EXCLUSIVE_US, F.lit(False))
     zero = F.lit(0).cast("bigint")
     f = flights.select(
-        REG, F.year("scheduleddeparture").cast("string").alias("year"),
+        REG, F.year("scheduleddeparture").alias("year"),
         F.when(cancelled, zero).otherwise(micros_between("actualdeparture", "actualarrival"))
         .alias("flight_us"),
         F.when(cancelled, 0).otherwise(1).alias("cycles"),
@@ -60,60 +65,94 @@ def source_atomic(flights: DataFrame, maintenance: DataFrame, aircraft_lookup: D
     span = micros_between("scheduleddeparture", "scheduledarrival")
     programmed = F.coalesce(F.col("programmed"), F.lit(False))
     m = maintenance.select(
-        REG, F.year("scheduleddeparture").cast("string").alias("year"),
+        REG, F.year("scheduleddeparture").alias("year"),
         zero.alias("flight_us"), F.lit(0).alias("cycles"), F.lit(0).alias("cancellations"),
         F.lit(0).alias("delays"), zero.alias("delay_us"),
         F.when(programmed, span).otherwise(zero).alias("scheduled_us"),
         F.when(programmed, zero).otherwise(span).alias("unscheduled_us"),
     )
-    return with_manufacturer(f.unionByName(m), aircraft_lookup)
-
+    return f.unionByName(m)
 
-def _exact_sum(c: str):
-    """Exact sum of microseconds: DECIMAL(38,0) never overflows here."""
-    return F.sum(F.col(c).cast("decimal(38,0)"))
 
-
-def _per(c, unit: int):
-    return c.cast("double") / F.lit(float(unit))
+def source_atomic(flights: DataFrame, maintenance: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
+    """U3 + P18/P19: one row per flight and per maintenance event with
+    conditional measures (durations in microseconds) and its manufacturer."""
+    rows = _atomic_rows(flights, maintenance)
+    return with_manufacturer(rows.withColumn("year", F.col("year").cast("string")),
+                             aircraft_lookup)
+
+
+DURATIONS = ("flight_us", "scheduled_us", "unscheduled_us", "delay_us")
+
+
+def _by_aircraft_year(rows: DataFrame, durations: tuple[str, ...], counts: tuple[str, ...],
+                      extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Pre-aggregate atomic rows per (registration, year[, extra]) before any
+    join: map-side partial sums collapse even one very busy aircraft, and the
+    manufacturer lookup then joins a few rows per aircraft and year."""
+    split = rows.select(REG, "year", *extra_keys, *counts,
+                        *[p for d in durations for p in split_micros(d, d)])
+    return split.groupBy(REG, "year", *extra_keys).agg(
+        *[F.sum(c).alias(c) for c in counts],
+        *[p for d in durations for p in sum_split(d)])
+
+
+def _roll_up(per: DataFrame, aircraft_lookup: DataFrame, durations: tuple[str, ...],
+             counts: tuple[str, ...], extra_keys: tuple[str, ...] = (),
+             count_aircraft: bool = False) -> DataFrame:
+    """Attribute each (registration, year) to its manufacturer and sum up to
+    (manufacturer, year[, extra]); ``n`` counts the non-null registrations,
+    i.e. the distinct aircraft of the group."""
+    keyed = with_manufacturer(per, aircraft_lookup)
+    aggs = [F.sum(c).alias(c) for c in counts]
+    aggs += [p for d in durations for p in sum_split(d)]
+    if count_aircraft:
+        aggs.append(F.count(REG).alias("n"))
+    g = keyed.groupBy("manufacturer", "year", *extra_keys).agg(*aggs)
+    return g.select("manufacturer", F.col("year").cast("string").alias("year"), *extra_keys,
+                    *counts, *[split_to_double(d).alias(d) for d in durations],
+                    *(["n"] if count_aircraft else []))
 
 
 def utilization(flights: DataFrame, maintenance: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
     """Q4: utilization KPIs per (manufacturer, year) from the raw tables."""
-    g = source_atomic(flights, maintenance, aircraft_lookup).groupBy(*GROUP).agg(
-        _per(_exact_sum("flight_us"), MICROS_PER_HOUR).alias("H"),
-        F.sum("cycles").alias("T"),
-        _per(_exact_sum("scheduled_us"), MICROS_PER_DAY).alias("S"),
-        _per(_exact_sum("unscheduled_us"), MICROS_PER_DAY).alias("U"),
-        F.sum("delays").alias("D"), F.sum("cancellations").alias("C"),
-        _per(_exact_sum("delay_us"), MICROS_PER_MINUTE).alias("M"),
-        F.count_distinct(REG).alias("n"),
-    )
+    counts = ("cycles", "delays", "cancellations")
+    rows = _atomic_rows(flights, maintenance)
+    g = _roll_up(_by_aircraft_year(rows, DURATIONS, counts), aircraft_lookup, DURATIONS,
+                 counts, count_aircraft=True)
+    g = g.select(
+        *GROUP,
+        (F.col("flight_us") / F.lit(float(MICROS_PER_HOUR))).alias("H"),
+        F.col("cycles").alias("T"),
+        (F.col("scheduled_us") / F.lit(float(MICROS_PER_DAY))).alias("S"),
+        (F.col("unscheduled_us") / F.lit(float(MICROS_PER_DAY))).alias("U"),
+        F.col("delays").alias("D"), F.col("cancellations").alias("C"),
+        (F.col("delay_us") / F.lit(float(MICROS_PER_MINUTE))).alias("M"),
+        "n")
     return utilization_from_sums(g).orderBy(*GROUP)
 
 
 def flight_totals(flights: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
     """Per (manufacturer, year of scheduled departure) flown hours and cycles."""
     cancelled = F.col("cancelled")
-    rows = with_manufacturer(
-        flights.select(
-            REG, F.year("scheduleddeparture").cast("string").alias("year"),
-            F.when(cancelled, F.lit(0).cast("bigint"))
-            .otherwise(micros_between("actualdeparture", "actualarrival")).alias("flight_us"),
-            F.when(cancelled, 0).otherwise(1).alias("cycles")),
-        aircraft_lookup)
-    return rows.groupBy(*GROUP).agg(
-        _per(_exact_sum("flight_us"), MICROS_PER_HOUR).alias("H"), F.sum("cycles").alias("T"))
+    rows = flights.select(
+        REG, F.year("scheduleddeparture").alias("year"),
+        F.when(cancelled, F.lit(0).cast("bigint"))
+        .otherwise(micros_between("actualdeparture", "actualarrival")).alias("flight_us"),
+        F.when(cancelled, 0).otherwise(1).alias("cycles"))
+    per = _by_aircraft_year(rows, ("flight_us",), ("cycles",))
+    g = _roll_up(per, aircraft_lookup, ("flight_us",), ("cycles",))
+    return g.select(*GROUP, (F.col("flight_us") / F.lit(float(MICROS_PER_HOUR))).alias("H"),
+                    F.col("cycles").alias("T"))
 
 
 def report_counts(reports: DataFrame, aircraft_lookup: DataFrame, by_role: bool) -> DataFrame:
     """Reports of every class per (manufacturer, year[, role])."""
-    rows = with_manufacturer(
-        reports.select(REG, F.year("reportingdate").cast("string").alias("year"),
-                       F.col("reporteurclass").alias("role")),
-        aircraft_lookup)
-    keys = GROUP + (["role"] if by_role else [])
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("counter"))
+    extra = ("role",) if by_role else ()
+    rows = reports.select(REG, F.year("reportingdate").alias("year"),
+                          F.col("reporteurclass").alias("role"), F.lit(1).alias("counter"))
+    per = _by_aircraft_year(rows, (), ("counter",), extra)
+    return _roll_up(per, aircraft_lookup, (), ("counter",), extra)
 
 
 def _rates(counts: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:

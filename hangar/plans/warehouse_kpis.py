@@ -25,17 +25,25 @@ def star(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataF
             .join(date_dim.select("dateid", "year"), "dateid"))
 
 
-def _sums(rows: DataFrame, distinct_aircraft: bool = True) -> DataFrame:
-    aggs = [
-        F.sum("flighthours").alias("H"), F.sum("takeoffs").alias("T"),
-        F.sum("ADOSS").alias("S"), F.sum("ADOSU").alias("U"),
-        F.sum("delays").alias("D"), F.sum("cancellations").alias("C"),
-        F.sum("delayduration").alias("M"),
-        F.sum("pilotreports").alias("P"), F.sum("maintenancereports").alias("R"),
-    ]
-    if distinct_aircraft:
-        aggs.append(F.count_distinct("aircraftid").alias("n"))
-    return rows.groupBy(*GROUP).agg(*aggs)
+_MEASURES = {"H": "flighthours", "T": "takeoffs", "S": "ADOSS", "U": "ADOSU", "D": "delays",
+             "C": "cancellations", "M": "delayduration", "P": "pilotreports",
+             "R": "maintenancereports"}
+
+
+def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Per (manufacturer, year): the nine measure sums and ``n``, the number
+    of distinct aircraft with a fact row.
+
+    Aggregates per (aircraft, year) first -- only the date dimension is
+    needed for that -- so the manufacturer join sees one row per aircraft
+    and year and the distinct count becomes a plain count.
+    """
+    per = (fact.join(date_dim.select("dateid", "year"), "dateid")
+           .groupBy("aircraftid", "year")
+           .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
+    return (per.join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid")
+            .groupBy(*GROUP)
+            .agg(*[F.sum(k).alias(k) for k in _MEASURES], F.count(F.lit(1)).alias("n")))
 
 
 def utilization_from_sums(g: DataFrame) -> DataFrame:
@@ -64,12 +72,12 @@ def utilization_from_sums(g: DataFrame) -> DataFrame:
 
 def utilization(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Q1: utilization KPIs per manufacturer and year (14 columns)."""
-    return utilization_from_sums(_sums(star(fact, aircraft_dim, date_dim))).orderBy(*GROUP)
+    return utilization_from_sums(_sums(fact, aircraft_dim, date_dim)).orderBy(*GROUP)
 
 
 def reporting(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Q2: reports per 1000 flight hours (RRh) and per 100 cycles (RRc)."""
-    g = _sums(star(fact, aircraft_dim, date_dim), distinct_aircraft=False)
+    g = _sums(fact, aircraft_dim, date_dim)
     reports = F.col("P") + F.col("R")
     return g.select(
         *GROUP,
@@ -84,7 +92,7 @@ def reporting_by_role(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFr
     One aggregation yields both roles' rates; ``unpivot`` turns them into
     rows (instead of scanning the fact once per role).
     """
-    g = _sums(star(fact, aircraft_dim, date_dim), distinct_aircraft=False)
+    g = _sums(fact, aircraft_dim, date_dim)
 
     def rates(col: str) -> F.Column:
         return F.struct(
