@@ -68,3 +68,28 @@ def split_to_double(name: str) -> Column:
     exact = (F.col(f"{name}_s").cast("decimal(38,0)") * F.lit(_MICROS).cast("decimal(38,0)")
              + F.col(f"{name}_r").cast("decimal(38,0)"))
     return exact.cast("double")
+
+
+# ---- the same arithmetic as SQL text ---------------------------------------
+# KPI formulas nest dozens of operators; building them as SQL expression text
+# costs one JVM call per output column instead of one per operator node.
+
+def r_sql(x: str, digits: int) -> str:
+    """SQL text of ``round_half_away``."""
+    scale = f"{float(10**digits)!r}D"
+    return f"(round(({x}) * {scale}, 0) / {scale})"
+
+
+def div_sql(num: str, den: str) -> str:
+    """SQL text of ``div_or_null``."""
+    return f"try_divide(cast(({num}) as double), cast(({den}) as double))"
+
+
+def idiv_sql(num: str, den: str) -> str:
+    """SQL text of ``idiv_or_null``."""
+    return (f"(CASE WHEN cast(({den}) as bigint) <> 0 "
+            f"THEN cast(({num}) as bigint) div cast(({den}) as bigint) END)")
+
+
+def dec_sql(x: str, precision: int = 10, scale: int = 2) -> str:
+    return f"cast(({x}) as decimal({precision},{scale}))"

@@ -12,21 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hangar.functions.numeric import (
-    div_or_null,
-    round_half_away as r,
-    split_micros,
-    split_to_double,
-    sum_split,
-)
-from hangar.functions.numeric import to_decimal as dec
+from hangar.functions.numeric import split_micros, split_to_double, sum_split
 from hangar.functions.temporal import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
     MICROS_PER_MINUTE,
     micros_between,
 )
-from hangar.plans.warehouse_kpis import utilization_from_sums
+from hangar.plans.warehouse_kpis import rate_sql, utilization_from_sums
 from hangar.sources.readers import registrations_per_manufacturer
 
 REG = "aircraftregistration"
@@ -157,10 +150,10 @@ def report_counts(reports: DataFrame, aircraft_lookup: DataFrame, by_role: bool)
 
 def _rates(counts: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
     """J12 (inner join on manufacturer and year) + the two rates."""
-    return counts.join(totals, GROUP).select(
+    return counts.join(totals, GROUP).selectExpr(
         *keys,
-        dec(F.lit(1000.0) * r(div_or_null("counter", "H"), 3), 10, 3).alias("RRh"),
-        dec(F.lit(100.0) * r(div_or_null("counter", "T"), 2), 10, 2).alias("RRc"),
+        f"{rate_sql('counter', 'H', 1000.0, 3, 3)} AS RRh",
+        f"{rate_sql('counter', 'T', 100.0, 2, 2)} AS RRc",
     ).orderBy(*keys)
 
 

@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hangar.functions.numeric import div_or_null, idiv_or_null, round_half_away as r
-from hangar.functions.numeric import to_decimal as dec
+from hangar.functions.numeric import dec_sql as dec
+from hangar.functions.numeric import div_sql as div
+from hangar.functions.numeric import idiv_sql as idiv
+from hangar.functions.numeric import r_sql as r
 
 GROUP = ["manufacturer", "year"]
 
@@ -30,14 +32,20 @@ _MEASURES = {"H": "flighthours", "T": "takeoffs", "S": "ADOSS", "U": "ADOSU", "D
              "R": "maintenancereports"}
 
 
-def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
-    """Per (manufacturer, year): the nine measure sums and ``n``, the number
-    of distinct aircraft with a fact row.
+def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame,
+          count_aircraft: bool = True) -> DataFrame:
+    """Per (manufacturer, year): the nine measure sums and, if asked, ``n``,
+    the number of distinct aircraft with a fact row.
 
-    Aggregates per (aircraft, year) first -- only the date dimension is
-    needed for that -- so the manufacturer join sees one row per aircraft
-    and year and the distinct count becomes a plain count.
+    Without ``n`` this is one aggregation over the star join (partial sums
+    before the only shuffle).  With ``n`` it aggregates per (aircraft, year)
+    first -- only the date dimension is needed for that -- so the
+    manufacturer join sees one row per aircraft and year and the distinct
+    count becomes a plain count.
     """
+    if not count_aircraft:
+        return (star(fact, aircraft_dim, date_dim).groupBy(*GROUP)
+                .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
     per = (fact.join(date_dim.select("dateid", "year"), "dateid")
            .groupBy("aircraftid", "year")
            .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
@@ -48,28 +56,32 @@ def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> Data
 
 def utilization_from_sums(g: DataFrame) -> DataFrame:
     """K1-K12 from per-group sums H T S U D C M and aircraft count n."""
-    H, T, S, U, D, C, M, n = (F.col(c) for c in "HTSUDCMn")
-    fh = r(div_or_null(H, n), 2)
-    takeoff = r(idiv_or_null(T, n).cast("double"), 2)
-    ados = r(div_or_null(S + U, n), 2)
-    adis = F.lit(365.0) - ados
-    return g.select(
+    fh = r(div("H", "n"), 2)
+    takeoff = r(f"cast({idiv('T', 'n')} as double)", 2)
+    ados = r(div("S + U", "n"), 2)
+    adis = f"(365.0D - {ados})"
+    return g.selectExpr(
         *GROUP,
-        dec(fh).alias("FH"),
-        dec(takeoff).alias("TakeOff"),
-        dec(r(div_or_null(S, n), 2)).alias("ADOSS"),
-        dec(r(div_or_null(U, n), 2)).alias("ADOSU"),
-        dec(ados).alias("ADOS"),
-        dec(adis).alias("ADIS"),
-        dec(r(div_or_null(fh, adis * 24), 2)).alias("DU"),
-        dec(r(div_or_null(takeoff, adis), 2)).alias("DC"),
-        dec(F.lit(100.0) * r(div_or_null(D, T), 4)).alias("DYR"),
-        dec(F.lit(100.0) * r(div_or_null(C, T), 4)).alias("CNR"),
-        dec(F.lit(100.0) - r(idiv_or_null(F.lit(100) * (D + C), T).cast("double"), 2)).alias("TDR"),
-        dec(F.lit(100.0) * r(div_or_null(M, D), 2)).alias("ADD"),
+        f"{dec(fh)} AS FH",
+        f"{dec(takeoff)} AS TakeOff",
+        f"{dec(r(div('S', 'n'), 2))} AS ADOSS",
+        f"{dec(r(div('U', 'n'), 2))} AS ADOSU",
+        f"{dec(ados)} AS ADOS",
+        f"{dec(adis)} AS ADIS",
+        f"{dec(r(div(fh, f'{adis} * 24'), 2))} AS DU",
+        f"{dec(r(div(takeoff, adis), 2))} AS DC",
+        f"{dec('100.0D * ' + r(div('D', 'T'), 4))} AS DYR",
+        f"{dec('100.0D * ' + r(div('C', 'T'), 4))} AS CNR",
+        f"{dec('100.0D - ' + r(f'cast({idiv('100 * (D + C)', 'T')} as double)', 2))} AS TDR",
+        f"{dec('100.0D * ' + r(div('M', 'D'), 2))} AS ADD",
     )
 
 
+def rate_sql(reports: str, per: str, scale: float, digits: int, precision_scale: int) -> str:
+    """``scale * round(reports / per, digits)`` as DECIMAL(10, precision_scale)."""
+    return dec(f"{scale!r}D * {r(div(reports, per), digits)}", 10, precision_scale)
+
+
 def utilization(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Q1: utilization KPIs per manufacturer and year (14 columns)."""
     return utilization_from_sums(_sums(fact, aircraft_dim, date_dim)).orderBy(*GROUP)
@@ -77,12 +89,11 @@ def utilization(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -
 
 def reporting(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Q2: reports per 1000 flight hours (RRh) and per 100 cycles (RRc)."""
-    g = _sums(fact, aircraft_dim, date_dim)
-    reports = F.col("P") + F.col("R")
-    return g.select(
+    g = _sums(fact, aircraft_dim, date_dim, count_aircraft=False)
+    return g.selectExpr(
         *GROUP,
-        dec(F.lit(1000.0) * r(div_or_null(reports, "H"), 3), 10, 3).alias("RRh"),
-        dec(F.lit(100.0) * r(div_or_null(reports, "T"), 2), 10, 2).alias("RRc"),
+        f"{rate_sql('P + R', 'H', 1000.0, 3, 3)} AS RRh",
+        f"{rate_sql('P + R', 'T', 100.0, 2, 2)} AS RRc",
     ).orderBy(*GROUP)
 
 
@@ -92,15 +103,13 @@ def reporting_by_role(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFr
     One aggregation yields both roles' rates; ``unpivot`` turns them into
     rows (instead of scanning the fact once per role).
     """
-    g = _sums(fact, aircraft_dim, date_dim)
+    g = _sums(fact, aircraft_dim, date_dim, count_aircraft=False)
 
-    def rates(col: str) -> F.Column:
-        return F.struct(
-            dec(F.lit(1000.0) * r(div_or_null(col, "H"), 3), 10, 3).alias("RRh"),
-            dec(F.lit(100.0) * r(div_or_null(col, "T"), 2), 10, 2).alias("RRc"),
-        )
+    def rates(col: str) -> str:
+        return (f"named_struct('RRh', {rate_sql(col, 'H', 1000.0, 3, 3)}, "
+                f"'RRc', {rate_sql(col, 'T', 100.0, 2, 2)})")
 
-    wide = g.select(*GROUP, rates("P").alias("PIREP"), rates("R").alias("MAREP"))
+    wide = g.selectExpr(*GROUP, f"{rates('P')} AS PIREP", f"{rates('R')} AS MAREP")
     return (
         wide.unpivot(GROUP, ["PIREP", "MAREP"], "role", "rates")
         .select(*GROUP, "role", "rates.RRh", "rates.RRc")
