@@ -33,9 +33,19 @@ def _src(spark: SparkSession, sf_dir: str) -> driver_views.OperationalSources:
     return driver_views.load(spark, sf_dir)
 
 
+_BUILT: dict[tuple[str, str], Warehouse] = {}
+
+
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Warehouse stages over ``sf_dir``; shared stages are checkpointed."""
-    return build(_src(spark, sf_dir), checkpointed)
+    """Warehouse stages over ``sf_dir``; shared stages are checkpointed.
+
+    One build per (application, folder): later queries of the same session
+    start from the checkpointed stages instead of rebuilding them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _BUILT:
+        _BUILT[key] = build(_src(spark, sf_dir), checkpointed)
+    return _BUILT[key]
 
 
 # ---- sources ---------------------------------------------------------------
