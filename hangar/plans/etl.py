@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hangar.operators import dimensions, facts, quality
 from hangar.sources.driver_views import OperationalSources
-from hangar.session import staging_path
+from hangar.session import ensure_checkpoint_dir, staging_path
 
 log = logging.getLogger(__name__)
 
@@ -40,6 +40,7 @@ def checkpointed(_name: str, df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir``: cuts the lineage so
     later plans start from the stored rows (and a lost executor does not
     recompute the stage), and keeps every plan small."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
