@@ -116,35 +116,52 @@ def daily_reports(measures: DataFrame) -> DataFrame:
 
 # ---- D4: daily fact ----------------------------------------------------------
 
-def daily_measures(flights_m: DataFrame, maint_m: DataFrame, reports_m: DataFrame) -> DataFrame:
-    """J4/J5/P16 in union form: one row per (day, aircraft) present in any input.
+SUM_COLUMNS = ["takeoffs", "flight_us", "scheduled_us", "unscheduled_us", "delays",
+               "cancellations", "delay_us", "pilotreports", "maintenancereports"]
+
+
+def daily_sums(flights_m: DataFrame, maint_m: DataFrame, reports_m: DataFrame) -> DataFrame:
+    """J4/J5 in union form: one row per (day, registration) present in any
+    input, with exact BIGINT sums (durations in microseconds).
 
-    All measures are additive with "missing = 0", so the three full outer
-    joins equal a union of zero-padded rows followed by ONE aggregation
-    (one shuffle, partial aggregation before it).
+    All measures are additive with "missing = 0", so the full outer joins of
+    the three daily aggregates equal a union of zero-padded rows followed by
+    ONE aggregation (one shuffle, partial aggregation before it).  Rows
+    without a registration are kept as their own groups: they still place
+    their day in the date dimension but never reach a fact.
     """
     zero = F.lit(0).cast("bigint")
-    cols = ["flight_us", "takeoffs", "delay_us", "delays", "cancellations",
-            "scheduled_us", "unscheduled_us", "pilotreports", "maintenancereports"]
 
     def pad(df: DataFrame) -> DataFrame:
-        return df.where(F.col(REG).isNotNull()).select(
-            *KEYS, *[(F.col(c) if c in df.columns else zero).cast("bigint").alias(c) for c in cols])
+        return df.select(*KEYS, *[(F.col(c) if c in df.columns else zero).cast("bigint").alias(c)
+                                  for c in SUM_COLUMNS])
 
     rows = pad(flights_m).unionByName(pad(maint_m)).unionByName(pad(reports_m))
-    return rows.groupBy(*KEYS).agg(
-        F.sum("takeoffs").cast("int").alias("takeoffs"),
-        _real(F.sum("flight_us"), MICROS_PER_HOUR).alias("flighthours"),
-        _real(F.sum("scheduled_us"), MICROS_PER_DAY).alias("ADOSS"),
-        _real(F.sum("unscheduled_us"), MICROS_PER_DAY).alias("ADOSU"),
-        F.sum("delays").cast("int").alias("delays"),
-        F.sum("cancellations").cast("int").alias("cancellations"),
-        _real(F.sum("delay_us"), MICROS_PER_MINUTE).alias("delayduration"),
-        F.sum("pilotreports").cast("int").alias("pilotreports"),
-        F.sum("maintenancereports").cast("int").alias("maintenancereports"),
+    return rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUM_COLUMNS])
+
+
+def fact_measures(sums: DataFrame) -> DataFrame:
+    """The nine fact measures from ``daily_sums`` (INT counts, REAL
+    hours/days/minutes), only for rows with a registration."""
+    return sums.where(F.col(REG).isNotNull()).select(
+        *KEYS,
+        F.col("takeoffs").cast("int").alias("takeoffs"),
+        _real(F.col("flight_us"), MICROS_PER_HOUR).alias("flighthours"),
+        _real(F.col("scheduled_us"), MICROS_PER_DAY).alias("ADOSS"),
+        _real(F.col("unscheduled_us"), MICROS_PER_DAY).alias("ADOSU"),
+        F.col("delays").cast("int").alias("delays"),
+        F.col("cancellations").cast("int").alias("cancellations"),
+        _real(F.col("delay_us"), MICROS_PER_MINUTE).alias("delayduration"),
+        F.col("pilotreports").cast("int").alias("pilotreports"),
+        F.col("maintenancereports").cast("int").alias("maintenancereports"),
     )
 
 
+def daily_measures(flights_m: DataFrame, maint_m: DataFrame, reports_m: DataFrame) -> DataFrame:
+    """D4 before key lookup: fact measures per (day, aircraft)."""
+    return fact_measures(daily_sums(flights_m, maint_m, reports_m))
+
+
 def daily_measures_join_form(flights_m: DataFrame, maint_m: DataFrame,
                              reports_m: DataFrame) -> DataFrame:
     """The same rows as ``daily_measures`` by the original route: aggregate
@@ -173,7 +190,8 @@ def attach_daily_keys(daily: DataFrame, aircraft_dim: DataFrame, date_dim: DataF
 # ---- D5: total maintenance reports per airport -------------------------------
 
 def aircraft_totals(flights_m: DataFrame) -> DataFrame:
-    """A4: per aircraft, all takeoffs and flown hours."""
+    """A4: per aircraft, all takeoffs and flown hours (from per-flight
+    measures or from ``daily_sums``; both carry takeoffs and flight_us)."""
     return (
         flights_m.where(F.col(REG).isNotNull()).groupBy(REG)
         .agg(F.sum("takeoffs").alias("takeoffs"), F.sum("flight_us").alias("flight_us"))

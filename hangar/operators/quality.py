@@ -73,22 +73,26 @@ def flight_order() -> list[Column]:
             F.col(SDEP).asc_nulls_last(), F.col(SARR).asc_nulls_last()]
 
 
-def split_overlapping(flights: DataFrame, bucket: str = "day") -> tuple[DataFrame, DataFrame]:
-    """Remove every flown flight that is still in the air when the next one
-    of the same aircraft departs; return ``(clean, rejects)``.
+OVERLAPS = "overlaps"
+
+
+def mark_overlapping(flights: DataFrame, bucket: str = "day") -> DataFrame:
+    """All flights plus a boolean ``overlaps``: true for every flown flight
+    that is still in the air when the next one of the same aircraft departs.
 
     Flights of an aircraft are ordered by actual departure (then arrival and
-    the scheduled times to break ties).  A flight is dropped when its arrival
+    the scheduled times to break ties).  A flight overlaps when its arrival
     is strictly later than the departure of the flight right after it, with
     neighbours taken from the original order (one pass).  Cancelled flights,
     flights without registration and flights without actual departure never
-    take part and are never dropped; a null arrival never overlaps.
+    take part and never overlap; a null arrival never overlaps.
 
     Scale: the "next departure" is a ``lead`` over a window partitioned by
     (aircraft, ``bucket`` of departure) -- so one busy aircraft is spread over
     many tasks -- and the last flight of each bucket takes the first
     departure of the aircraft's next non-empty bucket from a per-bucket
-    summary (one row per aircraft and bucket, pre-aggregated map-side).
+    summary (one row per aircraft and bucket, pre-aggregated map-side; per
+    aircraft it has at most one row per day or hour of history).
     ``bucket`` is ``"day"`` or ``"hour"``.
     """
     unit = {"day": "DAY", "hour": "HOUR"}[bucket]
@@ -97,7 +101,7 @@ def split_overlapping(flights: DataFrame, bucket: str = "day") -> tuple[DataFram
         (~F.col(CANCELLED)) & F.col(REG).isNotNull() & F.col(DEP).isNotNull(), F.lit(False)
     )
     flown = flights.where(takes_part).withColumn("_bucket", F.date_trunc(unit, F.col(DEP)))
-    others = flights.where(~takes_part)
+    others = flights.where(~takes_part).withColumn(OVERLAPS, F.lit(False))
 
     within = Window.partitionBy(REG, "_bucket").orderBy(*flight_order())
     next_bucket = (
@@ -111,14 +115,21 @@ def split_overlapping(flights: DataFrame, bucket: str = "day") -> tuple[DataFram
         flown.withColumn("_next", F.lead(DEP).over(within))
         .join(next_bucket, [REG, "_bucket"], "left")
         .withColumn(
-            "_overlaps",
+            OVERLAPS,
             F.coalesce(F.col(ARR) > F.coalesce(F.col("_next"), F.col("_next_first")),
                        F.lit(False)),
         )
+        .select(*cols, OVERLAPS)
     )
-    clean = marked.where(~F.col("_overlaps")).select(*cols).unionByName(others)
-    rejects = marked.where(F.col("_overlaps")).select(*cols)
-    return clean, rejects
+    return marked.unionByName(others)
+
+
+def split_overlapping(flights: DataFrame, bucket: str = "day") -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejects)`` of ``mark_overlapping``.  The pipeline stages the
+    marked flights once and filters them twice instead."""
+    marked = mark_overlapping(flights, bucket)
+    return (marked.where(~F.col(OVERLAPS)).drop(OVERLAPS),
+            marked.where(F.col(OVERLAPS)).drop(OVERLAPS))
 
 
 # ---- J1/J2: reports on known aircraft ----------------------------------------

@@ -27,7 +27,7 @@ log = logging.getLogger(__name__)
 Materialize = Callable[[str, DataFrame], DataFrame]
 
 # stages read by more than one later stage: these are materialized
-SHARED_STAGES = ("aircrafts", "airports", "flights_clean", "dates",
+SHARED_STAGES = ("aircrafts", "airports", "flights_marked", "daily_sums", "dates",
                  "daily_aircraft_stats", "total_maintenance_reports")
 
 
@@ -56,7 +56,6 @@ class Warehouse:
         self.src = src
         self._materialize = materialize
         self._bucket = overlap_bucket
-        self._overlap: tuple[DataFrame, DataFrame] | None = None
 
     def _stage(self, name: str, df: DataFrame) -> DataFrame:
         return self._materialize(name, df) if name in SHARED_STAGES else df
@@ -75,18 +74,20 @@ class Warehouse:
     def flights_swapped(self) -> DataFrame:
         return quality.swap_reversed_times(self.src.flights)
 
-    def _split(self) -> tuple[DataFrame, DataFrame]:
-        if self._overlap is None:
-            self._overlap = quality.split_overlapping(self.flights_swapped, self._bucket)
-        return self._overlap
+    @cached_property
+    def flights_marked(self) -> DataFrame:
+        """Every flight once, flagged ``overlaps`` (staged: both the clean
+        flights and the rejects are filters of it)."""
+        return self._stage("flights_marked",
+                           quality.mark_overlapping(self.flights_swapped, self._bucket))
 
     @cached_property
     def flights_clean(self) -> DataFrame:
-        return self._stage("flights_clean", self._split()[0])
+        return self.flights_marked.where(~F.col(quality.OVERLAPS)).drop(quality.OVERLAPS)
 
     @cached_property
     def overlap_rejects(self) -> DataFrame:
-        return self._split()[1]
+        return self.flights_marked.where(F.col(quality.OVERLAPS)).drop(quality.OVERLAPS)
 
     # -- reports on known aircraft
     @cached_property
@@ -128,25 +129,29 @@ class Warehouse:
     def report_measures(self) -> DataFrame:
         return facts.report_measures(self.reports_valid)
 
-    # -- date dimension and facts
+    # -- daily sums, date dimension and facts
     @cached_property
-    def dates(self) -> DataFrame:
-        return self._stage("dates", dimensions.date_dimension(
+    def daily_sums(self) -> DataFrame:
+        """One row per (day, registration) of any input (staged: the date
+        dimension, the daily fact and the aircraft totals all read it)."""
+        return self._stage("daily_sums", facts.daily_sums(
             self.flight_measures, self.maintenance_measures, self.report_measures))
 
+    @cached_property
+    def dates(self) -> DataFrame:
+        return self._stage("dates", dimensions.date_dimension(self.daily_sums))
+
     @cached_property
     def daily_aircraft_stats(self) -> DataFrame:
-        daily = facts.daily_measures(self.flight_measures, self.maintenance_measures,
-                                     self.report_measures)
-        return self._stage("daily_aircraft_stats",
-                           facts.attach_daily_keys(daily, self.aircrafts, self.dates))
+        return self._stage("daily_aircraft_stats", facts.attach_daily_keys(
+            facts.fact_measures(self.daily_sums), self.aircrafts, self.dates))
 
     @cached_property
     def total_maintenance_reports(self) -> DataFrame:
         rows = facts.total_maintenance_rows(
             facts.airport_report_totals(facts.marep_counts(self.reports_valid),
                                         self.src.personnel_lookup),
-            facts.aircraft_totals(self.flight_measures))
+            facts.aircraft_totals(self.daily_sums))
         return self._stage("total_maintenance_reports",
                            facts.attach_total_keys(rows, self.aircrafts, self.airports))
 
@@ -169,6 +174,7 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
     rejects to ``out_dir/<table>`` and ``out_dir/rejects/<rule>``.  Returns
     the written paths by table name.
     """
+    spark.sparkContext.setJobDescription("hangar refresh: preconditions")
     quality.require_no_nulls(src.flights, ["cancelled"], "flights")
     quality.require_no_nulls(src.maintenance, ["programmed"], "maintenance")
     quality.require_no_nulls(src.reports, ["aircraftregistration"], "reports")
@@ -181,6 +187,7 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
             path = os.path.join(out_dir, name)
         else:
             path = staging_path(spark, name, run)
+        spark.sparkContext.setJobDescription(f"hangar refresh: {name}")
         df.write.mode("overwrite").parquet(path)
         written[name] = path
         return spark.read.parquet(path)
@@ -191,8 +198,10 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
     for rule, df in (("overlapping_flights", wh.overlap_rejects),
                      ("invalid_reports", wh.reports_rejects)):
         path = os.path.join(out_dir, "rejects", rule)
+        spark.sparkContext.setJobDescription(f"hangar refresh: rejects {rule}")
         df.write.mode("overwrite").option("header", True).csv(path)
         written[f"rejects/{rule}"] = path
+    spark.sparkContext.setJobDescription(None)
     log.info("warehouse refreshed under %s", out_dir)
     return written
 
