@@ -13,11 +13,18 @@ MICROS_PER_DAY = 86_400_000_000
 def micros_between(start: str, end: str) -> Column:
     """``end - start`` in whole microseconds (null if either side is null).
 
-    Works on TIMESTAMP_NTZ, which ``unix_micros`` rejects.  Summing the exact
-    integer and dividing once keeps aggregates independent of row order.
-    Arguments are column names.
+    Wall-clock difference of two TIMESTAMP_NTZ values: the day-time interval
+    ``end - start`` is taken apart field by field, which involves no time
+    zone (``timestampdiff`` on TIMESTAMP_NTZ goes through the session zone
+    and is off by the DST shift across a transition; ``unix_micros`` rejects
+    TIMESTAMP_NTZ).  Summing the exact integer and dividing once keeps
+    aggregates independent of row order.  Arguments are column names.
     """
-    return F.expr(f"timestampdiff(MICROSECOND, `{start}`, `{end}`)")
+    iv = f"(`{end}` - `{start}`)"
+    return F.expr(
+        f"extract(DAY FROM {iv}) * 86400000000L + extract(HOUR FROM {iv}) * 3600000000L"
+        f" + extract(MINUTE FROM {iv}) * 60000000L"
+        f" + cast(extract(SECOND FROM {iv}) * 1000000 as bigint)")
 
 
 def day_of(ts: Column | str) -> Column:

@@ -95,12 +95,16 @@ def mark_overlapping(flights: DataFrame, bucket: str = "day") -> DataFrame:
     aircraft it has at most one row per day or hour of history).
     ``bucket`` is ``"day"`` or ``"hour"``.
     """
-    unit = {"day": "DAY", "hour": "HOUR"}[bucket]
+    if bucket not in ("day", "hour"):
+        raise ValueError(f"bucket must be 'day' or 'hour', not {bucket!r}")
+    # integer bucket of the wall-clock departure; no time zone is involved
+    day = F.datediff(F.to_date(F.col(DEP)), F.lit("1970-01-01").cast("date"))
+    key = day if bucket == "day" else day * 24 + F.hour(F.col(DEP))
     cols = flights.columns
     takes_part = F.coalesce(
         (~F.col(CANCELLED)) & F.col(REG).isNotNull() & F.col(DEP).isNotNull(), F.lit(False)
     )
-    flown = flights.where(takes_part).withColumn("_bucket", F.date_trunc(unit, F.col(DEP)))
+    flown = flights.where(takes_part).withColumn("_bucket", key)
     others = flights.where(~takes_part).withColumn(OVERLAPS, F.lit(False))
 
     within = Window.partitionBy(REG, "_bucket").orderBy(*flight_order())

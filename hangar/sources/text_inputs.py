@@ -16,9 +16,12 @@ from hangar.functions.temporal import text_to_date, text_to_id
 
 def text_dates(orders: DataFrame) -> DataFrame:
     k, d = F.col("o_orderkey") % 4, F.col("o_orderdate")
-    text = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
-            .when(k == 1, F.date_format(d, "yyyy-M-d"))
-            .when(k == 2, F.date_format(d, "yyyy-MM-dd HH:mm"))
+    iso = d.cast("string")  # TIMESTAMP_NTZ renders its wall clock, no time zone
+    unpadded = F.concat_ws("-", F.year(d).cast("string"), F.month(d).cast("string"),
+                           F.dayofmonth(d).cast("string"))
+    text = (F.when(k == 0, F.substring(iso, 1, 10))
+            .when(k == 1, unpadded)
+            .when(k == 2, F.substring(iso, 1, 16))
             .otherwise(F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))))
     return orders.select("o_orderkey", text.alias("text")).withColumn(
         "parsed", text_to_date("text"))

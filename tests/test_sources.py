@@ -75,3 +75,19 @@ def test_broadcast_if_small(spark):
     small = spark.range(10)
     assert broadcast_if_small(small, 100) is not small
     assert broadcast_if_small(small, 5) is small
+
+
+def test_durations_ignore_the_session_time_zone(spark):
+    """Wall-clock differences across a DST transition of the session zone."""
+    from hangar.functions.temporal import micros_between
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # DST began at 00:00
+    try:
+        df = spark.sql("select timestamp_ntz'1997-10-05 23:30:00' a, "
+                       "timestamp_ntz'1997-10-06 00:30:00.000001' b")
+        row = df.select(micros_between("a", "b").alias("ab"),
+                        micros_between("b", "a").alias("ba")).first()
+        assert (row.ab, row.ba) == (3_600_000_001, -3_600_000_001)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
