@@ -1,7 +1,7 @@
 """Benchmark: ETL full refresh + the six KPI queries at one scale factor.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_REPEAT (default 3; best of N per query).
+(default 8), BENCH_REPEAT (default 5; best of N per query).
 
 Steps (one Spark session, like a long-running warehouse service):
 1. extract: the operational sources are derived from the driver tables and
@@ -37,7 +37,7 @@ def _timed(fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = local_session(cpus, shuffle_partitions=cpus)
     root = os.path.join(ensure_checkpoint_dir(spark), "hangar-bench", uuid.uuid4().hex[:10])
     src_dir, wh_dir = os.path.join(root, "sources"), os.path.join(root, "warehouse")

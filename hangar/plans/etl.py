@@ -166,13 +166,16 @@ WAREHOUSE_TABLES = ["aircrafts", "airports", "dates", "daily_aircraft_stats",
 
 
 def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
-                     run_id: str | None = None, overlap_bucket: str = "day") -> dict[str, str]:
+                     run_id: str | None = None, overlap_bucket: str = "day",
+                     rejects_format: str = "csv") -> dict[str, str]:
     """Rebuild the warehouse under ``out_dir`` (S9-S15) and write the rejects.
 
     Preconditions (C4/T13) fail the run before anything is written.  Staged
     intermediates go to the shared checkpoint folder; warehouse tables and
-    rejects to ``out_dir/<table>`` and ``out_dir/rejects/<rule>``.  Returns
-    the written paths by table name.
+    rejects to ``out_dir/<table>`` and ``out_dir/rejects/<rule>``.  Rejects
+    are CSV with a header like the operational logs (``rejects_format``
+    "parquet" suits very large runs).  Returns the written paths by table
+    name.
     """
     spark.sparkContext.setJobDescription("hangar refresh: preconditions")
     quality.require_no_nulls(src.flights, ["cancelled"], "flights")
@@ -199,7 +202,11 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
                      ("invalid_reports", wh.reports_rejects)):
         path = os.path.join(out_dir, "rejects", rule)
         spark.sparkContext.setJobDescription(f"hangar refresh: rejects {rule}")
-        df.write.mode("overwrite").option("header", True).csv(path)
+        writer = df.write.mode("overwrite")
+        if rejects_format == "csv":
+            writer.option("header", True).csv(path)
+        else:
+            writer.format(rejects_format).save(path)
         written[f"rejects/{rule}"] = path
     spark.sparkContext.setJobDescription(None)
     log.info("warehouse refreshed under %s", out_dir)
