@@ -47,13 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to a folder every executor can reach;
-    we only read it.  When it is unset (local tests) a fresh folder is made
-    under the system temp dir and registered with the session.
+    we only read it, and a missing setting is an error (a machine-local
+    folder would not survive the loss of an executor).  In local mode
+    (tests) a fresh folder is made under the system temp dir and registered
+    with the session.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_CONF, None
     )
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="hangar-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():  # type: ignore[union-attr]
