@@ -46,7 +46,13 @@ def main() -> None:
     mapped = driver_views.load(spark, sf_dir)
 
     def extract():
-        for name in ("flights", "maintenance", "reports", "aircraft_lookup", "personnel_lookup"):
+        # the operational tables are stored as several files, like any source
+        # system of size (the driver's parquet files hold a single row group,
+        # which Spark can only read with one task)
+        for name in ("flights", "maintenance", "reports"):
+            (getattr(mapped, name).repartition(cpus).write.mode("overwrite")
+             .parquet(os.path.join(src_dir, name)))
+        for name in ("aircraft_lookup", "personnel_lookup"):
             getattr(mapped, name).write.mode("overwrite").parquet(os.path.join(src_dir, name))
 
     _, t_extract = _timed(extract)
