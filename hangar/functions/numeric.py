@@ -51,23 +51,21 @@ def to_decimal(x: Column | str, precision: int = 10, scale: int = 2) -> Column:
 _MICROS = 1_000_000
 
 
-def split_micros(us: Column | str, name: str) -> list[Column]:
-    """Two BIGINT columns ``{name}_s`` / ``{name}_r`` with us = s * 1e6 + r."""
-    us = _c(us).cast("bigint")
-    return [F.call_function("div", us, F.lit(_MICROS).cast("bigint")).alias(f"{name}_s"),
-            (us % F.lit(_MICROS)).alias(f"{name}_r")]
+def split_micros(us: str, name: str) -> list[str]:
+    """SQL select items ``{name}_s`` / ``{name}_r`` with us = s * 1e6 + r."""
+    return [f"cast(({us}) as bigint) div {_MICROS}L AS {name}_s",
+            f"cast(({us}) as bigint) % {_MICROS}L AS {name}_r"]
 
 
 def sum_split(name: str) -> list[Column]:
     """Aggregates of the split parts (null when every input is null)."""
-    return [F.sum(f"{name}_s").alias(f"{name}_s"), F.sum(f"{name}_r").alias(f"{name}_r")]
+    return [F.expr(f"sum({name}_s) AS {name}_s"), F.expr(f"sum({name}_r) AS {name}_r")]
 
 
-def split_to_double(name: str) -> Column:
-    """Recombine summed parts exactly (DECIMAL(38,0)) and convert to DOUBLE."""
-    exact = (F.col(f"{name}_s").cast("decimal(38,0)") * F.lit(_MICROS).cast("decimal(38,0)")
-             + F.col(f"{name}_r").cast("decimal(38,0)"))
-    return exact.cast("double")
+def split_to_double(name: str) -> str:
+    """SQL text: recombine summed parts exactly (DECIMAL(38,0)), then DOUBLE."""
+    return (f"cast(cast({name}_s as decimal(38,0)) * cast({_MICROS} as decimal(38,0))"
+            f" + cast({name}_r as decimal(38,0)) as double)")
 
 
 # ---- the same arithmetic as SQL text ---------------------------------------

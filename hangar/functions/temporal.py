@@ -20,11 +20,15 @@ def micros_between(start: str, end: str) -> Column:
     TIMESTAMP_NTZ).  Summing the exact integer and dividing once keeps
     aggregates independent of row order.  Arguments are column names.
     """
+    return F.expr(sql_micros_between(start, end))
+
+
+def sql_micros_between(start: str, end: str) -> str:
+    """SQL text of ``micros_between`` (for ``selectExpr``)."""
     iv = f"(`{end}` - `{start}`)"
-    return F.expr(
-        f"extract(DAY FROM {iv}) * 86400000000L + extract(HOUR FROM {iv}) * 3600000000L"
-        f" + extract(MINUTE FROM {iv}) * 60000000L"
-        f" + cast(extract(SECOND FROM {iv}) * 1000000 as bigint)")
+    return (f"(extract(DAY FROM {iv}) * 86400000000L + extract(HOUR FROM {iv}) * 3600000000L"
+            f" + extract(MINUTE FROM {iv}) * 60000000L"
+            f" + cast(extract(SECOND FROM {iv}) * 1000000 as bigint))")
 
 
 def day_of(ts: Column | str) -> Column:

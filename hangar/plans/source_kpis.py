@@ -17,7 +17,7 @@ from hangar.functions.temporal import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
     MICROS_PER_MINUTE,
-    micros_between,
+    sql_micros_between,
 )
 from hangar.plans.warehouse_kpis import rate_sql, utilization_from_sums
 from hangar.sources.readers import registrations_per_manufacturer
@@ -40,29 +40,27 @@ def with_manufacturer(df: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
 
 
 def _atomic_rows(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
-    """U3 + P18/P19 without the manufacturer; ``year`` is an INT here."""
-    cancelled = F.col("cancelled")
-    late = micros_between("scheduledarrival", "actualarrival")
-    late_counted = F.coalesce(late > DELAY_MIN_EXCLUSIVE_US, F.lit(False))
-    zero = F.lit(0).cast("bigint")
-    f = flights.select(
-        REG, F.year("scheduleddeparture").alias("year"),
-        F.when(cancelled, zero).otherwise(micros_between("actualdeparture", "actualarrival"))
-        .alias("flight_us"),
-        F.when(cancelled, 0).otherwise(1).alias("cycles"),
-        F.when(cancelled, 1).otherwise(0).alias("cancellations"),
-        F.when(cancelled, 0).when(late_counted, 1).otherwise(0).alias("delays"),
-        F.when(cancelled, zero).when(late_counted, late).otherwise(zero).alias("delay_us"),
-        zero.alias("scheduled_us"), zero.alias("unscheduled_us"),
+    """U3 + P18/P19 without the manufacturer; ``year`` is an INT here.
+
+    Written as SQL select items (one JVM call per column)."""
+    flown = sql_micros_between("actualdeparture", "actualarrival")
+    late = sql_micros_between("scheduledarrival", "actualarrival")
+    late_counted = f"coalesce(({late}) > {DELAY_MIN_EXCLUSIVE_US}L, false)"
+    f = flights.selectExpr(
+        REG, "year(scheduleddeparture) AS year",
+        f"CASE WHEN cancelled THEN 0L ELSE {flown} END AS flight_us",
+        "CASE WHEN cancelled THEN 0 ELSE 1 END AS cycles",
+        "CASE WHEN cancelled THEN 1 ELSE 0 END AS cancellations",
+        f"CASE WHEN cancelled THEN 0 WHEN {late_counted} THEN 1 ELSE 0 END AS delays",
+        f"CASE WHEN cancelled THEN 0L WHEN {late_counted} THEN {late} ELSE 0L END AS delay_us",
+        "0L AS scheduled_us", "0L AS unscheduled_us",
     )
-    span = micros_between("scheduleddeparture", "scheduledarrival")
-    programmed = F.coalesce(F.col("programmed"), F.lit(False))
-    m = maintenance.select(
-        REG, F.year("scheduleddeparture").alias("year"),
-        zero.alias("flight_us"), F.lit(0).alias("cycles"), F.lit(0).alias("cancellations"),
-        F.lit(0).alias("delays"), zero.alias("delay_us"),
-        F.when(programmed, span).otherwise(zero).alias("scheduled_us"),
-        F.when(programmed, zero).otherwise(span).alias("unscheduled_us"),
+    span = sql_micros_between("scheduleddeparture", "scheduledarrival")
+    m = maintenance.selectExpr(
+        REG, "year(scheduleddeparture) AS year",
+        "0L AS flight_us", "0 AS cycles", "0 AS cancellations", "0 AS delays", "0L AS delay_us",
+        f"CASE WHEN coalesce(programmed, false) THEN {span} ELSE 0L END AS scheduled_us",
+        f"CASE WHEN coalesce(programmed, false) THEN 0L ELSE {span} END AS unscheduled_us",
     )
     return f.unionByName(m)
 
@@ -83,10 +81,10 @@ def _by_aircraft_year(rows: DataFrame, durations: tuple[str, ...], counts: tuple
     """Pre-aggregate atomic rows per (registration, year[, extra]) before any
     join: map-side partial sums collapse even one very busy aircraft, and the
     manufacturer lookup then joins a few rows per aircraft and year."""
-    split = rows.select(REG, "year", *extra_keys, *counts,
-                        *[p for d in durations for p in split_micros(d, d)])
+    split = rows.selectExpr(REG, "year", *extra_keys, *counts,
+                            *[p for d in durations for p in split_micros(d, d)])
     return split.groupBy(REG, "year", *extra_keys).agg(
-        *[F.sum(c).alias(c) for c in counts],
+        *[F.expr(f"sum({c}) AS {c}") for c in counts],
         *[p for d in durations for p in sum_split(d)])
 
 
@@ -97,14 +95,14 @@ def _roll_up(per: DataFrame, aircraft_lookup: DataFrame, durations: tuple[str, .
     (manufacturer, year[, extra]); ``n`` counts the non-null registrations,
     i.e. the distinct aircraft of the group."""
     keyed = with_manufacturer(per, aircraft_lookup)
-    aggs = [F.sum(c).alias(c) for c in counts]
+    aggs = [F.expr(f"sum({c}) AS {c}") for c in counts]
     aggs += [p for d in durations for p in sum_split(d)]
     if count_aircraft:
-        aggs.append(F.count(REG).alias("n"))
+        aggs.append(F.expr(f"count({REG}) AS n"))
     g = keyed.groupBy("manufacturer", "year", *extra_keys).agg(*aggs)
-    return g.select("manufacturer", F.col("year").cast("string").alias("year"), *extra_keys,
-                    *counts, *[split_to_double(d).alias(d) for d in durations],
-                    *(["n"] if count_aircraft else []))
+    return g.selectExpr("manufacturer", "cast(year as string) AS year", *extra_keys,
+                        *counts, *[f"{split_to_double(d)} AS {d}" for d in durations],
+                        *(["n"] if count_aircraft else []))
 
 
 def utilization(flights: DataFrame, maintenance: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
@@ -113,37 +111,33 @@ def utilization(flights: DataFrame, maintenance: DataFrame, aircraft_lookup: Dat
     rows = _atomic_rows(flights, maintenance)
     g = _roll_up(_by_aircraft_year(rows, DURATIONS, counts), aircraft_lookup, DURATIONS,
                  counts, count_aircraft=True)
-    g = g.select(
+    g = g.selectExpr(
         *GROUP,
-        (F.col("flight_us") / F.lit(float(MICROS_PER_HOUR))).alias("H"),
-        F.col("cycles").alias("T"),
-        (F.col("scheduled_us") / F.lit(float(MICROS_PER_DAY))).alias("S"),
-        (F.col("unscheduled_us") / F.lit(float(MICROS_PER_DAY))).alias("U"),
-        F.col("delays").alias("D"), F.col("cancellations").alias("C"),
-        (F.col("delay_us") / F.lit(float(MICROS_PER_MINUTE))).alias("M"),
-        "n")
+        f"flight_us / {float(MICROS_PER_HOUR)!r}D AS H", "cycles AS T",
+        f"scheduled_us / {float(MICROS_PER_DAY)!r}D AS S",
+        f"unscheduled_us / {float(MICROS_PER_DAY)!r}D AS U",
+        "delays AS D", "cancellations AS C",
+        f"delay_us / {float(MICROS_PER_MINUTE)!r}D AS M", "n")
     return utilization_from_sums(g).orderBy(*GROUP)
 
 
 def flight_totals(flights: DataFrame, aircraft_lookup: DataFrame) -> DataFrame:
     """Per (manufacturer, year of scheduled departure) flown hours and cycles."""
-    cancelled = F.col("cancelled")
-    rows = flights.select(
-        REG, F.year("scheduleddeparture").alias("year"),
-        F.when(cancelled, F.lit(0).cast("bigint"))
-        .otherwise(micros_between("actualdeparture", "actualarrival")).alias("flight_us"),
-        F.when(cancelled, 0).otherwise(1).alias("cycles"))
+    flown = sql_micros_between("actualdeparture", "actualarrival")
+    rows = flights.selectExpr(
+        REG, "year(scheduleddeparture) AS year",
+        f"CASE WHEN cancelled THEN 0L ELSE {flown} END AS flight_us",
+        "CASE WHEN cancelled THEN 0 ELSE 1 END AS cycles")
     per = _by_aircraft_year(rows, ("flight_us",), ("cycles",))
     g = _roll_up(per, aircraft_lookup, ("flight_us",), ("cycles",))
-    return g.select(*GROUP, (F.col("flight_us") / F.lit(float(MICROS_PER_HOUR))).alias("H"),
-                    F.col("cycles").alias("T"))
+    return g.selectExpr(*GROUP, f"flight_us / {float(MICROS_PER_HOUR)!r}D AS H", "cycles AS T")
 
 
 def report_counts(reports: DataFrame, aircraft_lookup: DataFrame, by_role: bool) -> DataFrame:
     """Reports of every class per (manufacturer, year[, role])."""
     extra = ("role",) if by_role else ()
-    rows = reports.select(REG, F.year("reportingdate").alias("year"),
-                          F.col("reporteurclass").alias("role"), F.lit(1).alias("counter"))
+    rows = reports.selectExpr(REG, "year(reportingdate) AS year", "reporteurclass AS role",
+                              "1 AS counter")
     per = _by_aircraft_year(rows, (), ("counter",), extra)
     return _roll_up(per, aircraft_lookup, (), ("counter",), extra)
 
