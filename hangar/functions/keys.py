@@ -58,6 +58,15 @@ def ordered_ids(
     )
 
 
+def broadcast_calendar(dim: DataFrame) -> DataFrame:
+    """Broadcast a table with at most one row per calendar day.
+
+    Proven bound: DATE covers years 1..9999, so such a table has at most
+    3,652,059 rows (about 60 MB for a few INT/DATE columns); warehouses
+    hold a few thousand days.  Used for the date dimension."""
+    return F.broadcast(dim)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 

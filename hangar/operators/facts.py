@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hangar.functions.keys import broadcast_calendar
 from hangar.functions.temporal import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
@@ -178,11 +179,12 @@ def daily_measures_join_form(flights_m: DataFrame, maint_m: DataFrame,
 
 def attach_daily_keys(daily: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Natural keys -> surrogate keys; rows for an unknown aircraft or day
-    are dropped (inner joins).  Both dimensions are small per row count and
-    Spark broadcasts them when their measured size allows."""
+    are dropped (inner joins).  The date dimension is broadcast (bounded by
+    the calendar); the aircraft dimension is broadcast by Spark when its
+    measured size allows, else joined by shuffle."""
     return (
-        daily.join(aircraft_dim.select("aircraftid", REG), REG)
-        .join(date_dim.select("dateid", "date"), "date")
+        daily.join(broadcast_calendar(date_dim.select("dateid", "date")), "date")
+        .join(aircraft_dim.select("aircraftid", REG), REG)
         .select("dateid", "aircraftid", *MEASURES)
     )
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hangar.functions.keys import broadcast_calendar
 from hangar.functions.numeric import dec_sql as dec
 from hangar.functions.numeric import div_sql as div
 from hangar.functions.numeric import idiv_sql as idiv
@@ -21,10 +22,11 @@ GROUP = ["manufacturer", "year"]
 
 
 def star(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
-    """Fact joined to aircraft and date (both dimensions are small and
-    are broadcast by size)."""
-    return (fact.join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid")
-            .join(date_dim.select("dateid", "year"), "dateid"))
+    """Fact joined to date and aircraft.  The date dimension is
+    broadcast (bounded by the calendar); the aircraft dimension is broadcast
+    by Spark when its measured size allows."""
+    return (fact.join(broadcast_calendar(date_dim.select("dateid", "year")), "dateid")
+            .join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid"))
 
 
 _MEASURES = {"H": "flighthours", "T": "takeoffs", "S": "ADOSS", "U": "ADOSU", "D": "delays",
@@ -46,7 +48,7 @@ def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame,
     if not count_aircraft:
         return (star(fact, aircraft_dim, date_dim).groupBy(*GROUP)
                 .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
-    per = (fact.join(date_dim.select("dateid", "year"), "dateid")
+    per = (fact.join(broadcast_calendar(date_dim.select("dateid", "year")), "dateid")
            .groupBy("aircraftid", "year")
            .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
     return (per.join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid")
