@@ -1,6 +1,6 @@
 """Column-expression helpers, all JVM-side (no Python UDFs)."""
 
-from hangar.functions.numeric import div_or_null, idiv_or_null, round_half_away, to_decimal
+from hangar.functions.numeric import dec_sql, div_sql, idiv_sql, r_sql
 from hangar.functions.temporal import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
@@ -8,6 +8,7 @@ from hangar.functions.temporal import (
     day_of,
     micros_between,
     month_key,
+    sql_micros_between,
     text_to_date,
     text_to_id,
 )
@@ -17,12 +18,13 @@ __all__ = [
     "MICROS_PER_HOUR",
     "MICROS_PER_MINUTE",
     "day_of",
-    "div_or_null",
-    "idiv_or_null",
+    "dec_sql",
+    "div_sql",
+    "idiv_sql",
     "micros_between",
     "month_key",
-    "round_half_away",
+    "r_sql",
+    "sql_micros_between",
     "text_to_date",
     "text_to_id",
-    "to_decimal",
 ]

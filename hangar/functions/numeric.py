@@ -1,9 +1,11 @@
 """Numeric helpers that reproduce the KPI arithmetic exactly.
 
-``round_half_away`` multiplies by 10^k, rounds half away from zero to an
-integer and divides back, all in DOUBLE.  That is the arithmetic the
-warehouse queries are defined with; ``F.round(x, k)`` on a DOUBLE rounds the
-shortest decimal string instead and differs on values such as 1.005.
+``r_sql`` multiplies by 10^k, rounds half away from zero to an integer and
+divides back, all in DOUBLE.  That is the arithmetic the warehouse queries
+are defined with; ``round(x, k)`` on a DOUBLE rounds the shortest decimal
+string instead and differs on values such as 1.005.  The KPI formulas nest
+dozens of operators, so these helpers produce SQL expression text: one JVM
+call per output column instead of one per operator node.
 """
 
 from __future__ import annotations
@@ -12,36 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _c(x: Column | str | float | int) -> Column:
-    if isinstance(x, Column):
-        return x
-    if isinstance(x, str):
-        return F.col(x)
-    return F.lit(x)
-
-
-def round_half_away(x: Column | str, digits: int) -> Column:
-    """round(x * 10^k) / 10^k in DOUBLE, ties away from zero."""
-    scale = float(10**digits)
-    return F.round(_c(x).cast("double") * F.lit(scale), 0) / F.lit(scale)
-
-
-def div_or_null(num: Column | str, den: Column | str) -> Column:
-    """DOUBLE division; a zero or null denominator gives NULL, never an error."""
-    return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
-
-
-def idiv_or_null(num: Column | str, den: Column | str) -> Column:
-    """BIGINT division truncating toward zero; a zero denominator gives NULL."""
-    den = _c(den).cast("bigint")
-    return F.when(den != 0, F.call_function("div", _c(num).cast("bigint"), den))
-
-
-def to_decimal(x: Column | str, precision: int = 10, scale: int = 2) -> Column:
-    """Cast an already-rounded DOUBLE to DECIMAL(p, s)."""
-    return _c(x).cast(f"decimal({precision},{scale})")
-
-
 # ---- exact sums of microsecond durations -----------------------------------
 # A BIGINT sum of microseconds overflows after ~292,000 years of total
 # duration -- reachable when one key gathers a large share of 100 TB of
@@ -68,26 +40,25 @@ def split_to_double(name: str) -> str:
             f" + cast({name}_r as decimal(38,0)) as double)")
 
 
-# ---- the same arithmetic as SQL text ---------------------------------------
-# KPI formulas nest dozens of operators; building them as SQL expression text
-# costs one JVM call per output column instead of one per operator node.
+# ---- KPI arithmetic as SQL text ------------------------------------------------
 
 def r_sql(x: str, digits: int) -> str:
-    """SQL text of ``round_half_away``."""
+    """round(x * 10^k) / 10^k in DOUBLE, ties away from zero."""
     scale = f"{float(10**digits)!r}D"
     return f"(round(({x}) * {scale}, 0) / {scale})"
 
 
 def div_sql(num: str, den: str) -> str:
-    """SQL text of ``div_or_null``."""
+    """DOUBLE division; a zero or null denominator gives NULL, never an error."""
     return f"try_divide(cast(({num}) as double), cast(({den}) as double))"
 
 
 def idiv_sql(num: str, den: str) -> str:
-    """SQL text of ``idiv_or_null``."""
+    """BIGINT division truncating toward zero; a zero denominator gives NULL."""
     return (f"(CASE WHEN cast(({den}) as bigint) <> 0 "
             f"THEN cast(({num}) as bigint) div cast(({den}) as bigint) END)")
 
 
 def dec_sql(x: str, precision: int = 10, scale: int = 2) -> str:
+    """Cast an already-rounded DOUBLE to DECIMAL(p, s)."""
     return f"cast(({x}) as decimal({precision},{scale}))"

@@ -4,7 +4,7 @@ The formulas are kept exactly as defined for the warehouse, including their
 quirks: TakeOff and TDR use integer division, ADD is scaled by 100, ADIS
 assumes 365 days, and DU/DC divide the already-rounded FH/TakeOff.  A zero
 denominator yields NULL.  Rounding is half away from zero on DOUBLE
-(``round_half_away``) and the result is cast to DECIMAL.
+(``r_sql``) and the result is cast to DECIMAL.
 """
 
 from __future__ import annotations
