@@ -88,12 +88,14 @@ def mark_overlapping(flights: DataFrame, bucket: str = "day") -> DataFrame:
     take part and never overlap; a null arrival never overlaps.
 
     Scale: the "next departure" is a ``lead`` over a window partitioned by
-    (aircraft, ``bucket`` of departure) -- so one busy aircraft is spread over
-    many tasks -- and the last flight of each bucket takes the first
-    departure of the aircraft's next non-empty bucket from a per-bucket
-    summary (one row per aircraft and bucket, pre-aggregated map-side; per
-    aircraft it has at most one row per day or hour of history).
-    ``bucket`` is ``"day"`` or ``"hour"``.
+    (aircraft, ``bucket`` of departure), so one busy aircraft is spread over
+    as many tasks as it has flying days.  The last flight of a bucket needs
+    the first departure of the aircraft's next non-empty bucket: a summary
+    with one row per (aircraft, bucket) -- pre-aggregated map-side, at most
+    one row per calendar day (or hour) of history per aircraft -- finds it,
+    and one "ghost" row per bucket carrying it is unioned into the same
+    window input, ordered after the bucket's flights.  The flights are
+    shuffled once and never joined.  ``bucket`` is ``"day"`` or ``"hour"``.
     """
     if bucket not in ("day", "hour"):
         raise ValueError(f"bucket must be 'day' or 'hour', not {bucket!r}")
@@ -104,25 +106,23 @@ def mark_overlapping(flights: DataFrame, bucket: str = "day") -> DataFrame:
     takes_part = F.coalesce(
         (~F.col(CANCELLED)) & F.col(REG).isNotNull() & F.col(DEP).isNotNull(), F.lit(False)
     )
-    flown = flights.where(takes_part).withColumn("_bucket", key)
+    flown = (flights.where(takes_part)
+             .withColumns({"_bucket": key, "_ghost": F.lit(False), "_dep": F.col(DEP)}))
     others = flights.where(~takes_part).withColumn(OVERLAPS, F.lit(False))
 
-    within = Window.partitionBy(REG, "_bucket").orderBy(*flight_order())
-    next_bucket = (
-        flown.groupBy(REG, "_bucket")
-        .agg(F.min(DEP).alias("_first"))
-        .withColumn("_next_first",
-                    F.lead("_first").over(Window.partitionBy(REG).orderBy("_bucket")))
-        .select(REG, "_bucket", "_next_first")
+    # per (aircraft, bucket): first departure of the next non-empty bucket
+    ghosts = (
+        flown.groupBy(REG, "_bucket").agg(F.min(DEP).alias("_first"))
+        .withColumn("_dep", F.lead("_first").over(Window.partitionBy(REG).orderBy("_bucket")))
+        .where(F.col("_dep").isNotNull())
+        .select(REG, "_bucket", F.lit(True).alias("_ghost"), "_dep")
     )
+    within = Window.partitionBy(REG, "_bucket").orderBy(F.col("_ghost"), *flight_order())
     marked = (
-        flown.withColumn("_next", F.lead(DEP).over(within))
-        .join(next_bucket, [REG, "_bucket"], "left")
-        .withColumn(
-            OVERLAPS,
-            F.coalesce(F.col(ARR) > F.coalesce(F.col("_next"), F.col("_next_first")),
-                       F.lit(False)),
-        )
+        flown.unionByName(ghosts, allowMissingColumns=True)
+        .withColumn("_next", F.lead("_dep").over(within))
+        .where(~F.col("_ghost"))
+        .withColumn(OVERLAPS, F.coalesce(F.col(ARR) > F.col("_next"), F.lit(False)))
         .select(*cols, OVERLAPS)
     )
     return marked.unionByName(others)

@@ -31,8 +31,11 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # coalesce small shuffles to the advisory size, not to the core count
+        # coalesce small shuffles to the advisory size, not to the core count;
+        # a small advisory size keeps CPU-heavy sorts/windows spread over the
+        # cores at test scale (clusters use 128-256 MB, see README)
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
