@@ -1,8 +1,9 @@
-"""Data-quality rules.  Each rule returns the cleaned rows and, where rows are
-removed, the rejected rows as a second DataFrame (written by the pipeline).
+"""Data-quality rules.  Rules that remove rows also expose the rejected rows
+(written by the pipeline).
 
 * ``swap_reversed_times``   BR-22: actual arrival <= departure -> swap (P4)
-* ``split_overlapping``     BR-21: drop a flight that overlaps the next (W1)
+* ``mark_overlapping``      BR-21: flag a flight that overlaps the next (W1);
+  ``split_overlapping`` gives (clean, rejects)
 * ``split_known_aircraft``  BR-3 : reports on unknown aircraft (J1/J2)
 * ``flight_years`` / ``restrict_to_years``: maintenance and reports only for
   years that cleaned flights cover (A12/J3); flights without a scheduled
