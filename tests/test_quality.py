@@ -72,7 +72,7 @@ def test_cancelled_flight_is_not_a_neighbour(flights_df):
     assert len(clean) == 2
 
 
-@pytest.mark.parametrize("bucket", ["day", "hour"])
+@pytest.mark.parametrize("bucket", ["day", "hour", "minute"])
 def test_overlap_across_bucket_boundary(flights_df, bucket):
     # the successor departs in a later bucket (next day, two empty days later)
     rows = [flight(ts(1, 22), ts(2, 1)), flight(ts(2, 0.5), ts(2, 2)),
@@ -82,6 +82,17 @@ def test_overlap_across_bucket_boundary(flights_df, bucket):
     assert [r.actualdeparture for r in clean] == [ts(2, 0.5), ts(5, 2)]
 
 
+def test_hot_day_is_split_into_minutes(flights_df):
+    """A day above the hot threshold gets minute buckets; results are unchanged."""
+    rows = [flight(ts(1, 0), ts(1, 10)), flight(ts(1, 1), ts(1, 2)), flight(ts(1, 3), ts(1, 4)),
+            flight(ts(1, 3.5), ts(2, 1)), flight(ts(2, 0.5), ts(2, 2))]
+    for hot in (quality.HOT_DAY_FLIGHTS, 2):
+        clean, rejects = quality.split_overlapping(flights_df(rows), "day", hot)
+        assert sorted(r.actualdeparture for r in rejects.collect()) == [
+            ts(1, 0), ts(1, 3), ts(1, 3.5)]
+        assert clean.count() == 2
+
+
 def test_nulls_never_dropped(flights_df):
     rows = [flight(ts(1, 0), ts(1, 10)),
             flight(None, ts(1, 3)),                 # null departure sorts last
