@@ -91,3 +91,19 @@ def test_durations_ignore_the_session_time_zone(spark):
         assert (row.ab, row.ba) == (3_600_000_001, -3_600_000_001)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_read_source_from_csv_casts_to_declared_types(spark):
+    folder = tempfile.mkdtemp(prefix="hangar-src-")
+    path = os.path.join(folder, "flights.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("AircraftRegistration,cancelled,actualdeparture,actualarrival,"
+                "scheduleddeparture,scheduledarrival,extra\n"
+                "XY-001,false,2024-01-01 08:00:00,2024-01-01 10:00:00,"
+                "2024-01-01 08:00:00,2024-01-01 09:50:00,x\n")
+    df = readers.read_source(spark, "flights", path, fmt="csv", options={"header": "true"})
+    assert df.columns == readers.FLIGHT_COLUMNS
+    row = df.first()
+    assert row.cancelled is False
+    assert row.actualarrival == dt.datetime(2024, 1, 1, 10, 0)
+    assert dict(df.dtypes)["scheduledarrival"] == "timestamp_ntz"
