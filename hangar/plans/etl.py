@@ -27,8 +27,8 @@ log = logging.getLogger(__name__)
 Materialize = Callable[[str, DataFrame], DataFrame]
 
 # stages read by more than one later stage: these are materialized
-SHARED_STAGES = ("aircrafts", "airports", "flights_marked", "daily_sums", "dates",
-                 "daily_aircraft_stats", "total_maintenance_reports")
+SHARED_STAGES = ("aircrafts", "airports", "flights_marked", "flight_years", "daily_sums",
+                 "dates", "daily_aircraft_stats", "total_maintenance_reports")
 
 
 def lazy(_name: str, df: DataFrame) -> DataFrame:
@@ -105,7 +105,9 @@ class Warehouse:
 
     @cached_property
     def flight_years(self) -> DataFrame:
-        return quality.flight_years(self.flights_dated)
+        """At most 9,999 rows; staged because maintenance, reports and the
+        per-airport fact all filter on it."""
+        return self._stage("flight_years", quality.flight_years(self.flights_dated))
 
     @cached_property
     def maintenance_valid(self) -> DataFrame:
@@ -197,7 +199,10 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
 
     wh = build(src, materialize, overlap_bucket)
     for name in SHARED_STAGES:
-        getattr(wh, name)  # build (and write) every shared stage in order
+        # label the jobs of building (e.g. the overlap rule's hot-day list)
+        # and writing each stage
+        spark.sparkContext.setJobDescription(f"hangar refresh: {name}")
+        getattr(wh, name)
     for rule, df in (("overlapping_flights", wh.overlap_rejects),
                      ("invalid_reports", wh.reports_rejects)):
         path = os.path.join(out_dir, "rejects", rule)
