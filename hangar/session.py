@@ -48,6 +48,9 @@ def local_session(
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
@@ -55,18 +58,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     we only read it, and a missing setting is an error (a machine-local
     folder would not survive the loss of an executor).  In local mode
     (tests) a fresh folder is made under the system temp dir and registered
-    with the session.
+    as the context's checkpoint folder (``spark.checkpoint.dir`` itself
+    cannot be changed at run time).
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_CONF, None
-    )
+    sc = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if not path:
+        path = _LOCAL_DIRS.get(sc.applicationId)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="hangar-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():  # type: ignore[union-attr]
-        spark.sparkContext.setCheckpointDir(path)
+        path = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="hangar-ckpt-")
+    if sc._jsc.sc().getCheckpointDir().isEmpty():  # type: ignore[union-attr]
+        sc.setCheckpointDir(path)
     return path
 
 
