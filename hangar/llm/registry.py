@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from hangar.llm import licenses, mixing, preference, secrets
+from hangar.llm import bpe, licenses, mixing, preference, secrets
 
 QUERIES = {f.__name__: f for f in (
     mixing.op1_mixing,
     preference.op3_preference_format,
     secrets.op6_secret_scan,
+    bpe.op8_bpe,
     licenses.op10_license_scan,
 )}
 
