@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hangar.llm import bpe, licenses, mixing, preference, secrets
+from hangar.llm import bpe, licenses, mixing, preference, secrets, toxicity
 
 QUERIES = {f.__name__: f for f in (
     mixing.op1_mixing,
     preference.op3_preference_format,
+    toxicity.op5_toxicity,
     secrets.op6_secret_scan,
     bpe.op8_bpe,
     licenses.op10_license_scan,
