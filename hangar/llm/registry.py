@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hangar.llm import bpe, licenses, mixing, preference, secrets, toxicity
+from hangar.llm import bpe, licenses, mixing, neardup, preference, secrets, toxicity
 
 QUERIES = {f.__name__: f for f in (
     mixing.op1_mixing,
+    neardup.op2_minhash_neardup,
     preference.op3_preference_format,
     toxicity.op5_toxicity,
     secrets.op6_secret_scan,
