@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from hangar.llm import bpe, licenses, mixing, neardup, preference, secrets, toxicity
+from hangar.llm import (
+    ann,
+    bpe,
+    licenses,
+    mixing,
+    neardup,
+    preference,
+    secrets,
+    topk,
+    toxicity,
+)
 
 QUERIES = {f.__name__: f for f in (
     mixing.op1_mixing,
     neardup.op2_minhash_neardup,
     preference.op3_preference_format,
+    ann.op4_ann,
     toxicity.op5_toxicity,
     secrets.op6_secret_scan,
+    topk.op7_exact_topk,
     bpe.op8_bpe,
     licenses.op10_license_scan,
 )}
 
-ORACLES = {"op3_preference_format": preference.ORACLE}
+ORACLES = {"op3_preference_format": preference.ORACLE, "op7_exact_topk": topk.ORACLE}
