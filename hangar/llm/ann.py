@@ -29,11 +29,13 @@ from hangar.llm import vectors
 from hangar.llm.common import ship, table
 
 TOP, EVERY, SEED = 20, 20, 11
+#: Widenings after which a query is content with nothing but all rows.
+STEPS = 24
 #: Lines; half-width of the first windows (vectors have length 1 at most), the
 #: factor of each widening, and the share of windows that makes a candidate.
 PROJECTIONS, FIRST, WIDER, SHARE = 128, 0.4, 1.12, 0.6
 #: Rows to verify before a query stops: a share of the block, and a least number.
-ENOUGH, LEAST = 0.08, 400
+ENOUGH, LEAST = 0.06, 400
 
 
 def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -62,12 +64,14 @@ class Index:
         if n <= need:
             return np.arange(n)
         own = self.a[:, :-1] @ (q / np.sqrt(q @ q))
-        count, half, goal = np.zeros(n, dtype=np.int64), FIRST, share * self.lines
-        lo = hi = np.array([np.searchsorted(s, v) for s, v in zip(self.sorted, own)])
-        while True:
+        widths = FIRST * WIDER ** np.arange(STEPS)
+        edges = own[:, None] + np.concatenate([[0.0], -widths, widths])
+        edges = np.array([np.searchsorted(s, e) for s, e in zip(self.sorted, edges)])
+        count, goal = np.zeros(n, dtype=np.int64), share * self.lines
+        lo = hi = edges[:, 0]
+        for step in range(1, STEPS + 1):
             # Virtual rehashing: the same arrays, wider windows, new parts only.
-            to_lo = np.array([np.searchsorted(s, v) for s, v in zip(self.sorted, own - half)])
-            to_hi = np.array([np.searchsorted(s, v) for s, v in zip(self.sorted, own + half)])
+            to_lo, to_hi = edges[:, step], edges[:, STEPS + step]
             parts = [o[a:b] for o, a, b in zip(self.order, to_lo, lo)]
             parts += [o[a:b] for o, a, b in zip(self.order, hi, to_hi)]
             count += np.bincount(np.concatenate(parts), minlength=n)
@@ -75,9 +79,7 @@ class Index:
             found = np.flatnonzero(count >= goal)
             if len(found) >= need:
                 return found
-            if (lo == 0).all() and (hi == n).all():
-                return np.arange(n)
-            half *= WIDER
+        return np.arange(n)
 
 
 def op4_search(rows: DataFrame, queries: DataFrame, top: int = TOP, block: int = vectors.BLOCK,

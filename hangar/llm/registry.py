@@ -6,6 +6,7 @@ from hangar.llm import (
     ann,
     bpe,
     licenses,
+    lm,
     mixing,
     neardup,
     preference,
@@ -23,6 +24,7 @@ QUERIES = {f.__name__: f for f in (
     secrets.op6_secret_scan,
     topk.op7_exact_topk,
     bpe.op8_bpe,
+    lm.op9_lm_score,
     licenses.op10_license_scan,
 )}
 
