@@ -423,12 +423,16 @@ def decode(tokens: DataFrame, path: str, joined: bool = True) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def default_path() -> str:
+    """The vocabulary of the contract, where the installed package has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op8_bpe(spark, sf_dir, path: str | None = None):
     """Token count and digests of ids and decoded text of every document."""
-    if path is None:
-        import public_tokenizers
-        path = public_tokenizers.path("word_bpe_49k.json")
-    out = encode(table(spark, sf_dir, "documents"), path)
+    out = encode(table(spark, sf_dir, "documents"), path or default_path())
     return out.select("doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))

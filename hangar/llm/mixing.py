@@ -84,15 +84,19 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def located(docs: DataFrame, seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
+    """Adds a document's hash block, and its place in the order there."""
+    return docs.withColumns({
+        "block": bucket(F.col("doc_id"), seed, blocks),
+        "place": F.xxhash64(F.lit(seed + 1), F.col("doc_id"))})
+
+
 def sized(docs: DataFrame, seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
-    """doc_id, source, size in words, and the document's place: hash block and
-    order in it."""
-    return docs.select(
+    """doc_id, source, size in words, block and place."""
+    return located(docs.select(
         "doc_id", "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        bucket(F.col("doc_id"), seed, blocks).alias("block"),
-        F.xxhash64(F.lit(seed + 1), F.col("doc_id")).alias("place"),
-    )
+    ), seed, blocks)
 
 
 def _rows(spark, rows, schema):

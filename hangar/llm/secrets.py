@@ -143,7 +143,8 @@ def op6_secret_scan(spark, sf_dir):
 
 
 def redact(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """``docs`` with every found span replaced by [kind]; other columns as they are.
+    """``docs`` with every found span replaced by [kind]; n_chars follows,
+    other columns stay.
 
     Overlapping spans are replaced as one, under the first one's name.
     """
@@ -153,10 +154,15 @@ def redact(docs: DataFrame, ledger: DataFrame) -> DataFrame:
                 F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, f["start"] - s["at"]),
                          F.lit("["), f["kind"], F.lit("]")).alias("out"), f["end"].alias("at")))
 
-    marked = docs.withColumn("_blob", address(F.col("text"))).join(
-        ledger.select(F.col("blob").alias("_blob"), F.col("findings").alias("_found")), "_blob")
+    found = ledger.where(F.size("findings") > 0).select(
+        F.col("blob").alias("_blob"), F.col("findings").alias("_found"))
+    marked = docs.withColumn("_blob", address(F.col("text"))).join(found, "_blob", "left")
     clean = F.aggregate("_found", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
                         lambda s: F.concat(s["out"], F.substring(
                             F.col("text"), s["at"] + 1, F.length("text"))))
-    return marked.withColumn("text", F.when(F.size("_found") > 0, clean).otherwise(F.col("text"))
-                             ).select(*docs.columns)
+    hit = F.col("_found").isNotNull()
+    out = marked.withColumn("text", F.when(hit, clean).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(
+            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
