@@ -38,8 +38,8 @@ from hangar.llm.common import ship, staged, table
 #: Shingle length and least similarity; coordinates = bands x rows.  A pair at
 #: 0.8 is missed with probability (1 - 0.8 ** 6) ** 32 < 0.0001.
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
-#: Leaders per bucket in the second round; each later round takes twice as many.
-LEADERS = 8
+#: Leaders per bucket in the second round; each later round takes four times as many.
+LEADERS = 32
 
 _M = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 
@@ -219,25 +219,20 @@ def near_links(reps: DataFrame, least: float = SIMILARITY) -> DataFrame:
              .where(sized(F.col("n"), F.col("lead.n")))
              .select(F.col("lead.rid").alias("a"), F.col("rid").alias("b")).distinct())
     links = staged(similar(pairs, reps, least), "near_links")
+    roots = staged(members.select(F.col("rid").alias("id")).distinct().join(
+        components(links), "id", "left").select("id", F.coalesce("root", "id").alias("root")),
+        "near_roots")
     # A leader has met its whole bucket and needs no more comparisons there.
     left = members.where(F.col("rid") != F.col("lead.rid")).select("band", "rid", "n", "ord")
-    tops = members.groupBy("band").agg(F.first("lead").alias("lead")).select(
-        "band", F.col("lead.rid").alias("rid"), F.col("lead.n").alias("n"),
-        F.col("lead.ord").alias("ord"), F.lit(True).alias("led"))
-    left = left.withColumn("led", F.lit(False)).union(tops)
-    roots, count = components(links), LEADERS
+    count = LEADERS
     while True:
-        placed = left.join(roots.withColumnRenamed("id", "rid"), "rid", "left").select(
-            "band", "rid", "n", "ord", "led", F.coalesce("root", "rid").alias("root"))
-        # buckets of several classes with members that have not led
+        placed = left.join(roots.withColumnRenamed("id", "rid"), "rid")
         mixed = placed.groupBy("band").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"),
-            F.sum(F.when(~F.col("led"), 1).otherwise(0)).alias("open")).where(
-            "lo <> hi AND open > 1").select("band")
+            F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
         live = placed.join(mixed, "band")
-        per = live.where("NOT led").groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
+        per = live.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
         turn = Window.partitionBy("band").orderBy("c", "root", "ord")
-        live = staged(live.join(per, ["band", "root"], "left").where("NOT led")
+        live = staged(live.join(per, ["band", "root"])
                       .withColumn("pos", F.row_number().over(turn)), "near_open")
         if live.isEmpty():
             return roots
@@ -249,9 +244,15 @@ def near_links(reps: DataFrame, least: float = SIMILARITY) -> DataFrame:
                  .where(sized(F.col("n"), F.col("an")))
                  .select("a", F.col("rid").alias("b")).distinct())
         found = similar(fresh, reps, least)
-        links = staged(links.union(found), "near_links")
-        left = live.select("band", "rid", "n", "ord", (F.col("pos") <= count).alias("led"))
-        roots, count = components(links), count * 2
+        root = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))
+        found = staged(found.join(root("a"), "a").join(root("b"), "b").select(
+            F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "near_links")
+        if not found.isEmpty():  # classes that a new link joins
+            joined = components(found).select(F.col("id").alias("root"), F.col("root").alias("_to"))
+            roots = staged(roots.join(joined, "root", "left").select(
+                "id", F.coalesce("_to", "root").alias("root")), "near_roots")
+        left = live.where(F.col("pos") > count).select("band", "rid", "n", "ord")
+        count *= 4
 
 
 def keyed(docs: DataFrame) -> DataFrame:
