@@ -33,26 +33,26 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: The base phrases and their labels.
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
 
-V = r"(?: (?:version|v))?"
+V = r"(?: version)?"
 LATER = r"(?: or (?:\(?at your option\)? )?(?:any )?later(?: version)?)?"
 #: label: keyword of the name, the name's pattern, the identifier's pattern.
 NAMES = {
     "mit": ("mit", r"mit(?: license)?", r"mit"),
     "mit-0": ("mit", r"mit no attribution(?: license)?", r"mit 0"),
     "apache": ("apache", r"apache(?: software)? licen[sc]e", r"apache"),
-    "apache-1.1": ("apache", rf"apache(?: software)? licen[sc]e{V} 1 1", r"apache 1 1"),
-    "apache-2.0": ("apache", rf"apache(?: software)? licen[sc]e{V} 2(?: 0)?", r"apache 2(?: 0)?"),
+    "apache-1.1": ("apache", rf"apache(?: software)? licen[sc]e{V} v?1 1", r"apache 1 1"),
+    "apache-2.0": ("apache", rf"apache(?: software)? licen[sc]e{V} v?2(?: 0)?", r"apache 2(?: 0)?"),
     "gpl": ("general public", r"(?:gnu )?general public licen[sc]e", r"(?:gnu )?gpl"),
-    "gpl-1.0": ("general public", rf"(?:gnu )?general public licen[sc]e{V} 1(?: 0)?{LATER}", r"gplv?1|gpl 1 0(?: only| or later)?"),
-    "gpl-2.0": ("general public", rf"(?:gnu )?general public licen[sc]e{V} 2(?: 0)?{LATER}", r"gplv2|gpl v?2(?: 0)?(?: only| or later)?"),
-    "gpl-3.0": ("general public", rf"(?:gnu )?general public licen[sc]e{V} 3(?: 0)?{LATER}", r"gplv3|gpl v?3(?: 0)?(?: only| or later)?"),
+    "gpl-1.0": ("general public", rf"(?:gnu )?general public licen[sc]e{V} v?1(?: 0)?{LATER}", r"gplv?1|gpl 1 0(?: only| or later)?"),
+    "gpl-2.0": ("general public", rf"(?:gnu )?general public licen[sc]e{V} v?2(?: 0)?{LATER}", r"gplv2|gpl v?2(?: 0)?(?: only| or later)?"),
+    "gpl-3.0": ("general public", rf"(?:gnu )?general public licen[sc]e{V} v?3(?: 0)?{LATER}", r"gplv3|gpl v?3(?: 0)?(?: only| or later)?"),
     "lgpl": ("general public", r"(?:gnu )?(?:lesser|library) general public licen[sc]e", r"lgpl"),
-    "lgpl-2.0": ("general public", rf"(?:gnu )?library general public licen[sc]e{V} 2(?: 0)?{LATER}", r"lgpl 2 0(?: only| or later)?"),
-    "lgpl-2.1": ("general public", rf"(?:gnu )?lesser general public licen[sc]e{V} 2 1{LATER}", r"lgplv2 1|lgpl v?2 1(?: only| or later)?"),
-    "lgpl-3.0": ("general public", rf"(?:gnu )?lesser general public licen[sc]e{V} 3(?: 0)?{LATER}", r"lgplv3|lgpl v?3(?: 0)?(?: only| or later)?"),
+    "lgpl-2.0": ("general public", rf"(?:gnu )?library general public licen[sc]e{V} v?2(?: 0)?{LATER}", r"lgpl 2 0(?: only| or later)?"),
+    "lgpl-2.1": ("general public", rf"(?:gnu )?lesser general public licen[sc]e{V} v?2 1{LATER}", r"lgplv2 1|lgpl v?2 1(?: only| or later)?"),
+    "lgpl-3.0": ("general public", rf"(?:gnu )?lesser general public licen[sc]e{V} v?3(?: 0)?{LATER}", r"lgplv3|lgpl v?3(?: 0)?(?: only| or later)?"),
     "agpl": ("affero", r"(?:gnu )?affero general public licen[sc]e", r"agpl"),
-    "agpl-3.0": ("affero", rf"(?:gnu )?affero general public licen[sc]e{V} 3(?: 0)?{LATER}", r"agplv3|agpl v?3(?: 0)?(?: only| or later)?"),
-    "gfdl": ("free documentation", rf"(?:gnu )?free documentation licen[sc]e(?:{V} 1 [1-3])?{LATER}", r"gfdl(?: 1 [1-3])?"),
+    "agpl-3.0": ("affero", rf"(?:gnu )?affero general public licen[sc]e{V} v?3(?: 0)?{LATER}", r"agplv3|agpl v?3(?: 0)?(?: only| or later)?"),
+    "gfdl": ("free documentation", rf"(?:gnu )?free documentation licen[sc]e(?:{V} v?1 [1-3])?{LATER}", r"gfdl(?: 1 [1-3])?"),
     "bsd": ("bsd", r"bsd(?: style)? licen[sc]e", r"bsd"),
     "bsd-2-clause": ("bsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?: licen[sc]e)?", r"bsd 2 clause"),
     "bsd-3-clause": ("bsd", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: licen[sc]e)?", r"bsd 3 clause"),
@@ -60,16 +60,16 @@ NAMES = {
     "0bsd": ("bsd", r"(?:zero clause bsd|bsd zero clause)(?: licen[sc]e)?", r"0bsd"),
     "isc": ("isc", r"isc licen[sc]e", r"isc"),
     "mpl": ("mozilla", r"mozilla public licen[sc]e", r"mpl"),
-    "mpl-1.1": ("mozilla", rf"mozilla public licen[sc]e{V} 1 1", r"mpl 1 1"),
-    "mpl-2.0": ("mozilla", rf"mozilla public licen[sc]e{V} 2(?: 0)?", r"mpl 2(?: 0)?"),
+    "mpl-1.1": ("mozilla", rf"mozilla public licen[sc]e{V} v?1 1", r"mpl 1 1"),
+    "mpl-2.0": ("mozilla", rf"mozilla public licen[sc]e{V} v?2(?: 0)?", r"mpl 2(?: 0)?"),
     "epl": ("eclipse", r"eclipse public licen[sc]e", r"epl"),
-    "epl-1.0": ("eclipse", rf"eclipse public licen[sc]e{V} 1(?: 0)?", r"epl 1 0"),
-    "epl-2.0": ("eclipse", rf"eclipse public licen[sc]e{V} 2(?: 0)?", r"epl 2 0"),
+    "epl-1.0": ("eclipse", rf"eclipse public licen[sc]e{V} v?1(?: 0)?", r"epl 1 0"),
+    "epl-2.0": ("eclipse", rf"eclipse public licen[sc]e{V} v?2(?: 0)?", r"epl 2 0"),
     "cddl": ("common development", r"common development and distribution licen[sc]e(?: 1 [01])?", r"cddl(?: 1 [01])?"),
-    "cpl-1.0": ("common public", rf"common public licen[sc]e(?:{V} 1(?: 0)?)?", r"cpl 1 0"),
-    "eupl": ("european union public", rf"european union public licen[sc]e(?:{V} 1 [0-2])?", r"eupl(?: 1 [0-2])?"),
-    "artistic": ("artistic", rf"artistic licen[sc]e(?:{V} [12](?: 0)?)?", r"artistic [12] 0"),
-    "bsl-1.0": ("boost", rf"boost software licen[sc]e(?:{V} 1(?: 0)?)?", r"bsl 1 0"),
+    "cpl-1.0": ("common public", rf"common public licen[sc]e(?:{V} v?1(?: 0)?)?", r"cpl 1 0"),
+    "eupl": ("european union public", rf"european union public licen[sc]e(?:{V} v?1 [0-2])?", r"eupl(?: 1 [0-2])?"),
+    "artistic": ("artistic", rf"artistic licen[sc]e(?:{V} v?[12](?: 0)?)?", r"artistic [12] 0"),
+    "bsl-1.0": ("boost", rf"boost software licen[sc]e(?:{V} v?1(?: 0)?)?", r"bsl 1 0"),
     "zlib": ("zlib", r"zlib(?: libpng)? licen[sc]e", r"zlib"),
     "unlicense": ("unlicen", r"(?:the )?unlicense", r"unlicense"),
     "wtfpl": ("what the", r"do what the f\w+ you want to public licen[sc]e", r"wtfpl"),
@@ -87,7 +87,7 @@ NAMES = {
     "openssl": ("openssl", r"openssl licen[sc]e", r"openssl"),
     "ncsa": ("ncsa", r"(?:university of illinois )?ncsa(?: open source)? licen[sc]e", r"ncsa"),
     "vim": ("vim", r"vim licen[sc]e", r"vim"),
-    "sspl": ("server side", rf"server side public licen[sc]e(?:{V} 1)?", r"sspl 1 0"),
+    "sspl": ("server side", rf"server side public licen[sc]e(?:{V} v?1)?", r"sspl 1 0"),
     "busl": ("business source", r"business source licen[sc]e(?: 1 1)?", r"busl 1 1"),
     "openrail": ("openrail", r"(?:creativeml |bigscience )?openrail(?: m)?(?: licen[sc]e)?", r"openrail"),
 }

@@ -9,8 +9,8 @@ shard gets exact block counts per source that add up to the quotas.  A source
 hands disjoint runs of its permuted blocks to the shards, and each shard
 shuffles its own rows.
 
-What reaches the driver is one row per source and one number per source and
-shard: configuration-sized (see ``MAX_CELLS``), never documents or blocks.
+What reaches the driver is one row and at most ``HAND`` candidates per source,
+and one number per source and shard: configuration-sized (see ``MAX_CELLS``), never documents or blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from hangar.llm.common import WORD, bucket, staged, table
 
 #: Block and shard counts, and the bound on sources x shards on the driver.
 BLOCKS, SHARDS, SEED = 1024, 16, 20240229
+#: Documents per source from which the rest of its target is filled.
+HAND = 64
 MAX_CELLS = 2_000_000
 #: Mixture weights of the sources in code-point order, repeating, and how
 #: often the words of a source may be repeated.
@@ -109,9 +111,9 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
 
     ``sizes`` as from ``sized`` (staged: it is read a few times).  One row per
     (source, block): source_size, target, ``units`` (epoch and shard of each
-    whole pass over the block), and for the pass that is cut short ``cut``:
-    the documents with ``place`` up to ``cut_place`` are taken, and ``pick`` is
-    the place of one more document that brings the source nearest its target.
+    whole pass over the block), and for the pass that is cut short: the
+    documents with ``place`` up to ``cut_place`` are taken, and those at ``picks``,
+    a few that fill up what is left of the target.
     """
     spark = sizes.sparkSession
     blocks = staged(sizes.groupBy("source", "block").agg(
@@ -149,24 +151,34 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
                         & (F.col("block") == F.col("_b")))
     upto = inside.withColumn("_end", F.sum("size").over(
         Window.partitionBy("source", "block").orderBy("place")))
-    cuts = upto.groupBy("source").agg(
-        F.max(F.when(F.col("_end") <= F.col("budget"), F.col("place"))).alias("cut_place"),
-        (F.first("budget") - F.coalesce(F.max(
-            F.when(F.col("_end") <= F.col("budget"), F.col("_end"))), F.lit(0))).alias("gap"))
+    fits = F.col("_end") <= F.col("budget")
+    cuts = upto.groupBy(F.col("source").alias("_s")).agg(
+        F.max(F.when(fits, F.col("place"))).alias("cut_place"),
+        (F.first("budget") - F.coalesce(F.max(F.when(fits, F.col("_end"))), F.lit(0))).alias("gap"))
     cuts = staged(cuts, "mix_cuts")
-    # One more document, of those not in this pass, if it brings the sum nearer.
-    c = cuts.withColumnRenamed("source", "_s")
+    # What is left of the target is filled from a hand of documents that are not in
+    # this pass, the largest that fits first.
     k = known.select(F.col("source").alias("_k"), F.col("block").alias("_b"), "part")
+    taken = (F.col("part") == "whole") | ((F.col("part") == "cut") & F.coalesce(
+        F.col("place") <= F.col("cut_place"), F.lit(False)))
     free = (sizes.join(k, F.col("source").eqNullSafe(F.col("_k")) & (F.col("block") == F.col("_b")))
-            .where("part <> 'whole'")
-            .join(c, F.col("source").eqNullSafe(F.col("_s")))
-            .where(~((F.col("part") == "cut")
-                     & F.coalesce(F.col("place") <= F.col("cut_place"), F.lit(False))))
-            .where(F.abs(F.col("size") - F.col("gap")) < F.col("gap")))
-    picks = free.groupBy("source").agg(F.min(F.struct(
-        F.abs(F.col("size") - F.col("gap")).alias("off"), F.col("place"),
-        F.col("block").alias("pick_block"))).alias("p")).select(
-        F.col("source").alias("_p"), F.col("p.place").alias("pick"), "p.pick_block")
+            .join(cuts, F.col("source").eqNullSafe(F.col("_s")))
+            .where(~taken & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))))
+    hands = (free.withColumn("_n", F.row_number().over(
+        Window.partitionBy("source").orderBy("place", "block"))).where(F.col("_n") <= HAND)
+        .select("source", "block", "place", "size", "gap").collect())
+    picks = []
+    by_size: dict = {}
+    for r in hands:
+        by_size.setdefault(r.source, []).append(r)
+    for source, hand in by_size.items():
+        left = hand[0].gap
+        for r in sorted(hand, key=lambda r: (-r["size"], r.place)):
+            if r["size"] <= left:
+                left -= r["size"]
+                picks.append((source, r.block, r.place))
+    picks = _rows(spark, picks, "_p string, pick_block int, pick long").groupBy(
+        "_p", "pick_block").agg(F.collect_set("pick").alias("picks"))
 
     # Units: each pass over a block; their shards come from the splitting tree.
     n_units = F.col("passes") + F.when(F.col("part") == "none", 0).otherwise(1)
@@ -187,11 +199,11 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
         F.sort_array(F.collect_list(F.struct("epoch", "shard"))).alias("units"))
     out = known.join(units, F.col("source").eqNullSafe(F.col("_u"))
                      & (F.col("block") == F.col("_ub")), "left")
-    out = out.join(c.drop("gap"), F.col("source").eqNullSafe(F.col("_s")), "left")
-    out = out.join(picks, F.col("source").eqNullSafe(F.col("_p")), "left")
-    return out.select(
-        "source", "block", "source_size", "target", "passes", "part", "units", "cut_place",
-        F.when(F.col("block") == F.col("pick_block"), F.col("pick")).alias("pick"))
+    out = out.join(cuts.drop("gap"), F.col("source").eqNullSafe(F.col("_s")), "left")
+    out = out.join(picks, F.col("source").eqNullSafe(F.col("_p"))
+                   & (F.col("block") == F.col("pick_block")), "left")
+    return out.select("source", "block", "source_size", "target", "passes", "part", "units",
+                      "cut_place", "picks")
 
 
 def place(docs: DataFrame, mix: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -203,17 +215,17 @@ def place(docs: DataFrame, mix: DataFrame, shards: int = SHARDS) -> DataFrame:
     whole = F.slice(F.coalesce("units", F.array().cast("array<struct<epoch:int,shard:int>>")),
                     F.lit(1), F.col("passes"))
     last = F.element_at("units", -1)
+    yes = lambda c: F.coalesce(c, F.lit(False))
     kept = (F.col("part") == "whole") | ((F.col("part") == "cut")
-                                         & F.coalesce(F.col("place") <= F.col("cut_place"),
-                                                      F.lit(False)))
-    picked = F.coalesce(F.col("place") == F.col("pick"), F.lit(False))
+                                         & yes(F.col("place") <= F.col("cut_place")))
+    picked = yes(F.array_contains("picks", F.col("place")))
     own = F.struct(F.col("passes").alias("epoch"),
                    F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"))
     return (docs.join(m, F.col("source").eqNullSafe(F.col("_ms"))
                       & (F.col("block") == F.col("_mb")))
             .withColumn("placements", F.when(kept, F.concat(whole, F.array(last)))
                         .when(picked, F.concat(whole, F.array(own))).otherwise(whole))
-            .drop("_ms", "_mb", "passes", "part", "units", "cut_place", "pick"))
+            .drop("_ms", "_mb", "passes", "part", "units", "cut_place", "picks"))
 
 
 def mixture(placed: DataFrame, seed: int = SEED) -> DataFrame:

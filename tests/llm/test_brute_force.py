@@ -1,0 +1,414 @@
+"""Operators against brute force, an exact round trip or held-out accuracy."""
+
+from __future__ import annotations
+
+import codecs
+import math
+import random
+import re
+import zlib
+from array import array
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow.dataset as ds
+import pytest
+from tokenizers import Tokenizer
+
+from hangar.llm import ann, bpe, licenses, lm, mixing, neardup, registry, secrets, topk, toxicity, vectors
+from hangar.llm.common import staged
+
+SF = "/root/testdata/sf0.001"
+
+
+def load(name):
+    return ds.dataset(f"{SF}/{name}.parquet").to_table().to_pandas()
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return load("documents").set_index("doc_id")
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_oracle(spark, name):
+    con = duckdb.connect()
+    for t in ("embeddings", "conversations"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.sql(registry.ORACLES[name])
+    got = registry.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+# ---- 1 mixing -------------------------------------------------------------------
+
+def test_targets_reshare():
+    got = mixing.targets([100, 10, 50], [5, 2, 1], 3)
+    assert got[1] == 30 and sum(got) == 160 and got[0] / 5 == got[2]
+    assert mixing.targets([10], [5], 3) == [10] and mixing.targets([0, 0], [1, 1], 3) == [0, 0]
+
+
+def test_splitting_tree_is_exact():
+    quotas = np.array([7, 0, 1000, 33])
+    out = mixing.split_quotas(quotas, 13, 5)
+    assert (out.sum(1) == quotas).all() and out.sum(0).max() - out.sum(0).min() <= 1
+    assert (out == mixing.split_quotas(quotas, 13, 5)).all() and (out >= 0).all()
+
+
+def test_mixing(spark, docs):
+    rows = registry.QUERIES["op1_mixing"](spark, SF).toPandas().set_index("doc_id")
+    rows["source"] = docs.source
+    for _, g in rows.groupby("source"):
+        assert g["size"].sum() == g.source_size.iloc[0]
+        # what is missing is less than any document that could still be taken
+        gap = g.target.iloc[0] - g.taken.sum()
+        passes = g.target.iloc[0] // g.source_size.iloc[0]
+        free = g["size"][(g.taken <= passes * g["size"]) & (g["size"] > 0)]
+        assert -1 <= gap <= max(1, free.min() if len(free) else 0)
+    assert (rows.taken <= 3 * rows["size"]).all()
+    sizes = staged(mixing.sized(spark.read.parquet(f"{SF}/documents.parquet")), "t")
+    mixed = mixing.mixture(mixing.place(sizes, mixing.plan(sizes))).toPandas()
+    assert mixed.groupby("doc_id")["size"].sum().to_dict() == rows.taken[rows.taken > 0].to_dict() | {
+        i: 0 for i in mixed.doc_id if rows.taken[i] == 0}
+    assert mixed["shard"].between(0, mixing.SHARDS - 1).all()
+
+
+# ---- 2 near-duplicates ------------------------------------------------------------
+
+def _classes(texts):
+    sets = [neardup.shingles(t, neardup._Hashes()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if texts[a] == texts[b] or both and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(a) for a in range(len(texts))]
+
+
+def test_neardup_whole_table(spark, docs):
+    got = registry.QUERIES["op2_minhash_neardup"](spark, SF).toPandas().set_index("doc_id").class_id
+    ids = docs.index.tolist()
+    want = _classes(docs.text.tolist())
+    least = {}
+    for i, c in zip(ids, want):
+        least[c] = min(least.get(c, i), i)
+    assert {i: least[c] for i, c in zip(ids, want)} == got.to_dict()
+
+
+def test_neardup_chain_and_shared_passage(spark):
+    """A chain whose ends are unlike is one class; a shared passage makes none."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(7))
+    base = [word() for _ in range(200)]
+    chain = [" ".join(base)]
+    for k in range(12):
+        for j in range(3):
+            base[(k * 3 + j) * 5] = word()
+        chain.append(" ".join(base))
+    passage = [word() for _ in range(60)]
+    others = [" ".join([*passage, *(word() for _ in range(60))]) for _ in range(150)]
+    texts = chain + others + chain[:3]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = neardup.near_classes(rows).count()
+    assert found == len(chain) + len(others)
+    joined = neardup.keyed(rows).join(neardup.near_classes(rows).withColumnRenamed("key", "_key"), "_key")
+    root = {r_.doc_id: r_.root for r_ in joined.collect()}
+    want = _classes(texts)
+    assert {frozenset(i for i in root if root[i] == c) for c in set(root.values())} == {
+        frozenset(i for i, w in enumerate(want) if w == c) for c in set(want)}
+
+
+@pytest.mark.parametrize("weights,want", [((2.5, 2.0), 0.8), ((3.0, 1.0), 1 / 3)])
+def test_darts_estimate_weighted_similarity(weights, want):
+    e = np.arange(1, 41, dtype=np.uint64)
+    a, b = neardup.dart_signatures([e, e], [np.full(40, w) for w in weights], 5000)
+    assert abs((a == b).mean() - want) < 0.03
+
+
+# ---- 4 and 7 searches ---------------------------------------------------------------
+
+def _vectors(spark, n=1500, dim=16, seed=1):
+    x = np.random.default_rng(seed).standard_normal((n, dim)).astype(np.float32)
+    x *= np.random.default_rng(seed).uniform(0.5, 2, n).astype(np.float32)[:, None]
+    x[7::100] = x[7]  # ties
+    rows = [(int(i), [float(v) for v in r]) for i, r in enumerate(x)]
+    return x.astype(float), vectors.clean(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+
+
+def test_ann_recall_in_blocks(spark):
+    x, rows = _vectors(spark)
+    got = ann.op4_search(rows, rows.where(vectors.divisible("vec_id", 20)), block=400, enough=0.06,
+                         least=40).toPandas()
+    hit = 0
+    for q, g in got.groupby("query_id"):
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -s))[:20]
+        hit += len(set(best) & set(g.vec_id))
+        g = g.sort_values("rank")
+        assert list(g["rank"]) == list(range(1, 21)) and np.allclose(g.score, s[g.vec_id], rtol=1e-12)
+    assert got.query_id.nunique() == 75 and hit >= 0.9 * 75 * 20
+
+
+def test_ann_recall_whole_table(spark):
+    e = load("embeddings")
+    x = np.stack(e.embedding).astype(float)
+    got = registry.QUERIES["op4_ann"](spark, SF).toPandas()
+    hit = all_ = 0
+    for q, g in got.groupby("query_id"):
+        i = int(np.flatnonzero(e.vec_id == q)[0])
+        s = x @ x[i]
+        s[i] = -np.inf
+        best = set(e.vec_id.to_numpy()[np.lexsort((e.vec_id, -s))[:20]])
+        hit, all_ = hit + len(best & set(g.vec_id)), all_ + 20
+    assert hit >= 0.9 * all_
+
+
+def test_topk_is_exact_in_blocks(spark):
+    x, rows = _vectors(spark)
+    y = np.floor(256 * x).astype(np.int64)
+    got = topk.op7_search(rows, rows.where(vectors.divisible("vec_id", 50)), block=300).toPandas()
+    assert got.query_id.nunique() == 30
+    for q, g in got.groupby("query_id"):
+        s = y @ y[q]
+        s[q] = -(2**60)
+        best = np.lexsort((np.arange(len(x)), -s))[:5]
+        g = g.sort_values("rank")
+        assert list(g.vec_id) == list(best) and list(g.score) == list(s[best])
+
+
+def test_topk_large_components(spark):
+    rows = vectors.clean(spark.createDataFrame(
+        [(0, [1e6, 3e6]), (1, [2e6, -1e6]), (2, [1e30, 1e30]), (3, [1e6, 3e6])],
+        "vec_id long, embedding array<double>"))
+    got = {r.vec_id: r.score for r in topk.op7_search(rows, rows.where("vec_id = 0")).collect()}
+    assert got[2] == 2**63 - 1 and got[3] == 256**2 * 10**13 and got[1] == -(256**2) * 10**12
+
+
+# ---- 5 toxicity ---------------------------------------------------------------------
+
+def test_clause_kinds():
+    g = toxicity.Grammar({"idiot": 2.0}, {"moro": 1.0})
+    kind = lambda t: {k for k, v in toxicity.clauses(t, g, {}).items() if v}
+    assert kind("what an idiot") == {"plain"} and kind("you are an idiot") == {"targeted"}
+    assert kind("not an idiot") == {"negated"} and kind("he was said to be a moron") == {"reported"}
+    assert kind("i will kill you") == {"threat"} and kind("kill the process now") == set()
+    assert kind("clean. words only") == set()
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = registry.QUERIES["op5_toxicity"](spark, sf).toPandas().merge(
+        ds.dataset(f"{sf}/labels.parquet").to_table().to_pandas(), on="doc_id")
+    assert (rows.held_out == rows.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)).all()
+    out = rows[rows.held_out]
+    assert ((out.predicted == 1) == (out.toxic == 1)).mean() >= 0.95
+
+
+# ---- 6 secrets ----------------------------------------------------------------------
+
+SECRET = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def _base(text):
+    out = [(m.start(), 0, "assign", m.end()) for m in SECRET.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{k}:{a}:{b}" for a, _, k, b in sorted(out)]
+
+
+TRICKY = ["secret=token = abcdefgh token: a password:'x' api_key==zzzzzzzz", "AKIA" + "A" * 20 + "AKIA",
+          "é" * 50 + "😀 passwd = \"ümlaut\" TOKEN:abcdef" + "0123456789abcdef" * 3, "toKen \t= abcdefgh"]
+
+
+def test_secret_base_spans(spark, docs):
+    texts = docs.text.tolist() + TRICKY
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.findings(rows, secrets.scan(rows, secrets.BASE)).collect()
+    assert {r.doc_id: [f"{f.kind}:{f.start}:{f.end}" for f in r.findings] for r in found} == {
+        i: _base(t) for i, t in enumerate(texts)}
+
+
+def test_secret_ledger_scans_unseen_pairs_only(spark):
+    one = spark.createDataFrame([("a", "AKIA" + "B" * 20), ("b", "x")], "doc_id string, text string")
+    two = spark.createDataFrame([("c", "AKIA" + "B" * 20), ("d", "AKIA" + "C" * 20)],
+                                "doc_id string, text string")
+    # The ledger is trusted for seen pairs: a planted finding stays, a new version rescans.
+    ledger = secrets.scan(one).selectExpr(
+        "blob", "rules", "transform(findings, f -> named_struct('start', f.start + 100, "
+        "'rank', f.rank, 'kind', f.kind, 'end', f.end + 100)) findings")
+    got = {r.doc_id: [f.start for f in r.findings] for r in
+           secrets.findings(two, secrets.scan(two, ledger=ledger)).collect()}
+    assert got == {"c": [100], "d": [0]}
+    newer = tuple(r._replace(version=2) if r.kind == "access" else r for r in secrets.RULES)
+    got = {r.doc_id: [f.start for f in r.findings] for r in
+           secrets.findings(two, secrets.scan(two, newer, ledger)).collect()}
+    assert got == {"c": [0], "d": [0]}
+
+
+def test_redact(spark):
+    rows = spark.createDataFrame([(1, "é token=abcdefgh12 end"), (2, "clean"), (3, None)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(rows, secrets.scan(rows)).collect()}
+    assert got == {1: "é [assign] end", 2: "clean", 3: None}
+
+
+# ---- 8 BPE --------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(bpe.default_path()) as f:
+        return bpe.Vocabulary(f.read())
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _same(vocabulary, reference, text):
+    ids, decoded = next(vocabulary.encode([text]))
+    ids = array("I", ids).tolist()
+    want = reference.encode(text, add_special_tokens=False).ids
+    assert ids == want and decoded == reference.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_matches_library(vocabulary, reference, docs):
+    for text in docs.text:
+        _same(vocabulary, reference, text)
+    r = random.Random(3)
+    for n in (0, 1, 49, 500, 5000):
+        for letters in ("ab", "theing", "abcdefghijklmnopqrstuvwxyz"):
+            _same(vocabulary, reference, "".join(r.choice(letters) for _ in range(n)))
+    for text in ("ΑΣ ΣΑΣ", "x'll I'VE <|endoftext|><|startoftext|>", "a\x1cb\x85c\xa0d", "é ﬁ İ", "a" * 9000):
+        _same(vocabulary, reference, text)
+
+
+def test_streaming_keeps_a_bounded_window(vocabulary):
+    most = 0
+    merge = vocabulary.merge
+
+    def watched(ids):
+        nonlocal most
+        most = max(most, len(ids))
+        return merge(ids)
+
+    vocabulary.merge = watched
+    try:
+        word = b"thinging" * 3000
+        out = [t for part in vocabulary.stream(word) for t in part]
+    finally:
+        del vocabulary.merge
+    assert most <= 4 * vocabulary.ahead + 1
+    assert out == vocabulary.merge([*(vocabulary.inner[b] for b in word[:-1]), vocabulary.final[word[-1]]])
+
+
+def test_lookahead_of_a_small_list():
+    assert bpe.lookahead([("a", "b"), ("ab", "c")]) == 2
+    assert bpe.lookahead([("b", "c"), ("a", "bc")]) == 2 and bpe.lookahead([("ab", "c")]) is None
+
+
+def test_incremental_decoder(vocabulary):
+    text = "naïve café 日本 x"
+    ids = array("I", next(vocabulary.encode([text]))[0])
+    machine = bpe.Decoder(vocabulary, joined=False)
+    got = "".join(machine.feed([i]) for i in ids) + machine.finish()
+    assert got == text + " " and codecs.lookup("utf-8")
+
+
+def test_decode_frame(spark):
+    rows = spark.createDataFrame([(1, "hello world"), (2, None)], "doc_id long, text string")
+    back = bpe.decode(bpe.encode(rows, bpe.default_path()), bpe.default_path(), joined=False)
+    assert {r.doc_id: r.text for r in back.collect()} == {1: "hello world ", 2: ""}
+
+
+# ---- 9 language model ----------------------------------------------------------------
+
+def _lm(docs):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    toks = {i: [*re.findall(r"[^\x20\x09-\x0D]+", t.translate(lower)), None] for i, t in docs.text.items()}
+    out = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in toks}
+    c = Counter(w for i, t in toks.items() if not out[i] for w in t)
+    n, v = sum(c.values()), len(c)
+    return {i: (out[i], len(t), sum(c[w] > 0 for w in t), n,
+                sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)) for i, t in toks.items()}
+
+
+@pytest.mark.parametrize("head,wave", [(lm.HEAD, lm.WAVE_BYTES), (50, 30_000)])
+def test_lm_base_and_waves(spark, docs, head, wave):
+    rows = spark.createDataFrame(
+        [(int(i), zlib.crc32(str(i).encode()) % 10 == 0, t) for i, t in docs.text.items()],
+        "doc_id long, held_out boolean, text string")
+    model, total = lm.train_model(rows.where("NOT held_out"))
+    assert (wave == lm.WAVE_BYTES) == (len(lm.waves(model, wave)) == 1)
+    want = _lm(docs)
+    got = {r.doc_id: r for r in lm.score(rows, model, total, head, wave).collect()}
+    assert set(got) == set(want)
+    for i, (out, n, known, trained, base) in want.items():
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out, n, known, trained)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score <= 0
+    key = (head, wave)
+    test_lm_base_and_waves.scores[key] = {i: r.score for i, r in got.items()}
+    first = next(iter(test_lm_base_and_waves.scores.values()))
+    assert first == test_lm_base_and_waves.scores[key]  # waves change nothing
+
+
+test_lm_base_and_waves.scores = {}
+
+
+def test_bloom_levels():
+    grams = lm.mix(np.arange(1, 5001, dtype=np.uint64))
+    levels = lm.level(np.random.default_rng(1).geometric(0.2, 5000))
+    bits = lm.build(grams, levels)
+    found = lm.probe(bits, grams)
+    assert (found >= levels).all() and (found == levels).mean() > 0.95
+    assert (lm.probe(bits, lm.mix(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))) > 0).mean() < 0.05
+    assert list(lm.level(np.array([0, 1, 2, 3, 4, 8]))) == [0, 1, 2, 2, 3, 4]
+
+
+# ---- 10 licenses ----------------------------------------------------------------------
+
+def test_license_base(spark, docs):
+    texts = docs.text.tolist() + ["MIT-License; the mit\nLICENSE mit licenses", "General  Public (License)",
+                                  "submit license", "mit licenseé apache license"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, [(b.start, b.label) for b in sorted(r.base)])
+           for r in licenses.scan(rows).collect()}
+    for i, t in enumerate(texts):
+        w = [x for x in re.split("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", t) if x]
+        w = ["".join(c.lower() if c.isascii() else c for c in x) for x in w]
+        want = sorted((j, label) for label, phrase in licenses.BASE for j in range(len(w))
+                      if w[j:j + len(phrase.split())] == phrase.split())
+        assert got[i] == (len(w), want), t
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("Licensed under the Apache License, Version 2.0.", {"apache-2.0"}),
+    ("This work is licensed under the GNU Lesser General Public License v2.1 or later", {"lgpl-2.1"}),
+    ("SPDX-License-Identifier: BSD-3-Clause", {"bsd-3-clause"}),
+    ("licensed under CC BY-NC 4.0", {"cc-by-nc"}), ("Released under the MIT License.", {"mit"}),
+    ("We commit to nothing; general remarks on public parks.", set()),
+    ("This is free and unencumbered software released into the public domain.", {"unlicense"}),
+])
+def test_license_labels(spark, text, labels):
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert {d.label for d in licenses.scan(rows).first().detections} == labels
+
+
+def test_hundreds_of_rules_each_behind_the_gate():
+    assert len(licenses.RULES) >= 200
+    gate = re.compile(licenses.gate(licenses.RULES))
+    assert all(gate.search(r.keyword) for r in licenses.RULES)
+    assert not gate.search("plain words that name nothing here")
