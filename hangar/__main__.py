@@ -1,7 +1,8 @@
 """Command line: ``python -m hangar <command> ...``
 
 refresh   rebuild the warehouse (full refresh) from operational sources
-query     run one KPI query on a warehouse (q1-q3) or on the sources (q4-q6)
+query     run one KPI query on a warehouse (q1-q3) or on the sources (q4-q6);
+          the whole result goes to --out, or as CSV to standard output
 
 Sources are either a folder of driver tables (``--driver-tables``), a folder
 with one parquet table per source (``--sources``: flights, maintenance,
@@ -12,10 +13,11 @@ lookup CSV files (``--jdbc-url`` ...).
 from __future__ import annotations
 
 import argparse
+import csv
 import os
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from hangar.plans import etl, source_kpis, warehouse_kpis
 from hangar.session import ensure_checkpoint_dir
@@ -24,6 +26,26 @@ from hangar.sources import driver_views, readers
 SOURCE_NAMES = ("flights", "maintenance", "reports", "aircraft_lookup", "personnel_lookup")
 
 
+def _jdbc(args, name: str) -> dict[str, str]:
+    """Options of one table; ``--jdbc-partition name=column:lower:upper:count``
+    reads it by that many range queries instead of one cursor."""
+    ranges = dict(p.split("=", 1) for p in args.jdbc_partition)
+    column, lower, upper, count = (ranges[name].rsplit(":", 3) if name in ranges
+                                   else (None, None, None, None))
+    return readers.jdbc_options(
+        args.jdbc_url, args.jdbc_user, os.environ.get("HANGAR_JDBC_PASSWORD", ""),
+        partition_column=column, lower_bound=lower, upper_bound=upper,
+        num_partitions=int(count) if count else None)
+
+
+def _print_all(df: DataFrame) -> None:
+    """Every row as CSV on standard output, one partition at a time."""
+    out = csv.writer(sys.stdout)
+    out.writerow(df.columns)
+    for row in df.toLocalIterator():
+        out.writerow(row)
+
+
 def _sources(spark: SparkSession, args) -> driver_views.OperationalSources:
     if args.driver_tables:
         return driver_views.load(spark, args.driver_tables)
@@ -31,12 +53,10 @@ def _sources(spark: SparkSession, args) -> driver_views.OperationalSources:
         return driver_views.OperationalSources(
             **{n: spark.read.parquet(os.path.join(args.sources, n)) for n in SOURCE_NAMES})
     if args.jdbc_url:
-        opts = readers.jdbc_options(args.jdbc_url, args.jdbc_user,
-                                    os.environ.get("HANGAR_JDBC_PASSWORD", ""))
+        tables = {name: readers.read_source(spark, name, fmt="jdbc", options=_jdbc(args, name))
+                  for name in ("flights", "maintenance", "reports")}
         return driver_views.OperationalSources(
-            flights=readers.read_source(spark, "flights", fmt="jdbc", options=opts),
-            maintenance=readers.read_source(spark, "maintenance", fmt="jdbc", options=opts),
-            reports=readers.read_source(spark, "reports", fmt="jdbc", options=opts),
+            **tables,
             aircraft_lookup=readers.read_aircraft_lookup(spark, args.aircraft_csv),
             personnel_lookup=readers.read_personnel_lookup(spark, args.personnel_csv),
         )
@@ -52,6 +72,8 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--sources")
         s.add_argument("--jdbc-url")
         s.add_argument("--jdbc-user", default="")
+        s.add_argument("--jdbc-partition", action="append", default=[],
+                       help="name=column:lower:upper:count, once per table")
         s.add_argument("--aircraft-csv")
         s.add_argument("--personnel-csv")
         s.add_argument("--master", help="e.g. local[8]; default: from spark-submit")
@@ -59,6 +81,8 @@ def main(argv: list[str] | None = None) -> int:
     q = sub.choices["query"]
     q.add_argument("name", choices=["q1", "q2", "q3", "q4", "q5", "q6"])
     q.add_argument("--warehouse")
+    q.add_argument("--out", help="folder for the result; default: CSV on standard output")
+    q.add_argument("--format", default="csv", choices=["csv", "parquet", "json", "orc"])
     args = p.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"hangar-{args.command}")
@@ -84,7 +108,10 @@ def main(argv: list[str] | None = None) -> int:
               "q5": lambda: source_kpis.reporting(s.flights, s.reports, s.aircraft_lookup),
               "q6": lambda: source_kpis.reporting_by_role(s.flights, s.reports,
                                                           s.aircraft_lookup)}[args.name]()
-    df.show(n=1000, truncate=False)
+    if args.out:
+        df.write.format(args.format).option("header", True).mode("overwrite").save(args.out)
+    else:
+        _print_all(df)
     return 0
 
 

@@ -49,6 +49,11 @@ def text_to_date(text: Column | str) -> Column:
 
 
 def text_to_id(text: Column | str) -> Column:
-    """Numeric text (``12``, ``12.0``, `` 7 ``) to BIGINT; non-numeric -> null."""
+    """Numeric text (``12``, ``12.0``, `` 7 ``) to BIGINT, exactly.
+
+    Fractions (``12.7``), non-numbers (``NaN``, ``x``) and numbers beyond a
+    BIGINT (``1e300``) -> null: an id is never rounded to another one.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    return F.trim(text).try_cast("double").cast("bigint")
+    number = F.trim(text).try_cast("decimal(38,18)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))

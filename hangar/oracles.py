@@ -14,16 +14,16 @@ from __future__ import annotations
 SOURCES = """
 with
 aircraft_lookup as (
-  select 'XY-'||lpad(cast(s_suppkey as varchar),3,'0') aircraft_reg_code,
-         'MSN'||lpad(cast(s_suppkey as varchar),6,'0') manufacturer_serial_number,
-         'M'||lpad(cast(s_nationkey as varchar),2,'0') aircraft_model,
+  select 'XY-'||printf('%03d', s_suppkey) aircraft_reg_code,
+         'MSN'||printf('%06d', s_suppkey) manufacturer_serial_number,
+         'M'||printf('%02d', s_nationkey) aircraft_model,
          case when s_nationkey%2=0 then 'Airbus' else 'Boeing' end aircraft_manufacturer
   from supplier where s_suppkey%7<>3),
 personnel_lookup as (
-  select c_custkey reporteurid, 'N'||lpad(cast(c_nationkey as varchar),2,'0') airport
+  select c_custkey reporteurid, 'N'||printf('%02d', c_nationkey) airport
   from customer where c_custkey%13<>0),
 fl_base as (
-  select 'XY-'||lpad(cast(l_suppkey as varchar),3,'0') reg, l_orderkey ok,
+  select 'XY-'||printf('%03d', l_suppkey) reg, l_orderkey ok,
          (l_returnflag='R' and l_linestatus='O') cancelled,
          l_shipdate+to_minutes(cast((l_partkey*37)%1440 as int)) sd,
          cast(60+l_quantity*12 as int) dur,
@@ -41,7 +41,7 @@ flights as (
          sa scheduledarrival
   from fl_times),
 maintenance as (
-  select 'XY-'||lpad(cast(o_custkey%(select count(*) from supplier) as varchar),3,'0')
+  select 'XY-'||printf('%03d', o_custkey%(select count(*) from supplier))
            aircraftregistration,
          o_orderdate+to_minutes(cast((o_orderkey%24)*60
            +case when o_orderkey%50=1 then 5256000 else 0 end as int)) scheduleddeparture,
@@ -51,7 +51,7 @@ maintenance as (
          o_orderstatus='F' programmed
   from orders),
 reports as (
-  select 'XY-'||lpad(cast((o_orderkey*7)%(select count(*) from supplier) as varchar),3,'0')
+  select 'XY-'||printf('%03d', (o_orderkey*7)%(select count(*) from supplier))
            aircraftregistration,
          cast(o_orderdate+to_minutes(cast(case when o_orderkey%50=0 then 5256000 else 0 end as int))
            as date) reportingdate,
@@ -480,11 +480,18 @@ select o_orderkey, "text", cast(try_strptime("text", '%Y-%m-%d') as date) parsed
 ORACLES["csv_text_ids"] = """
 with t as (
   select o_orderkey,
-         case o_orderkey % 4
+         case o_orderkey % 8
            when 0 then cast(o_custkey as varchar)
            when 1 then cast(o_custkey as varchar) || '.0'
            when 2 then ' ' || cast(o_custkey as varchar) || ' '
+           when 4 then cast(o_custkey as varchar) || '.7'
+           when 5 then cast(o_custkey + 9007199254740993 as varchar)
+           when 6 then 'NaN'
+           when 7 then '1e300'
            else 'id' || cast(o_custkey as varchar) end as "text"
   from orders)
-select o_orderkey, "text", cast(try_cast(trim("text") as double) as bigint) reporteurid from t
+select o_orderkey, "text",
+       case when regexp_full_match(trim("text"), '[0-9]+([.]0*)?')
+            then cast(split_part(trim("text"), '.', 1) as bigint) end reporteurid
+from t
 """

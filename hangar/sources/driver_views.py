@@ -56,7 +56,9 @@ def _minutes(e: Column) -> Column:
 
 
 def _padded(prefix: str, value: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), width, "0"))
+    """Prefix and number, zero-padded to at least ``width`` digits (null stays null)."""
+    digits = F.format_string(f"{prefix}%0{width}d", value.cast("bigint"))
+    return F.when(value.isNotNull(), digits)
 
 
 def aircraft_lookup(supplier: DataFrame) -> DataFrame:

@@ -19,11 +19,12 @@ FLIGHT_COLUMNS = [f.name for f in schemas.FLIGHTS]
 MAINTENANCE_COLUMNS = [f.name for f in schemas.MAINTENANCE]
 REPORT_COLUMNS = [f.name for f in schemas.REPORTS]
 
-# operational table names in the source database
+# operational table names in the source database: the schema names are upper
+# case there, so they are quoted (unquoted names are folded to lower case)
 SOURCE_TABLES = {
-    "flights": "AIMS.flights",
-    "maintenance": "AIMS.maintenance",
-    "reports": "AMOS.postflightreports",
+    "flights": '"AIMS"."flights"',
+    "maintenance": '"AIMS"."maintenance"',
+    "reports": '"AMOS"."postflightreports"',
 }
 
 
@@ -81,8 +82,9 @@ def jdbc_options(
     parallel range queries instead of one cursor.  The options hold the
     password: never log them.
     """
+    # wall-clock times stay wall-clock times: no detour by the session's zone
     opts = {"url": url, "user": user, "password": password, "driver": driver,
-            "fetchsize": str(fetchsize)}
+            "fetchsize": str(fetchsize), "preferTimestampNTZ": "true"}
     if partition_column:
         if lower_bound is None or upper_bound is None or not num_partitions:
             raise ValueError("a partitioned JDBC read needs bounds and num_partitions")

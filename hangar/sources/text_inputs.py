@@ -3,7 +3,8 @@
 ``text_dates`` / ``text_ids`` derive text columns from ``orders`` -- clean,
 unpadded, with an extra time part, padded with blanks, or broken on
 purpose -- and coerce them the way the warehouse does: a date must be
-exactly ``yyyy-M-d`` (else null), an id any numeric text (else null).
+exactly ``yyyy-M-d`` (else null), an id a whole number in any numeric
+notation that fits a BIGINT (else null).
 """
 
 from __future__ import annotations
@@ -28,10 +29,14 @@ def text_dates(orders: DataFrame) -> DataFrame:
 
 
 def text_ids(orders: DataFrame) -> DataFrame:
-    k, c = F.col("o_orderkey") % 4, F.col("o_custkey").cast("string")
+    k, c = F.col("o_orderkey") % 8, F.col("o_custkey").cast("string")
     text = (F.when(k == 0, c)
             .when(k == 1, F.concat(c, F.lit(".0")))
             .when(k == 2, F.concat(F.lit(" "), c, F.lit(" ")))
+            .when(k == 4, F.concat(c, F.lit(".7")))
+            .when(k == 5, (F.col("o_custkey") + F.lit(9007199254740993)).cast("string"))
+            .when(k == 6, F.lit("NaN"))
+            .when(k == 7, F.lit("1e300"))
             .otherwise(F.concat(F.lit("id"), c)))
     return orders.select("o_orderkey", text.alias("text")).withColumn(
         "reporteurid", text_to_id("text"))

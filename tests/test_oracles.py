@@ -11,8 +11,9 @@ import __spark_entry__ as entry
 from scripts.compare_oracles import TABLES, rows_of
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
+# queries that SQL cannot express are tested against brute force instead
+QUERIES = {name: q for name, q in entry.queries().items() if name in ORACLES}
 
 
 @pytest.fixture(scope="module")

@@ -23,6 +23,21 @@ def test_text_dates_and_ids(spark):
     assert [r.i for r in out] == [12, 12, 7, None]
 
 
+def test_text_ids_are_exact_or_null(spark):
+    texts = ["12.7", "9007199254740993", "NaN", "1e300", "-4", "9223372036854775808", "1e3", "",
+             None, "Infinity"]
+    df = spark.createDataFrame([(t,) for t in texts], "i string")
+    out = [r.i for r in df.select(text_to_id("i").alias("i")).collect()]
+    assert out == [None, 9007199254740993, None, None, -4, None, 1000, None, None, None]
+
+
+def test_registrations_stay_distinct(spark):
+    supplier = spark.range(100_000).selectExpr("id AS s_suppkey", "cast(id % 25 AS int) AS s_nationkey")
+    lookup = driver_views.aircraft_lookup(supplier)
+    assert lookup.select("aircraft_reg_code").distinct().count() == lookup.count() == 85_714
+    assert lookup.where("aircraft_reg_code = 'XY-005'").count() == 1
+
+
 def test_csv_lookups(spark):
     folder = tempfile.mkdtemp(prefix="hangar-csv-")
     ac, pers = os.path.join(folder, "aircraft.csv"), os.path.join(folder, "personnel.csv")
@@ -52,6 +67,8 @@ def test_jdbc_options():
     opts = readers.jdbc_options("jdbc:postgresql://db/x", "u", "p", partition_column="id",
                                 lower_bound="1", upper_bound="100", num_partitions=8)
     assert opts["numPartitions"] == "8" and opts["partitionColumn"] == "id"
+    assert opts["preferTimestampNTZ"] == "true"
+    assert readers.SOURCE_TABLES["flights"] == '"AIMS"."flights"'
     with pytest.raises(ValueError):
         readers.jdbc_options("jdbc:postgresql://db/x", "u", "p", partition_column="id")
 
