@@ -10,11 +10,11 @@ bands of ``ROWS`` coordinates select candidates, which are verified exactly.
 
 Exact copies are folded first, so signatures are made once per text.  Within a
 bucket members are compared with leaders, not with each other: first with one
-leader; then, while the members of a bucket lie in several classes, those of
-its smallest classes lead in turn against the members of other classes, until
-each bucket is one class or all its pairs across classes have been tried.  No
-link that a bucket holds is lost, and a large group of copies costs a few
-comparisons per member.  Classes are connected components (alternating large
+leader; then, in buckets of several classes, members of the largest class lead
+against those outside it.  What is still in a bucket of several classes is dealt
+out to blocks, and a task compares two blocks at a time and hands on a link per
+pair of classes that belong together.  No link that a bucket holds is lost, pairs
+are not listed, and a large group of copies costs a few comparisons per member.  Classes are connected components (alternating large
 and small stars), kept in tables; nothing of the documents goes to the driver.
 
 Defined cases: a null text counts as empty; texts without words are alike only
@@ -38,8 +38,8 @@ from hangar.llm.common import ship, staged, table
 #: Shingle length and least similarity; coordinates = bands x rows.  A pair at
 #: 0.8 is missed with probability (1 - 0.8 ** 6) ** 32 < 0.0001.
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
-#: Leaders per bucket in the second round; each later round takes four times as many.
-LEADERS = 32
+#: Leaders per bucket in the rounds after the first; texts in a block of the last.
+CENTRE, BLOCK = (4, 16), 512
 
 _M = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 
@@ -190,7 +190,7 @@ def components(edges: DataFrame) -> DataFrame:
         sym = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (sym.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+                 .where("u <> v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(
             F.explode(F.array(F.col("u"), F.col("v"))).alias("u"), F.col("m").alias("v"))
@@ -203,6 +203,78 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
 
 
+def common(x: list[np.ndarray], y: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each x with each y (sorted distinct elements),
+    as products of 0/1 matrices over the shared elements, some columns at a time."""
+    out = np.zeros((len(x), len(y)), dtype=np.float32)
+    flat = [np.concatenate(z) if z else np.zeros(0, np.int32) for z in (x, y)]
+    shared = np.intersect1d(*flat)
+    rows = [np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (x, y)]
+    spots = [np.searchsorted(shared, f) for f in flat]
+    live = [shared[np.minimum(p, len(shared) - 1)] == f if len(shared) else np.zeros(len(f), bool)
+            for p, f in zip(spots, flat)]
+    rows, spots = ([z[k] for z, k in zip(q, live)] for q in (rows, spots))
+    order = [np.argsort(p, kind="stable") for p in spots]
+    rows, spots = ([z[o] for z, o in zip(q, order)] for q in (rows, spots))
+    for at in range(0, len(shared), columns):
+        parts = []
+        for z, r, p in zip((x, y), rows, spots):
+            lo, hi = np.searchsorted(p, [at, at + columns])
+            m = np.zeros((len(z), columns), dtype=np.float32)
+            m[r[lo:hi], p[lo:hi] - at] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def block_links(rows: DataFrame, sets: DataFrame, least: float, size: int = BLOCK) -> DataFrame:
+    """Links between different classes within buckets: ``rows`` is band, rid, root.
+
+    A bucket is dealt out to blocks of about ``size`` texts; a task compares two
+    blocks and hands on a link for each pair of classes that it joins.
+    """
+    ship(rows.sparkSession)
+    parts = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("k"))
+    dealt = rows.join(parts, "band").withColumn(
+        "own", F.pmod(F.xxhash64("rid", "band"), F.col("k")).cast("int"))
+    tasks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "rid", "root")
+
+    def run(key, group):
+        own, root = (np.asarray(group.column(c)) for c in ("own", "root"))
+        texts = [np.asarray(v.values) for v in group.column("shingles").combine_chunks()]
+        i, j = key[1].as_py(), key[2].as_py()
+        left = np.flatnonzero(own == i)
+        right = np.flatnonzero(own == j)
+        both = common([texts[k] for k in left], [texts[k] for k in right])
+        sizes = np.array([len(t) for t in texts], dtype=np.float32)
+        total = sizes[left][:, None] + sizes[right][None, :] - both
+        a, b = np.nonzero((both >= np.float32(least) * total - 1e-3)
+                          & (root[left][:, None] != root[right][None, :]))
+        pairs = np.unique(np.sort(np.stack([root[left][a], root[right][b]], 1), axis=1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return tasks.join(sets, "rid").groupBy("band", "i", "j").applyInArrow(
+        run, "a long, b long").distinct()
+
+
+def star_components(links: DataFrame) -> DataFrame:
+    """``components`` of links (leader a, member b) with many members to a leader.
+
+    A member hangs on the least of its leaders, and what it links are its
+    leaders: only leaders need the rounds of ``components``.
+    """
+    least = staged(links.groupBy("b").agg(F.min("a").alias("m")), "leaders")
+    others = links.join(least, "b").where("a <> m").select("a", F.col("m").alias("b"))
+    own = least.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select(
+        F.col("b").alias("a"), F.col("m").alias("b"))
+    roots = staged(components(others.union(own)), "leader_roots")
+    hang = least.join(roots.withColumnRenamed("id", "m"), "m", "left").select(
+        F.col("b").alias("id"), F.coalesce("root", "m").alias("root"))
+    return hang.join(roots, "id", "left_anti").union(roots)
+
+
 def near_links(reps: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """rid and root of the representatives that have a near-duplicate.
 
@@ -218,41 +290,44 @@ def near_links(reps: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = (members.where(F.col("rid") != F.col("lead.rid"))
              .where(sized(F.col("n"), F.col("lead.n")))
              .select(F.col("lead.rid").alias("a"), F.col("rid").alias("b")).distinct())
+    # the sets of what shares a bucket: all that is compared from here on
+    reps = staged(reps.select("rid", "shingles").join(
+        members.select("rid").distinct(), "rid", "left_semi"), "near_sets")
     links = staged(similar(pairs, reps, least), "near_links")
     roots = staged(members.select(F.col("rid").alias("id")).distinct().join(
-        components(links), "id", "left").select("id", F.coalesce("root", "id").alias("root")),
+        star_components(links), "id", "left").select("id", F.coalesce("root", "id").alias("root")),
         "near_roots")
     # A leader has met its whole bucket and needs no more comparisons there.
     left = members.where(F.col("rid") != F.col("lead.rid")).select("band", "rid", "n", "ord")
-    count = LEADERS
-    while True:
+    root = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))
+    for count in (*CENTRE, None):
         placed = left.join(roots.withColumnRenamed("id", "rid"), "rid")
         mixed = placed.groupBy("band").agg(
             F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
         live = placed.join(mixed, "band")
-        per = live.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
-        turn = Window.partitionBy("band").orderBy("c", "root", "ord")
-        live = staged(live.join(per, ["band", "root"])
-                      .withColumn("pos", F.row_number().over(turn)), "near_open")
-        if live.isEmpty():
-            return roots
-        lead = live.where(F.col("pos") <= count).select(
-            "band", F.col("rid").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"),
-            F.col("pos").alias("ap"))
-        fresh = (live.join(lead, "band").where((F.col("root") != F.col("ar"))
-                                               & (F.col("pos") > F.col("ap")))
-                 .where(sized(F.col("n"), F.col("an")))
-                 .select("a", F.col("rid").alias("b")).distinct())
-        found = similar(fresh, reps, least)
-        root = lambda c: roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))
-        found = staged(found.join(root("a"), "a").join(root("b"), "b").select(
-            F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "near_links")
+        if count is None:
+            found = block_links(staged(live.select("band", "rid", "root"), "near_open"), reps, least)
+        else:
+            per = live.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
+            order = Window.partitionBy("band").orderBy(F.desc("c"), "root", "ord")
+            live = staged(live.join(per, ["band", "root"])
+                          .withColumn("pos", F.row_number().over(order)), "near_open")
+            lead = live.where(F.col("pos") <= count).select(
+                "band", F.col("rid").alias("a"), F.col("n").alias("an"),
+                F.col("root").alias("ar"), F.col("pos").alias("ap"))
+            pairs = (live.join(lead, "band").where((F.col("root") != F.col("ar"))
+                                                   & (F.col("pos") > F.col("ap")))
+                     .where(sized(F.col("n"), F.col("an")))
+                     .select("a", F.col("rid").alias("b")).distinct())
+            left = live.where(F.col("pos") > count).select("band", "rid", "n", "ord")
+            found = similar(pairs, reps, least).join(root("a"), "a").join(root("b"), "b").select(
+                F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+        found = staged(found, "near_links")
         if not found.isEmpty():  # classes that a new link joins
             joined = components(found).select(F.col("id").alias("root"), F.col("root").alias("_to"))
             roots = staged(roots.join(joined, "root", "left").select(
                 "id", F.coalesce("_to", "root").alias("root")), "near_roots")
-        left = live.where(F.col("pos") > count).select("band", "rid", "n", "ord")
-        count *= 4
+    return roots
 
 
 def keyed(docs: DataFrame) -> DataFrame:
