@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hangar.functions.keys import broadcast_if_small
-from hangar.session import ensure_checkpoint_dir
 from hangar.functions.temporal import day_of
 
 REG, CANCELLED = "aircraftregistration", "cancelled"
@@ -79,42 +77,19 @@ def flight_order() -> list[Column]:
 OVERLAPS = "overlaps"
 
 
-HOT_DAY_FLIGHTS = 1_000_000  # flights of one aircraft on one day that make the day "hot"
-MAX_HOT_DAYS_BROADCAST = 1_000_000  # hot (aircraft, day) pairs broadcast at most
+#: Minutes in a bucket of departures.
+BUCKETS = {"day": 1440, "hour": 60, "minute": 1}
 
 
-def _overlap_buckets(flown: DataFrame, bucket: str, hot_day_flights: int) -> DataFrame:
-    """Integer, order-preserving bucket of each flown flight.
-
-    ``"day"``: one bucket per (aircraft, day), except that a day with more
-    than ``hot_day_flights`` flights of one aircraft is split into minute
-    buckets -- such a day would otherwise be a single window partition.  The
-    hot days come from a map-side count per (aircraft, day); the list is
-    broadcast only when a bounded count shows it small, else it is joined
-    by shuffle.  ``"hour"`` / ``"minute"``: fixed finer buckets.
-    Bucket numbers count minutes since 1970-01-01 of the wall clock, so they
-    grow with the departure whatever the granularity (no time zone).
-    """
+def _bucket(bucket: str) -> Column:
+    """Integer, order-preserving bucket of a departure: minutes since 1970-01-01
+    of the wall clock, rounded down, so no time zone is involved."""
     day = F.datediff(F.to_date(F.col(DEP)), F.lit("1970-01-01").cast("date")).cast("bigint")
     minute = day * 1440 + F.hour(F.col(DEP)) * 60 + F.minute(F.col(DEP))
-    if bucket == "hour":
-        return flown.withColumn("_bucket", day * 1440 + F.hour(F.col(DEP)) * 60)
-    if bucket == "minute":
-        return flown.withColumn("_bucket", minute)
-    with_day = flown.withColumn("_day", day)
-    hot = (with_day.groupBy(REG, "_day").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_day_flights).select(REG, "_day", F.lit(True).alias("_hot")))
-    # computed once into the shared checkpoint folder; the size check and the
-    # broadcast then read the stored (normally empty) list
-    ensure_checkpoint_dir(flown.sparkSession)
-    hot = broadcast_if_small(hot.checkpoint(eager=True), MAX_HOT_DAYS_BROADCAST)
-    return (with_day.join(hot, [REG, "_day"], "left")
-            .withColumn("_bucket", F.when(F.col("_hot"), minute).otherwise(F.col("_day") * 1440))
-            .drop("_day", "_hot"))
-
-
-def mark_overlapping(flights: DataFrame, bucket: str = "day",
-                     hot_day_flights: int = HOT_DAY_FLIGHTS) -> DataFrame:
+    return minute - minute % BUCKETS[bucket]
+
+
+def mark_overlapping(flights: DataFrame, bucket: str = "hour") -> DataFrame:
     """All flights plus a boolean ``overlaps``: true for every flown flight
     that is still in the air when the next one of the same aircraft departs.
 
@@ -127,23 +102,22 @@ def mark_overlapping(flights: DataFrame, bucket: str = "day",
 
     Scale: the "next departure" is a ``lead`` over a window partitioned by
     (aircraft, bucket of departure), so one busy aircraft is spread over as
-    many tasks as it has flying days -- and a hot day over its minutes (see
-    ``_overlap_buckets``).  The last flight of a bucket needs the first
-    departure of the aircraft's next non-empty bucket: a summary with one
-    row per (aircraft, bucket) -- pre-aggregated map-side, bounded per
-    aircraft by the days (or minutes) of history -- finds it, and one
-    "ghost" row per bucket carrying it is unioned into the same window
+    many tasks as it has flying hours, whatever the data.  The last flight of
+    a bucket needs the first departure of the aircraft's next non-empty
+    bucket: a summary with one row per (aircraft, bucket) -- pre-aggregated
+    map-side, bounded per aircraft by the hours of history (8,766 a year) --
+    finds it, and one "ghost" row per bucket carrying it is unioned into the same window
     input, ordered after the bucket's flights.  The flights are shuffled
     once for the window and never joined with it.
     """
-    if bucket not in ("day", "hour", "minute"):
+    if bucket not in BUCKETS:
         raise ValueError(f"bucket must be 'day', 'hour' or 'minute', not {bucket!r}")
     cols = flights.columns
     takes_part = F.coalesce(
         (~F.col(CANCELLED)) & F.col(REG).isNotNull() & F.col(DEP).isNotNull(), F.lit(False)
     )
-    flown = (_overlap_buckets(flights.where(takes_part), bucket, hot_day_flights)
-             .withColumns({"_ghost": F.lit(False), "_dep": F.col(DEP)}))
+    flown = flights.where(takes_part).withColumns(
+        {"_bucket": _bucket(bucket), "_ghost": F.lit(False), "_dep": F.col(DEP)})
     others = flights.where(~takes_part).withColumn(OVERLAPS, F.lit(False))
 
     # per (aircraft, bucket): first departure of the next non-empty bucket
@@ -164,11 +138,10 @@ def mark_overlapping(flights: DataFrame, bucket: str = "day",
     return marked.unionByName(others)
 
 
-def split_overlapping(flights: DataFrame, bucket: str = "day",
-                      hot_day_flights: int = HOT_DAY_FLIGHTS) -> tuple[DataFrame, DataFrame]:
+def split_overlapping(flights: DataFrame, bucket: str = "hour") -> tuple[DataFrame, DataFrame]:
     """``(clean, rejects)`` of ``mark_overlapping``.  The pipeline stages the
     marked flights once and filters them twice instead."""
-    marked = mark_overlapping(flights, bucket, hot_day_flights)
+    marked = mark_overlapping(flights, bucket)
     return (marked.where(~F.col(OVERLAPS)).drop(OVERLAPS),
             marked.where(F.col(OVERLAPS)).drop(OVERLAPS))
 

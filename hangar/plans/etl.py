@@ -3,8 +3,8 @@
 ``build`` composes every step as lazy DataFrames.  ``run_full_refresh`` adds
 the side effects: precondition checks, staged tables in the shared
 checkpoint folder (so multi-consumer intermediates are computed once and a
-lost executor only re-runs the stage that wrote them), the warehouse tables
-and the reject files, all written with ``mode("overwrite")``.
+lost executor only re-runs the stage that wrote them), the constraint checks,
+the warehouse tables and the reject files.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hangar.operators import dimensions, facts, quality
+from hangar.operators import checks, dimensions, facts, quality
 from hangar.sources.driver_views import OperationalSources
 from hangar.session import ensure_checkpoint_dir, staging_path
 
@@ -52,7 +52,7 @@ class Warehouse:
     """
 
     def __init__(self, src: OperationalSources, materialize: Materialize = lazy,
-                 overlap_bucket: str = "day"):
+                 overlap_bucket: str = "hour"):
         self.src = src
         self._materialize = materialize
         self._bucket = overlap_bucket
@@ -159,7 +159,7 @@ class Warehouse:
 
 
 def build(src: OperationalSources, materialize: Materialize = lazy,
-          overlap_bucket: str = "day") -> Warehouse:
+          overlap_bucket: str = "hour") -> Warehouse:
     return Warehouse(src, materialize, overlap_bucket)
 
 
@@ -167,17 +167,28 @@ WAREHOUSE_TABLES = ["aircrafts", "airports", "dates", "daily_aircraft_stats",
                     "total_maintenance_reports"]
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
-                     run_id: str | None = None, overlap_bucket: str = "day",
+                     run_id: str | None = None, overlap_bucket: str = "hour",
                      rejects_format: str = "csv") -> dict[str, str]:
     """Rebuild the warehouse under ``out_dir`` (S9-S15) and write the rejects.
 
-    Preconditions (C4/T13) fail the run before anything is written.  Staged
-    intermediates go to the shared checkpoint folder; warehouse tables and
-    rejects to ``out_dir/<table>`` and ``out_dir/rejects/<rule>``.  Rejects
-    are CSV with a header like the operational logs (``rejects_format``
-    "parquet" suits very large runs).  Returns the written paths by table
-    name.
+    Preconditions (C4/T13) fail the run before anything is written.  All
+    stages, the warehouse tables included, are first written to the shared
+    checkpoint folder; the declared constraints (C1-C3) are checked there, and
+    a violation stops the run with the rules and their counts, so the
+    warehouse of the last good run stays as it is.  Then the tables are
+    published to ``out_dir/<table>`` in load order and the rejects to
+    ``out_dir/rejects/<rule>/run=<id>`` (every run's are kept), as CSV with a
+    header like the operational logs (``rejects_format`` "parquet" suits very
+    large runs).  The staged copies go at the end of a good run.  Returns the
+    written paths by table name.
     """
     spark.sparkContext.setJobDescription("hangar refresh: preconditions")
     quality.require_no_nulls(src.flights, ["cancelled"], "flights")
@@ -188,32 +199,41 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
     written: dict[str, str] = {}
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
-        if name in WAREHOUSE_TABLES:
-            path = os.path.join(out_dir, name)
-        else:
-            path = staging_path(spark, name, run)
+        path = staging_path(spark, name, run)
         spark.sparkContext.setJobDescription(f"hangar refresh: {name}")
         df.write.mode("overwrite").parquet(path)
-        written[name] = path
         return spark.read.parquet(path)
 
     wh = build(src, materialize, overlap_bucket)
-    for name in SHARED_STAGES:
-        # label the jobs of building (e.g. the overlap rule's hot-day list)
-        # and writing each stage
-        spark.sparkContext.setJobDescription(f"hangar refresh: {name}")
-        getattr(wh, name)
+    tables = {name: getattr(wh, name) for name in SHARED_STAGES}
+    tables = {name: tables[name] for name in WAREHOUSE_TABLES}
+    spark.sparkContext.setJobDescription("hangar refresh: constraints")
+    broken = checks.all_violations(tables).where("violations > 0").collect()  # one row per rule
+    if broken:
+        raise ValueError("the new warehouse breaks its constraints, nothing was published: "
+                         + ", ".join(f"{r.rule} ({r.violations})" for r in broken))
+    swapped = quality.count_reversed_times(src.flights).first()[0]
+    log.info("rule BR-22: %d flights with reversed times were swapped", swapped)
     for rule, df in (("overlapping_flights", wh.overlap_rejects),
                      ("invalid_reports", wh.reports_rejects)):
-        path = os.path.join(out_dir, "rejects", rule)
+        path = os.path.join(out_dir, "rejects", rule, f"run={run}")
         spark.sparkContext.setJobDescription(f"hangar refresh: rejects {rule}")
+        rows = Observation(f"{rule}_{run}")
+        df = df.observe(rows, F.count(F.lit(1)).alias("n"))
         writer = df.write.mode("overwrite")
         if rejects_format == "csv":
             writer.option("header", True).csv(path)
         else:
             writer.format(rejects_format).save(path)
         written[f"rejects/{rule}"] = path
+        log.info("rule %s: %d rows rejected", rule, rows.get["n"])
+    for name, df in tables.items():
+        path = os.path.join(out_dir, name)
+        spark.sparkContext.setJobDescription(f"hangar refresh: publish {name}")
+        df.write.mode("overwrite").parquet(path)
+        written[name] = path
     spark.sparkContext.setJobDescription(None)
+    delete_folder(spark, os.path.dirname(staging_path(spark, "any", run)))
     log.info("warehouse refreshed under %s", out_dir)
     return written
 

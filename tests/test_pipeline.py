@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import tempfile
 
+import pytest
+
 from hangar.operators import checks
 from hangar.plans import etl, warehouse_kpis
+from hangar.session import staging_path
 from hangar.sources import driver_views
 from tests.conftest import SF_SMALL
 
@@ -33,6 +37,24 @@ def test_full_refresh_writes_a_consistent_warehouse(spark):
     assert tables["total_maintenance_reports"].agg({"reports": "sum"}).first()[0] == 502
 
 
+def test_refresh_refuses_broken_tables_and_keeps_rejects(spark):
+    out = tempfile.mkdtemp(prefix="hangar-wh-")
+    src = driver_views.load(spark, SF_SMALL)
+    first = etl.run_full_refresh(spark, src, out, run_id="one")
+    bad = src.aircraft_lookup.unionByName(spark.range(1).selectExpr(
+        "'XY-NEW' AS aircraft_reg_code", "'1' AS manufacturer_serial_number",
+        "cast(null AS string) AS aircraft_model", "cast(null AS string) AS aircraft_manufacturer"))
+    with pytest.raises(ValueError, match=r"not_null:aircrafts.model \(1\)"):
+        etl.run_full_refresh(spark, dataclasses.replace(src, aircraft_lookup=bad), out, run_id="bad")
+    assert etl.open_warehouse(spark, out)["aircrafts"].count() == 9
+    second = etl.run_full_refresh(spark, src, out, run_id="two")
+    for rule in ("rejects/overlapping_flights", "rejects/invalid_reports"):
+        assert os.path.dirname(first[rule]) == os.path.dirname(second[rule])
+        assert sorted(os.listdir(os.path.dirname(first[rule]))) == ["run=one", "run=two"]
+    staging = os.path.dirname(os.path.dirname(staging_path(spark, "x", "two")))
+    assert not {"one", "two"} & set(os.listdir(staging))
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as entry
 

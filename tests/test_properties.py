@@ -63,11 +63,9 @@ def test_bucketed_overlap_equals_plain_window(spark, spec):
                                 & F.col("actualdeparture").isNotNull(), F.lit(False)))
     rest = df.exceptAll(flown).withColumn("overlaps", F.lit(False))
     want = sorted(map(tuple, _naive(flown).unionByName(rest).collect()), key=repr)
-    # day buckets (hot days split into minutes when > 1 flight), hour, minute
-    for bucket, hot in (("day", quality.HOT_DAY_FLIGHTS), ("day", 1), ("hour", 0),
-                        ("minute", 0)):
-        got = sorted(map(tuple, quality.mark_overlapping(df, bucket, hot).collect()), key=repr)
-        assert got == want, (bucket, hot)
+    for bucket in quality.BUCKETS:
+        got = sorted(map(tuple, quality.mark_overlapping(df, bucket).collect()), key=repr)
+        assert got == want, bucket
 
 
 @SETTINGS
