@@ -37,7 +37,7 @@ from hangar.llm.common import held_out, ship, staged, table
 
 #: Most frequent words whose exact counts are broadcast, bytes of filter per
 #: wave, tokens that a task counts before it hands on, n-grams per segment.
-HEAD, WAVE_BYTES, FLUSH, SEGMENT = 200_000, 96 << 20, 6_000_000, 1_000_000
+HEAD, WAVE_BYTES, FLUSH, SEGMENT = 200_000, 96 << 20, 1_500_000, 1_000_000
 #: Quantisation: level 1 + floor(log(count) / log(BASE)), at most TOP levels.
 BASE, TOP = 2.0, 40
 #: Filter bits per stored level (a power of two fits all), probes per level.
