@@ -11,7 +11,7 @@ sources    readers (parquet / csv / jdbc), projections, driver-table mapping
 functions  column helpers: rounding, durations, date keys, surrogate keys
 operators  quality rules, dimensions, facts, integrity checks
 plans      KPI queries, source-level KPI queries, the full-refresh pipeline
-streaming  intentionally empty: the warehouse is a full-refresh batch job
+llm        operators of a training-data pipeline (optional)
 """
 
 __version__ = "0.1.0"

@@ -20,7 +20,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from hangar.plans import etl, source_kpis, warehouse_kpis
-from hangar.session import ensure_checkpoint_dir
+from hangar.session import CHECKPOINT_CONF, ensure_checkpoint_dir
 from hangar.sources import driver_views, readers
 
 SOURCE_NAMES = ("flights", "maintenance", "reports", "aircraft_lookup", "personnel_lookup")
@@ -76,6 +76,8 @@ def main(argv: list[str] | None = None) -> int:
                        help="name=column:lower:upper:count, once per table")
         s.add_argument("--aircraft-csv")
         s.add_argument("--personnel-csv")
+        s.add_argument("--checkpoint-dir", help="folder that all executors share, if "
+                       "spark.checkpoint.dir is not set already")
         s.add_argument("--master", help="e.g. local[8]; default: from spark-submit")
     sub.choices["refresh"].add_argument("--out", required=True)
     q = sub.choices["query"]
@@ -88,7 +90,11 @@ def main(argv: list[str] | None = None) -> int:
     builder = SparkSession.builder.appName(f"hangar-{args.command}")
     if args.master:
         builder = builder.master(args.master).config("spark.ui.enabled", "false")
+    if args.checkpoint_dir:
+        builder = builder.config(CHECKPOINT_CONF, args.checkpoint_dir)
     spark = builder.getOrCreate()
+    if not spark.conf.get(CHECKPOINT_CONF, None):
+        raise SystemExit(f"set {CHECKPOINT_CONF} or give --checkpoint-dir")
     ensure_checkpoint_dir(spark)
     if args.command == "refresh":
         written = etl.run_full_refresh(spark, _sources(spark, args), args.out)

@@ -50,9 +50,9 @@ def ordered_ids(
         .select("_bucket", "_offset")
     )
     within = Window.partitionBy("_bucket").orderBy(*order_cols)
-    # offsets has one row per bucket value (bounded domain): safe to broadcast
+    # no hint: how many buckets there are depends on the keys, Spark knows the size
     return (
-        keyed.join(F.broadcast(offsets), "_bucket")
+        keyed.join(offsets, "_bucket")
         .withColumn(id_col, (F.col("_offset") + F.row_number().over(within)).cast("int"))
         .drop("_bucket", "_offset")
     )

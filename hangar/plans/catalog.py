@@ -33,16 +33,29 @@ def _src(spark: SparkSession, sf_dir: str) -> driver_views.OperationalSources:
     return driver_views.load(spark, sf_dir)
 
 
-_BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILT: dict[tuple, Warehouse] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of the tables that the warehouse is built from."""
+    sc, out = spark.sparkContext, []
+    for name in ("supplier", "customer", "lineitem", "orders"):
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        out.append((fs.getContentSummary(path).getLength(),
+                    fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Warehouse stages over ``sf_dir``; shared stages are checkpointed.
 
-    One build per (application, folder): later queries of the same session
-    start from the checkpointed stages instead of rebuilding them.
+    One build per application and state of the folder: later queries of the
+    same session start from the checkpointed stages instead of rebuilding them,
+    and tables that were rewritten are read anew.  The first query to ask for a
+    stage pays for it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir))
     if key not in _BUILT:
         _BUILT[key] = build(_src(spark, sf_dir), checkpointed)
     return _BUILT[key]
