@@ -8,13 +8,30 @@ them to the documents of a folder.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hangar.llm import bpe, mixing, neardup, secrets, toxicity
 from hangar.llm.common import staged, table
 
+#: The columns of documents; further ones go through the stages as they are.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def guarded(stage):
+    """Keeps further columns from clashing with names that a stage uses inside."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(own), sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in own.items()})
+
+    return run_stage
+
 
+@guarded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -22,6 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("toxic_score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
+@guarded
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one with the least id
     (null last), and of repeated rows any one."""
@@ -36,11 +54,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
             .dropDuplicates(["_key"]).select(*docs.columns))
 
 
+@guarded
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret found replaced by the name of its kind."""
     return secrets.redact(docs, secrets.scan(docs))
 
 
+@guarded
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: a row for each copy that it takes of a document."""
     sizes = staged(mixing.sized(docs), "mix_sizes")

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from hangar.llm.registry import QUERIES
-from tests.llm.conftest import EDGE, LONG
+from tests.llm.conftest import CLASH, EDGE, LONG
 
 BY_DOC = [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op5", "op6", "op8", "op9", "op10")]
 
@@ -103,3 +103,11 @@ def test_pipeline_edges(spark, edge_dir):
     ids = {r.doc_id for r in rows}
     assert 6 not in ids and ids <= {r[0] for r in EDGE}
     assert not any("hunter2" in r.decoded.replace("</w> ", "").replace(" ", "") for r in rows)
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_columns(spark, edge_dir, name, stage):
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet")
+    out = stage(spark, docs, edge_dir)
+    assert out.columns == docs.columns
+    assert all(r[c] == c for r in out.collect() for c in CLASH)
