@@ -215,36 +215,42 @@ def waves(model: DataFrame, most: int = WAVE_BYTES) -> list[list[int]]:
     return out
 
 
-def add_levels(rows: DataFrame, model: DataFrame, wave: list[int], segments: int) -> DataFrame:
-    """Adds to ``levels`` (bytes: words, then pairs, one per token) what this
-    wave's segments know.  ``rows``: uid, doc_id, held_out, text, levels."""
-    sc = rows.sparkSession.sparkContext
+def hold(model: DataFrame, wave: list[int]):
+    """The filters of a wave's segments, broadcast: at most the bytes of a wave."""
     held = {r.segment: bytes(r.bits) for r in
             model.where(F.col("segment").isin(wave)).select("segment", "bits").toLocalIterator()}
-    shared = sc.broadcast(held)
+    return model.sparkSession.sparkContext.broadcast(held)
+
+
+def levels_of(toks: list[np.ndarray], held: dict[int, bytes], segments: int,
+              before: list[bytes | None]) -> list[np.ndarray]:
+    """Per text a level for each word, then each pair: what the held segments know,
+    added to what earlier waves found."""
+    grams = np.concatenate([np.concatenate([t, pairs(t)]) for t in toks])
+    distinct, back = np.unique(grams, return_inverse=True)
+    seg, lv = segment_of(distinct, segments), np.zeros(len(distinct), np.uint8)
+    order = np.argsort(seg, kind="stable")
+    cuts = np.searchsorted(seg[order], np.arange(segments + 1))
+    for s, bits in held.items():
+        at = order[cuts[s]:cuts[s + 1]]
+        lv[at] = probe(np.frombuffer(bits, np.uint8), distinct[at])
+    parts = np.split(lv[back], np.cumsum([2 * len(t) for t in toks])[:-1])
+    return [p if b is None else p + np.frombuffer(b, np.uint8) for p, b in zip(parts, before)]
+
+
+def add_levels(rows: DataFrame, model: DataFrame, wave: list[int], segments: int) -> DataFrame:
+    """``rows`` (doc_id, held_out, text, levels) with what a wave adds to ``levels``."""
+    shared = hold(model, wave)
 
     def run(batches):
-        own = {k: np.frombuffer(v, np.uint8) for k, v in shared.value.items()}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 toks = [tokens(t) for t in part.column("text").to_pylist()]
-                grams = np.concatenate([np.concatenate([t, pairs(t)]) for t in toks])
-                distinct, back = np.unique(grams, return_inverse=True)
-                seg, lv = segment_of(distinct, segments), np.zeros(len(distinct), np.uint8)
-                order = np.argsort(seg, kind="stable")
-                cuts = np.searchsorted(seg[order], np.arange(segments + 1))
-                for s, bits in own.items():
-                    at_ = order[cuts[s]:cuts[s + 1]]
-                    lv[at_] = probe(bits, distinct[at_])
-                found, ends = lv[back], np.cumsum([2 * len(t) for t in toks])
-                old = part.column("levels").to_pylist()
-                new = []
-                for o, e, t in zip(old, ends, toks):
-                    mine = found[e - 2 * len(t):e]
-                    new.append((mine if o is None else mine + np.frombuffer(o, np.uint8)).tobytes())
+                new = levels_of(toks, shared.value, segments, part.column("levels").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(new, pa.binary())], names=part.schema.names)
+                    [*part.columns[:-1], pa.array([x.tobytes() for x in new], pa.binary())],
+                    names=part.schema.names)
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -269,10 +275,9 @@ def score(docs: DataFrame, model: DataFrame, total: dict, head: int = HEAD,
     kind = docs.schema["doc_id"].dataType
     rows = docs.select("doc_id", "held_out", "text", F.lit(None).cast("binary").alias("levels"))
     groups = waves(model, wave)
-    for i, w in enumerate(groups):
-        rows = add_levels(rows, model, w, total["segments"])
-        if i + 1 < len(groups):
-            rows = staged(rows, "lm_levels")
+    for w in groups[:-1]:  # the last wave is met while scoring
+        rows = staged(add_levels(rows, model, w, total["segments"]), "lm_levels")
+    last = hold(model, groups[-1] if groups else [])
     exact = model.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
         F.col("x.words").alias("word"), F.col("x.counts").alias("count"))
     top = exact.orderBy(F.desc("count"), "word").limit(head).collect()  # at most ``head`` pairs
@@ -290,9 +295,11 @@ def score(docs: DataFrame, model: DataFrame, total: dict, head: int = HEAD,
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out = {n: [] for n in ("n_tokens", "head_known", "head_sum", "score", "tail", "times")}
-                for text, lv in zip(part.column("text").to_pylist(),
-                                    part.column("levels").to_pylist()):
-                    t, n = np.unique(tokens(text).view(np.int64), return_counts=True)
+                toks = [tokens(t) for t in part.column("text").to_pylist()]
+                levels = levels_of(toks, last.value, total["segments"],
+                                   part.column("levels").to_pylist())
+                for tok, lv in zip(toks, levels):
+                    t, n = np.unique(tok.view(np.int64), return_counts=True)
                     spot = np.searchsorted(known, t)
                     spot[spot == len(known)] = 0
                     hit = known[spot] == t if len(known) else np.zeros(len(t), dtype=bool)
@@ -300,9 +307,7 @@ def score(docs: DataFrame, model: DataFrame, total: dict, head: int = HEAD,
                     out["n_tokens"].append(int(n.sum()))
                     out["head_known"].append(int(n[hit].sum()))
                     out["head_sum"].append(float((n[hit] * np.log10((c + floor[0]) / floor[1])).sum()))
-                    out["score"].append(log_prob(
-                        np.zeros(2 * int(n.sum()), np.uint8) if lv is None
-                        else np.frombuffer(lv, np.uint8), total))
+                    out["score"].append(log_prob(lv, total))
                     out["tail"].append(t[~hit])
                     out["times"].append(n[~hit])
                 ids = np.arange(uid, uid + part.num_rows)
