@@ -10,8 +10,8 @@ with the corpus; each wave adds the levels of its own n-grams to the texts'
 probes.  Probabilities come from the probed counts: a bigram estimate,
 interpolated with a smoothed unigram estimate.
 
-Pairs seen once in training are not stored (``PAIR_LEAST``, a fixed cutoff of
-the model at any size); they score by the unigram part.  All words are.
+All words and all pairs of the training texts are stored, those seen once
+included: segments, and with them waves, grow with the distinct n-grams.
 
 The base score needs exact counts.  The ``HEAD`` most frequent words are
 broadcast; the others, none of which is more frequent, are joined by hash.
@@ -42,7 +42,7 @@ HEAD, WAVE_BYTES, FLUSH, SEGMENT = 200_000, 96 << 20, 1_500_000, 1_000_000
 BASE, TOP = 2.0, 40
 #: Filter bits per stored level (a power of two fits all), probes per level.
 BITS, PROBES = 10, 4
-PAIR_LEAST, MIX, ALPHA = 2, 0.6, 0.1
+MIX, ALPHA = 0.6, 0.1
 TRAIN_MOD, TRAIN_OUT = 10, 0
 
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -173,7 +173,6 @@ def merge(parts: DataFrame) -> DataFrame:
         cols = {n: rows.column(n).to_pylist() for n in ("w", "wn", "p", "pn")}
         words, n = _sum(cols["w"], cols["wn"])
         grams, m = _sum(cols["p"], cols["pn"])
-        grams, m = grams[m >= PAIR_LEAST], m[m >= PAIR_LEAST]
         lw, lp = level(n), level(m)
         bits = build(np.concatenate([words, grams]), np.concatenate([lw, lp]))
         return pa.table({
@@ -238,10 +237,8 @@ def levels_of(toks: list[np.ndarray], held: dict[int, bytes], segments: int,
     return [p if b is None else p + np.frombuffer(b, np.uint8) for p, b in zip(parts, before)]
 
 
-def add_levels(rows: DataFrame, model: DataFrame, wave: list[int], segments: int) -> DataFrame:
+def add_levels(rows: DataFrame, shared, segments: int) -> DataFrame:
     """``rows`` (doc_id, held_out, text, levels) with what a wave adds to ``levels``."""
-    shared = hold(model, wave)
-
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -276,15 +273,16 @@ def score(docs: DataFrame, model: DataFrame, total: dict, head: int = HEAD,
     rows = docs.select("doc_id", "held_out", "text", F.lit(None).cast("binary").alias("levels"))
     groups = waves(model, wave)
     for w in groups[:-1]:  # the last wave is met while scoring
-        rows = staged(add_levels(rows, model, w, total["segments"]), "lm_levels")
+        shared = hold(model, w)
+        rows = staged(add_levels(rows, shared, total["segments"]), "lm_levels")
+        shared.destroy()  # one wave at a time, on the driver too
     last = hold(model, groups[-1] if groups else [])
     exact = model.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
         F.col("x.words").alias("word"), F.col("x.counts").alias("count"))
-    top = exact.orderBy(F.desc("count"), "word").limit(head).collect()  # at most ``head`` pairs
-    words = np.array([r.word for r in top], dtype=np.int64)
+    top = exact.orderBy(F.desc("count"), "word").limit(head).toArrow()  # at most ``head`` pairs
+    words, times = top.column("word").to_numpy(), top.column("count").to_numpy()
     order = np.argsort(words)
-    shared = spark.sparkContext.broadcast(
-        (words[order], np.array([r["count"] for r in top], dtype=np.int64)[order]))
+    shared = spark.sparkContext.broadcast((words[order], times[order]))
     floor = ALPHA, total["tokens"] + ALPHA * (total["distinct"] + 1)
 
     def run(batches):

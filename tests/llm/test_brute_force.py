@@ -378,6 +378,19 @@ def test_bloom_levels():
     assert list(lm.level(np.array([0, 1, 2, 3, 4, 8]))) == [0, 1, 2, 2, 3, 4]
 
 
+def test_lm_stores_every_pair(spark):
+    rows = spark.createDataFrame([(1, "ab cd ef"), (2, "ab cd gh")], "doc_id long, text string")
+    model, total = lm.train_model(rows)
+    bits = {r.segment: np.frombuffer(r.bits, np.uint8) for r in model.collect()}
+    grams = np.unique(np.concatenate([lm.pairs(lm.tokens(t)) for t in ("ab cd ef", "ab cd gh")]))
+    where = lm.segment_of(grams, total["segments"])
+    found = [int(lm.probe(bits[s], grams[i:i + 1])[0]) for i, s in enumerate(where)]
+    assert sorted(found) == [1, 1, 1, 1, 2, 2]  # four pairs are seen once
+    seen, unseen = (lm.score(spark.createDataFrame([(1, False, t)], "doc_id long, held_out boolean, text string"),
+                             model, total).first().score for t in ("cd ef", "ef cd"))
+    assert seen > unseen
+
+
 # ---- 10 licenses ----------------------------------------------------------------------
 
 def test_license_base(spark, docs):
