@@ -9,8 +9,12 @@ shard gets exact block counts per source that add up to the quotas.  A source
 hands disjoint runs of its permuted blocks to the shards, and each shard
 shuffles its own rows.
 
-What reaches the driver is one row and at most ``HAND`` candidates per source,
-and one number per source and shard: configuration-sized (see ``MAX_CELLS``), never documents or blocks.
+What the pass that is cut short still owes is filled, largest first, with free
+documents that fit, until none does: a histogram of their sizes per source says how
+many of each size, and they are looked up by their places.
+
+What reaches the driver is one row per source and one number per source and shard:
+configuration-sized (see ``MAX_CELLS``), never documents or blocks.
 """
 
 from __future__ import annotations
@@ -27,8 +31,6 @@ from hangar.llm.common import WORD, bucket, staged, table
 
 #: Block and shard counts, and the bound on sources x shards on the driver.
 BLOCKS, SHARDS, SEED = 1024, 16, 20240229
-#: Documents per source from which the rest of its target is filled.
-HAND = 64
 MAX_CELLS = 2_000_000
 #: Mixture weights of the sources in code-point order, repeating, and how
 #: often the words of a source may be repeated.
@@ -112,8 +114,8 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
     ``sizes`` as from ``sized`` (staged: it is read a few times).  One row per
     (source, block): source_size, target, ``units`` (epoch and shard of each
     whole pass over the block), and for the pass that is cut short: the
-    documents with ``place`` up to ``cut_place`` are taken, and those at ``picks``,
-    a few that fill up what is left of the target.
+    documents with ``place`` up to ``cut_place`` are taken, and at each place of
+    ``picks`` the first ``k`` of its ``n`` rows, which fill up what is left of the target.
     """
     spark = sizes.sparkSession
     blocks = staged(sizes.groupBy("source", "block").agg(
@@ -144,41 +146,73 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
                      "budget"))
     known = staged(known, "mix_known")
 
-    # The block that is cut: its documents in order while they fit.
+    # The block that is cut: its documents in order while they fit.  Rows of one place
+    # are a group of equal ones, of which the cut can take some.
     cut = known.where("part = 'cut'").select(
         F.col("source").alias("_s"), F.col("block").alias("_b"), "budget")
     inside = sizes.join(cut, F.col("source").eqNullSafe(F.col("_s"))
-                        & (F.col("block") == F.col("_b")))
-    upto = inside.withColumn("_end", F.sum("size").over(
-        Window.partitionBy("source", "block").orderBy("place")))
+                        & (F.col("block") == F.col("_b"))).groupBy(
+        "source", "block", "budget", "place", "size").agg(F.count("*").alias("n"))
+    run = Window.partitionBy("source", "block").orderBy("place", "size").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    upto = inside.withColumn("_end", F.sum(F.col("size") * F.col("n")).over(run)).withColumn(
+        "_left", F.col("budget") - F.col("_end") + F.col("size") * F.col("n"))
     fits = F.col("_end") <= F.col("budget")
-    cuts = upto.groupBy(F.col("source").alias("_s")).agg(
+    some = upto.withColumn("k", F.when(~fits & (F.col("_left") > 0), F.floor(
+        F.col("_left") / F.col("size"))).otherwise(0).cast("long"))
+    cuts = some.groupBy(F.col("source").alias("_s"), F.col("block").alias("_c")).agg(
         F.max(F.when(fits, F.col("place"))).alias("cut_place"),
-        (F.first("budget") - F.coalesce(F.max(F.when(fits, F.col("_end"))), F.lit(0))).alias("gap"))
+        (F.first("budget") - F.sum(F.when(fits, F.col("size") * F.col("n")).otherwise(
+            F.col("size") * F.col("k")))).alias("gap"),
+        F.max(F.when(F.col("k") > 0, F.struct("place", "k", "n"))).alias("own"))
     cuts = staged(cuts, "mix_cuts")
-    # What is left of the target is filled from a hand of documents that are not in
-    # this pass, the largest that fits first.
+    # What is left of the target: how many free documents of each size that fits there
+    # are in a block, and how many of a size are taken, the largest first.
     k = known.select(F.col("source").alias("_k"), F.col("block").alias("_b"), "part")
-    taken = (F.col("part") == "whole") | ((F.col("part") == "cut") & F.coalesce(
-        F.col("place") <= F.col("cut_place"), F.lit(False)))
-    free = (sizes.join(k, F.col("source").eqNullSafe(F.col("_k")) & (F.col("block") == F.col("_b")))
+    after = F.when(F.col("part") == "cut", F.col("cut_place"))
+    free = (sizes.join(k.where("part != 'whole'"), F.col("source").eqNullSafe(F.col("_k"))
+                       & (F.col("block") == F.col("_b")))
             .join(cuts, F.col("source").eqNullSafe(F.col("_s")))
-            .where(~taken & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))))
-    hands = (free.withColumn("_n", F.row_number().over(
-        Window.partitionBy("source").orderBy("place", "block"))).where(F.col("_n") <= HAND)
-        .select("source", "block", "place", "size", "gap").collect())
-    picks = []
-    by_size: dict = {}
-    for r in hands:
-        by_size.setdefault(r.source, []).append(r)
-    for source, hand in by_size.items():
-        left = hand[0].gap
-        for r in sorted(hand, key=lambda r: (-r["size"], r.place)):
-            if r["size"] <= left:
-                left -= r["size"]
-                picks.append((source, r.block, r.place))
-    picks = _rows(spark, picks, "_p string, pick_block int, pick long").groupBy(
-        "_p", "pick_block").agg(F.collect_set("pick").alias("picks"))
+            .withColumn("after", after)
+            .where((F.col("after").isNull() | (F.col("place") > F.col("after")))
+                   & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+            .groupBy("source", "block", "size", "gap", "after").agg(F.count("*").alias("rows")))
+    free = staged(free, "mix_free")
+
+    def most(s, x):
+        n = F.least(x["rows"], F.floor(s["left"] / x["size"]).cast("long"))
+        return F.struct((s["left"] - n * x["size"]).alias("left"), F.when(n > 0, F.concat(
+            s["picks"], F.array(F.struct(x["size"].alias("size"), n.alias("want")))))
+            .otherwise(s["picks"]).alias("picks"))
+
+    want = (free.groupBy("source", "gap", "size").agg(F.sum("rows").alias("rows"))
+            .groupBy("source", "gap").agg(F.sort_array(F.collect_list(F.struct(
+                "size", "rows")), asc=False).alias("sizes"))
+            .select(F.col("source").alias("_w"), F.explode(F.aggregate(
+                "sizes", F.struct(F.col("gap").alias("left"), F.array().cast(
+                    "array<struct<size:bigint,want:bigint>>").alias("picks")),
+                most, lambda s: s["picks"])).alias("x"))
+            .select("_w", F.col("x.size").alias("_size"), F.col("x.want").alias("want")))
+    turn = Window.partitionBy("source", "size").orderBy(
+        F.xxhash64(F.lit(seed + 5), "block"), "block").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    chosen = (free.join(want, F.col("source").eqNullSafe(F.col("_w"))
+                        & (F.col("size") == F.col("_size")))
+              .withColumn("take", F.least("rows", F.col("want") - F.sum("rows").over(turn)
+                                          + F.col("rows"))).where("take > 0")
+              .select(F.col("source").alias("_w"), F.col("block").alias("_b"),
+                      F.col("size").alias("_size"), "after", "take"))
+    run = Window.partitionBy("source", "block", "size").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    picks = (sizes.join(chosen, F.col("source").eqNullSafe(F.col("_w")) & (
+        F.col("block") == F.col("_b")) & (F.col("size") == F.col("_size")))
+        .where(F.col("after").isNull() | (F.col("place") > F.col("after")))
+        .groupBy("source", "block", "size", "take", "place").agg(F.count("*").alias("n"))
+        .withColumn("k", F.least("n", F.col("take") - F.sum("n").over(run) + F.col("n")))
+        .where("k > 0").select("source", "block", F.struct("place", "k", "n").alias("pick")))
+    picks = (picks.unionAll(cuts.where("own IS NOT NULL").select("_s", "_c", "own"))
+             .groupBy(F.col("source").alias("_p"), F.col("block").alias("pick_block"))
+             .agg(F.collect_list("pick").alias("picks")))
 
     # Units: each pass over a block; their shards come from the splitting tree.
     n_units = F.col("passes") + F.when(F.col("part") == "none", 0).otherwise(1)
@@ -199,7 +233,7 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
         F.sort_array(F.collect_list(F.struct("epoch", "shard"))).alias("units"))
     out = known.join(units, F.col("source").eqNullSafe(F.col("_u"))
                      & (F.col("block") == F.col("_ub")), "left")
-    out = out.join(cuts.drop("gap"), F.col("source").eqNullSafe(F.col("_s")), "left")
+    out = out.join(cuts.select("_s", "cut_place"), F.col("source").eqNullSafe(F.col("_s")), "left")
     out = out.join(picks, F.col("source").eqNullSafe(F.col("_p"))
                    & (F.col("block") == F.col("pick_block")), "left")
     return out.select("source", "block", "source_size", "target", "passes", "part", "units",
@@ -218,7 +252,8 @@ def place(docs: DataFrame, mix: DataFrame, shards: int = SHARDS) -> DataFrame:
     yes = lambda c: F.coalesce(c, F.lit(False))
     kept = (F.col("part") == "whole") | ((F.col("part") == "cut")
                                          & yes(F.col("place") <= F.col("cut_place")))
-    picked = yes(F.array_contains("picks", F.col("place")))
+    pick = F.get(F.filter("picks", lambda p: p["place"] == F.col("place")), 0)
+    picked = yes(pick["k"] > 0)
     own = F.struct(F.col("passes").alias("epoch"),
                    F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"))
     return (docs.join(m, F.col("source").eqNullSafe(F.col("_ms"))

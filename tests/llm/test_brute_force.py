@@ -76,6 +76,32 @@ def test_mixing(spark, docs):
     assert mixed["shard"].between(0, mixing.SHARDS - 1).all()
 
 
+def _mixed(spark, rows):
+    """Target, words taken and least free size of each source, from the plan and the mixture."""
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    sizes = staged(mixing.sized(docs), "t")
+    plan = staged(mixing.plan(sizes), "t")
+    placed = mixing.place(sizes, plan).toPandas()
+    words = mixing.mixture(mixing.place(mixing.located(docs), plan)).toPandas()
+    words["size"] = words.text.str.split().str.len()
+    out = {}
+    for source, g in placed.groupby("source"):
+        copies, passes = g.placements.str.len(), int(g.target.iloc[0] // g.source_size.iloc[0])
+        free = g["size"][(copies <= passes) & (g["size"] > 0)]
+        taken = int((copies * g["size"]).sum())
+        assert taken == words["size"][words.source == source].sum()
+        out[source] = (g.target.iloc[0], taken, free.min())
+    return out
+
+
+def test_mixing_fills_the_gap_of_a_long_document(spark):
+    # the long document never fits the target: the cut meets it with thousands of words to go
+    rows = [(i, "b", "w " * (20 + i % 7)) for i in range(1800)] + [(5183, "b", "w " * 60_000)]
+    rows += [(9000 + i, "a", "w " * 330) for i in range(100)]
+    for target, taken, least in _mixed(spark, rows).values():
+        assert -1 <= target - taken < least
+
+
 # ---- 2 near-duplicates ------------------------------------------------------------
 
 def _classes(texts):
