@@ -89,18 +89,19 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
 
 
 def located(docs: DataFrame, seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
-    """Adds a document's hash block, and its place in the order there."""
+    """Adds a document's hash block, and its place in the order there: rows with one
+    doc_id and different texts have places of their own, equal rows share theirs."""
+    key = F.xxhash64("doc_id", "text")
     return docs.withColumns({
-        "block": bucket(F.col("doc_id"), seed, blocks),
-        "place": F.xxhash64(F.lit(seed + 1), F.col("doc_id"))})
+        "block": bucket(key, seed, blocks), "place": F.xxhash64(F.lit(seed + 1), key)})
 
 
 def sized(docs: DataFrame, seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
     """doc_id, source, size in words, block and place."""
-    return located(docs.select(
+    return located(docs.select("doc_id", "source", "text"), seed, blocks).select(
         "doc_id", "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-    ), seed, blocks)
+        "block", "place")
 
 
 def _rows(spark, rows, schema):
@@ -240,6 +241,24 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
                       "cut_place", "picks")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``_nth``: 0, 1, .. for the rows of a place, counted per task and then on
+    from task to task, so no place goes to one task as a whole."""
+    rows = staged(rows.withColumn("_row", F.monotonically_increasing_id())
+                  .withColumn("_task", F.shiftright("_row", 33)), "mix_some")
+    at = ["source", "block", "place"]
+    before = rows.groupBy(*at, "_task").agg(F.count("*").alias("_n")).withColumn(
+        "_before", F.sum("_n").over(Window.partitionBy(*at).orderBy("_task")) - F.col("_n"))
+    before = before.select(*[F.col(c).alias(f"_{c}_") for c in (*at, "_task")], "_before")
+    nth = F.row_number().over(Window.partitionBy(*at, "_task").orderBy("_row")) - 1
+    return (rows.withColumn("_nth", nth)
+            .join(before, F.col("source").eqNullSafe(F.col("_source_"))
+                  & (F.col("block") == F.col("_block_")) & (F.col("place") == F.col("_place_"))
+                  & (F.col("_task") == F.col("__task_")))
+            .withColumn("_nth", F.col("_nth") + F.col("_before"))
+            .drop("_row", "_task", "_source_", "_block_", "_place_", "__task_", "_before"))
+
+
 def place(docs: DataFrame, mix: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Adds to rows that have source, block and place (see ``sized``) the
     columns source_size, target and ``placements``: epoch and shard of each copy
@@ -253,14 +272,20 @@ def place(docs: DataFrame, mix: DataFrame, shards: int = SHARDS) -> DataFrame:
     kept = (F.col("part") == "whole") | ((F.col("part") == "cut")
                                          & yes(F.col("place") <= F.col("cut_place")))
     pick = F.get(F.filter("picks", lambda p: p["place"] == F.col("place")), 0)
-    picked = yes(pick["k"] > 0)
+    rows = (docs.join(m, F.col("source").eqNullSafe(F.col("_ms"))
+                      & (F.col("block") == F.col("_mb"))).withColumn("_pick", pick))
+    some = yes(F.col("_pick.k") < F.col("_pick.n"))
+    whole_rows = rows.withColumn("_nth", F.lit(0).cast("long"))
+    if mix.where(F.exists("picks", lambda p: p["k"] < p["n"])).limit(1).count():
+        rows = whole_rows.where(~some).unionByName(_numbered(rows.where(some)))
+    else:  # no place is taken in part
+        rows = whole_rows
+    picked = yes(F.col("_nth") < F.col("_pick.k"))
     own = F.struct(F.col("passes").alias("epoch"),
-                   F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"))
-    return (docs.join(m, F.col("source").eqNullSafe(F.col("_ms"))
-                      & (F.col("block") == F.col("_mb")))
-            .withColumn("placements", F.when(kept, F.concat(whole, F.array(last)))
+                   F.pmod(F.xxhash64("place", "_nth"), F.lit(shards)).cast("int").alias("shard"))
+    return (rows.withColumn("placements", F.when(kept, F.concat(whole, F.array(last)))
                         .when(picked, F.concat(whole, F.array(own))).otherwise(whole))
-            .drop("_ms", "_mb", "passes", "part", "units", "cut_place", "picks"))
+            .drop("_ms", "_mb", "_pick", "_nth", "passes", "part", "units", "cut_place", "picks"))
 
 
 def mixture(placed: DataFrame, seed: int = SEED) -> DataFrame:
@@ -276,11 +301,11 @@ def op1_mixing(spark, sf_dir):
     """doc_id, size, source_size, target, taken of every document.
 
     Null and empty texts have size 0; a null source is a source of its own and
-    comes last; repeated rows share block and place, so they are taken alike;
-    an empty table gives an empty result; other columns are not looked at.
+    comes last; repeated rows share block and place, and as many of them are
+    taken as fit; an empty table gives an empty result; other columns are not looked at.
     """
     sizes = staged(sized(table(spark, sf_dir, "documents")), "mix_sizes")
-    placed = place(sizes, plan(sizes))
+    placed = place(sizes, staged(plan(sizes), "mix_plan"))
     return placed.select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.size("placements")).alias("taken"),

@@ -102,6 +102,15 @@ def test_mixing_fills_the_gap_of_a_long_document(spark):
         assert -1 <= target - taken < least
 
 
+@pytest.mark.parametrize("texts", [1, 250])
+def test_mixing_hot_doc_id(spark, texts):
+    rows = [(None, "b", "w " * 300 + f"x{i % texts}") for i in range(1000)]
+    rows += [(i, "b", "w " * (100 + i % 9)) for i in range(200)]
+    rows += [(5000 + i, "a", "w " * 997) for i in range(100)] + [(None, "a", "w " * 40)] * 3000
+    for target, taken, least in _mixed(spark, rows).values():
+        assert -1 <= target - taken < least
+
+
 # ---- 2 near-duplicates ------------------------------------------------------------
 
 def _classes(texts):
