@@ -89,7 +89,7 @@ NAMES = {
     "vim": ("vim", r"vim licen[sc]e", r"vim"),
     "sspl": ("server side", rf"server side public licen[sc]e(?:{V} v?1)?", r"sspl 1 0"),
     "busl": ("business source", r"business source licen[sc]e(?: 1 1)?", r"busl 1 1"),
-    "openrail": ("openrail", r"(?:creativeml |bigscience )?openrail(?: m)?(?: licen[sc]e)?", r"openrail"),
+    "openrail": ("openrail", r"(?:creativeml |bigscience )?openrail(?: m)?(?: licen[sc]e)?", r"open ?rail"),
 }
 GRANT = (r"(?:(?:dual )?licen[sc]ed|released|distributed|available|published|provided|covered|"
          r"made available|redistribut\w+)(?: \S+){0,4}? under(?: the(?: terms(?: and conditions)? of(?: the)?)?)?")
@@ -117,6 +117,15 @@ TEXTS = (
     ("proprietary", 3, "proprietary", r"proprietary and confidential"),
 )
 _FIRST = {"cc by": ("cc by", "creative commons"), "cc0": ("cc0", "creative commons")}
+#: Further names, each behind its own keyword.
+_OTHER = {
+    "bsd-2-clause": ("freebsd", r"freebsd(?: licen[sc]e)?"),
+    "openrail": ("open rail", r"(?:creativeml |bigscience )?open rail(?: m)?(?: licen[sc]e)?"),
+}
+#: Keywords and forms of the tags in a grant; by default the label's first word, and the tag.
+#: Names that match their own tag need none.
+_GRANTED = {"psf": (("psf", "psf 2 0"), ("python", "python 2 0"))} | dict.fromkeys(
+    ("mit", "unlicense", "openrail", *(n for n in NAMES if n.startswith("cc"))), ())
 
 
 def _rules() -> tuple[Rule, ...]:
@@ -124,9 +133,12 @@ def _rules() -> tuple[Rule, ...]:
     for label, (word, name, tag) in NAMES.items():
         out.append(Rule(label, 4, "spdx", rf"spdx license identifier (?:{tag})"))
         out.append(Rule(label, 3, "licen", rf"licen[sc]e (?:{tag})"))
-        for keyword in _FIRST.get(word, (word,)):
-            out.append(Rule(label, 3, keyword, rf"{GRANT} (?:the )?(?:{name})"))
-            out.append(Rule(label, 2, keyword, rf"(?:{name})" if label != "mit" else "mit license"))
+        names = [(keyword, name) for keyword in _FIRST.get(word, (word,))]
+        for keyword, form in names + [_OTHER[n] for n in (label,) if n in _OTHER]:
+            out.append(Rule(label, 3, keyword, rf"{GRANT} (?:the )?(?:{form})"))
+            out.append(Rule(label, 2, keyword, rf"(?:{form})" if label != "mit" else "mit license"))
+        for keyword, form in _GRANTED.get(label, ((label.split("-")[0], tag),)):
+            out.append(Rule(label, 3, keyword, rf"{GRANT} (?:the )?(?:gnu )?(?:{form})"))
     return tuple(out + [Rule(*t) for t in TEXTS])
 
 

@@ -455,6 +455,17 @@ def test_license_labels(spark, text, labels):
     assert {d.label for d in licenses.scan(rows).first().detections} == labels
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("FreeBSD License", {"bsd-2-clause"}), ("Open RAIL-M license", {"openrail"}),
+    ("released under the CreativeML Open RAIL-M", {"openrail"}),
+    ("licensed under the GPLv3", {"gpl-3.0"}), ("distributed under the GNU LGPL v2.1", {"lgpl-2.1"}),
+    ("It is available under the terms of the EPL-2.0.", {"epl-2.0"}), ("licensed under PSF-2.0", {"psf"}),
+    ("licensed under the GNU GPL", {"gpl"}), ("SPDX-License-Identifier: OpenRAIL", {"openrail"}),
+])
+def test_license_other_names_and_granted_tags(spark, text, labels):
+    test_license_labels(spark, text, labels)
+
+
 def test_hundreds_of_rules_each_behind_the_gate():
     assert len(licenses.RULES) >= 200
     gate = re.compile(licenses.gate(licenses.RULES))
