@@ -41,16 +41,24 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, "AKIA"),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+#: A private key, from its BEGIN to the matching END; without one, to the end of the
+#: headers and base64 lines that follow (line breaks may be written as backslash n).
+_LINE = r"[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+"
+_STOP = r"(?=[\x20\t]*+(?:[\r\n]|\\[rn]|\z))"
+PEM = (r"-----BEGIN ((?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?)-----"
+       r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END \1-----"
+       rf"|(?:{_LINE}[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)*+(?:{_LINE}(?=\r?\n|\\))?+"
+       rf"(?:{_LINE}[A-Za-z0-9+/=]{{16,}}+{_STOP})++(?:{_LINE}=?[A-Za-z0-9+/]{{1,15}}+={{0,2}}{_STOP}){{0,2}}+)?")
 #: Further kinds of credentials, each with a fixed marker.
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----", gate="PRIVATE KEY"),
+    Rule("private_key", PEM, gate="PRIVATE KEY", version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", gate=".eyJ"),
     Rule("vcs_token", r"gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{60,}", gate="gh"),
     Rule("ci_token", r"glpat-[A-Za-z0-9_-]{20,}", gate="glpat-"),
     Rule("chat_token", r"xox[abeoprs]-[A-Za-z0-9-]{10,}", gate="xox"),
     Rule("map_key", r"AIza[A-Za-z0-9_-]{35}", gate="AIza"),
     Rule("pay_key", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}", gate="k_"),
-    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/@]{3,128}@[A-Za-z0-9.-]+", gate="://"),
+    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s/:@]*+:[^\s/@]++@[A-Za-z0-9.-]+", gate="://", version=2),
     Rule("bearer", r"(?i)\bbearer\x20+[A-Za-z0-9._~+/-]{20,}=*", gate="earer"),
 )
 RULES = BASE + MORE
