@@ -10,6 +10,9 @@ from hangar.llm import (
     mixing,
     neardup,
     preference,
+    quality,
+    repair,
+    runs,
     secrets,
     topk,
     toxicity,
@@ -26,6 +29,9 @@ QUERIES = {f.__name__: f for f in (
     bpe.op8_bpe,
     lm.op9_lm_score,
     licenses.op10_license_scan,
+    quality.op11_quality_fm,
+    runs.op12_periodic_runs,
+    repair.op13_conversation_repair,
 )}
 
 ORACLES = {"op3_preference_format": preference.ORACLE, "op7_exact_topk": topk.ORACLE}
