@@ -1,4 +1,4 @@
-"""Surrogate keys and size-checked broadcasts.
+"""Surrogate keys and the broadcast of the calendar.
 
 ``ordered_ids`` numbers the rows of a deduplicated dimension 1..n in the order
 of its natural key without a global single-partition window:
@@ -19,9 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows above which a lookup is joined by shuffle instead of broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def ordered_ids(
     df: DataFrame,
@@ -58,6 +55,28 @@ def ordered_ids(
     )
 
 
+def extended_ids(
+    known: DataFrame | None,
+    keys: DataFrame,
+    id_col: str,
+    key_col: str,
+    bucket: Column,
+) -> DataFrame:
+    """The key map (``id_col``, ``key_col``) after a refresh: insert if absent.
+
+    ``known`` is the map of the last refresh (None before the first), ``keys`` the
+    distinct keys of this one.  Known keys keep their ids, whether they occur again
+    or not; new ones, found by an anti join, are numbered in key order from above
+    the largest id that was ever given.
+    """
+    if known is None:
+        return ordered_ids(keys, id_col, [key_col], bucket).select(id_col, key_col)
+    top = known.agg(F.max(id_col)).first()[0] or 0  # one number
+    new = ordered_ids(keys.join(known.select(key_col), key_col, "left_anti"), id_col, [key_col], bucket)
+    return known.select(id_col, key_col).unionByName(
+        new.select((F.col(id_col) + F.lit(top)).cast("int").alias(id_col), key_col))
+
+
 def broadcast_calendar(dim: DataFrame) -> DataFrame:
     """Broadcast a table with at most one row per calendar day.
 
@@ -65,16 +84,3 @@ def broadcast_calendar(dim: DataFrame) -> DataFrame:
     3,652,059 rows (about 60 MB for a few INT/DATE columns); warehouses
     hold a few thousand days.  Used for the date dimension."""
     return F.broadcast(dim)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than the bound.  Above the bound the DataFrame is returned unchanged
-    and Spark plans a shuffle join; AQE can still switch to a broadcast at
-    run time from measured sizes.  Call it on materialized (written or
-    checkpointed) lookups, where the count is cheap.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

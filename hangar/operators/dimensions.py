@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hangar.functions.keys import ordered_ids
+from hangar.functions.keys import extended_ids, ordered_ids
 from hangar.functions.temporal import month_key
 
 
@@ -25,8 +25,24 @@ def rename_personnel_lookup(lookup: DataFrame) -> DataFrame:
     ).dropDuplicates(["reporteurid", "airportcode"])
 
 
-def aircraft_dimension(lookup: DataFrame) -> DataFrame:
-    """One row per registration, ids 1..n by registration.
+def aircraft_keys(lookup: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(aircraftid, aircraftregistration) of every registration seen so far."""
+    keys = rename_aircraft_lookup(lookup).select("aircraftregistration").where(
+        F.col("aircraftregistration").isNotNull()).distinct()
+    return extended_ids(known, keys, "aircraftid", "aircraftregistration",
+                        F.substring("aircraftregistration", 1, 4))
+
+
+def airport_keys(personnel: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(airportid, airportcode) of every airport seen so far."""
+    codes = rename_personnel_lookup(personnel).select("airportcode").where(
+        F.col("airportcode").isNotNull()).distinct()
+    return extended_ids(known, codes, "airportid", "airportcode", F.substring("airportcode", 1, 1))
+
+
+def aircraft_dimension(lookup: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """One row per registration of the lookup, with its id from ``keys`` (by
+    default a first refresh: 1..n by registration).
 
     Insert-if-absent semantics: the first row of a registration wins.  Input
     order does not exist in a distributed read, so on duplicate keys the
@@ -39,21 +55,17 @@ def aircraft_dimension(lookup: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("model", "manufacturer")).alias("_first"))
         .select("aircraftregistration", "_first.model", "_first.manufacturer")
     )
-    return ordered_ids(
-        first, "aircraftid", ["aircraftregistration"],
-        F.substring("aircraftregistration", 1, 4),
-    ).select("aircraftid", "aircraftregistration", "model", "manufacturer")
+    keys = aircraft_keys(lookup) if keys is None else keys
+    return first.join(keys, "aircraftregistration").select(
+        "aircraftid", "aircraftregistration", "model", "manufacturer")
 
 
-def airport_dimension(personnel: DataFrame) -> DataFrame:
-    """Distinct airport codes of the personnel lookup, ids by code."""
-    codes = (
-        rename_personnel_lookup(personnel).select("airportcode")
-        .where(F.col("airportcode").isNotNull()).distinct()
-    )
-    return ordered_ids(
-        codes, "airportid", ["airportcode"], F.substring("airportcode", 1, 1)
-    ).select("airportid", "airportcode")
+def airport_dimension(personnel: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """One row per airport code of the lookup, with its id from ``keys`` (by
+    default a first refresh: 1..n by code)."""
+    keys = airport_keys(personnel) if keys is None else keys
+    codes = rename_personnel_lookup(personnel).select("airportcode").distinct()
+    return keys.join(codes, "airportcode", "left_semi").select("airportid", "airportcode")
 
 
 def date_dimension(*day_sets: DataFrame) -> DataFrame:

@@ -32,8 +32,18 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def require_no_nulls(df: DataFrame, columns: list[str], table: str) -> None:
     """Fail the run, with the counts, if any of ``columns`` holds a null."""
-    row = null_counts(df, columns).first()
-    bad = {c: row[c] for c in columns if row[c]}
+    refuse_nulls(null_counts(df, columns).first().asDict(), table)
+
+
+def required_counts(columns: list[str]) -> list[Column]:
+    """Aggregates for ``observe``: the nulls of each required column, counted while
+    a stage is written."""
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+
+
+def refuse_nulls(counts: dict[str, int], table: str) -> None:
+    """Fail the run if a required column was seen to hold nulls."""
+    bad = {c: n for c, n in counts.items() if n}
     if bad:
         raise ValueError(f"{table}: null values in required columns {bad}")
 
@@ -61,9 +71,12 @@ def swap_reversed_times(flights: DataFrame) -> DataFrame:
 
 def count_reversed_times(flights: DataFrame) -> DataFrame:
     """One row with the number of rule violations (for the run log)."""
-    return flights.agg(
-        F.count_if(reversed_times(F.col(CANCELLED), F.col(DEP), F.col(ARR))).alias("violations")
-    )
+    return flights.agg(reversed_count().alias("violations"))
+
+
+def reversed_count() -> Column:
+    """Aggregate: rule violations (also for ``observe``)."""
+    return F.count_if(reversed_times(F.col(CANCELLED), F.col(DEP), F.col(ARR)))
 
 
 # ---- W1: overlapping flights -----------------------------------------------
@@ -148,6 +161,19 @@ def split_overlapping(flights: DataFrame, bucket: str = "hour") -> tuple[DataFra
 
 # ---- J1/J2: reports on known aircraft ----------------------------------------
 
+KNOWN = "known"
+
+
+def mark_known_aircraft(reports: DataFrame, aircraft_dim: DataFrame) -> DataFrame:
+    """All reports plus a boolean ``known``: their registration is in the dimension.
+
+    A left join with the dimension's distinct registrations adds no rows; both the
+    valid reports and the rejects are filters of the result."""
+    known = aircraft_dim.select(REG).distinct().withColumn(KNOWN, F.lit(True))
+    return reports.join(known, REG, "left").select(
+        *reports.columns, F.coalesce(F.col(KNOWN), F.lit(False)).alias(KNOWN))
+
+
 def split_known_aircraft(reports: DataFrame, aircraft_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Reports whose registration is in the aircraft dimension, and the rest.
 

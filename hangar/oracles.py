@@ -280,46 +280,67 @@ _wh("fact_total_maintenance",
     "select airportid, aircraftid, takeoffs, flighthours, reports from fact_total")
 
 # ---- warehouse KPI queries (Q1-Q3) ---------------------------------------
-_wh("kpi_utilization", """
+# Sums and the number of aircraft of each group once; the KPIs from their names.
+def _sums_of(where: str) -> str:
+    return f""",
+g as (
+  select manufacturer, year, count(distinct aircraftregistration) n,
+         sum(flighthours) flying, sum(takeoffs) cycles, sum(ADOSS) planned, sum(ADOSU) unplanned,
+         nullif(sum(delays), 0) late, sum(cancellations) lost, sum(delayduration) waited,
+         sum(pilotreports) pireps, sum(maintenancereports) mareps
+  from star where {where} group by manufacturer, year)"""
+
+
+def _utilization(where: str) -> str:
+    return _sums_of(where) + """, h as (
+  select *, round(flying / n, 2) fh, floor(cycles / n) flown, nullif(cycles, 0) base,
+         round((planned + unplanned) / n, 2) away, coalesce(late, 0) delayed from g),
+k as (select *, 365 - away present from h)
 select manufacturer, year,
-  cast(round(sum(flighthours) / count(distinct aircraftregistration), 2) as decimal(10,2)) FH,
-  cast(round((sum(takeoffs) // count(distinct aircraftregistration))::double, 2)
-       as decimal(10,2)) TakeOff,
-  cast(round(sum(ADOSS) / count(distinct aircraftregistration), 2) as decimal(10,2)) ADOSS,
-  cast(round(sum(ADOSU) / count(distinct aircraftregistration), 2) as decimal(10,2)) ADOSU,
-  cast(round((sum(ADOSS) + sum(ADOSU)) / count(distinct aircraftregistration), 2)
-       as decimal(10,2)) ADOS,
-  cast(365 - round((sum(ADOSS) + sum(ADOSU)) / count(distinct aircraftregistration), 2)
-       as decimal(10,2)) ADIS,
-  cast(round(round(sum(flighthours) / count(distinct aircraftregistration), 2)
-       / nullif((365 - round((sum(ADOSS) + sum(ADOSU)) / count(distinct aircraftregistration), 2)) * 24, 0), 2)
-       as decimal(10,2)) DU,
-  cast(round(round((sum(takeoffs) // count(distinct aircraftregistration))::double, 2)
-       / nullif(365 - round((sum(ADOSS) + sum(ADOSU)) / count(distinct aircraftregistration), 2), 0), 2)
-       as decimal(10,2)) DC,
-  cast(100 * round(sum(delays) / nullif(sum(takeoffs), 0), 4) as decimal(10,2)) DYR,
-  cast(100 * round(sum(cancellations) / nullif(sum(takeoffs), 0), 4) as decimal(10,2)) CNR,
-  cast(100 - round((100 * (sum(delays) + sum(cancellations)) // nullif(sum(takeoffs), 0))::double, 2)
-       as decimal(10,2)) TDR,
-  cast(100 * round(sum(delayduration) / nullif(sum(delays), 0), 2) as decimal(10,2)) ADD
-from star group by manufacturer, year""")
-_wh("kpi_reporting", """
+       fh::decimal(10,2) FH, flown::decimal(10,2) TakeOff,
+       round(planned / n, 2)::decimal(10,2) ADOSS, round(unplanned / n, 2)::decimal(10,2) ADOSU,
+       away::decimal(10,2) ADOS, present::decimal(10,2) ADIS,
+       round(fh / nullif(present * 24, 0), 2)::decimal(10,2) DU,
+       round(flown / nullif(present, 0), 2)::decimal(10,2) DC,
+       (100 * round(delayed / base, 4))::decimal(10,2) DYR,
+       (100 * round(lost / base, 4))::decimal(10,2) CNR,
+       (100 - floor(100 * (delayed + lost) / base))::decimal(10,2) TDR,
+       (100 * round(waited / late, 2))::decimal(10,2) ADD
+from k"""
+
+
+_wh("kpi_utilization", _utilization("true"))
+_wh("kpi_utilization_years", _utilization("year in (1994, 1995, 1996)"))
+_wh("kpi_reporting", _sums_of("true") + """
 select manufacturer, year,
-  cast(1000 * round(sum(pilotreports + maintenancereports) / nullif(sum(flighthours), 0), 3)
-       as decimal(10,3)) RRh,
-  cast(100 * round(sum(pilotreports + maintenancereports) / nullif(sum(takeoffs), 0), 2)
-       as decimal(10,2)) RRc
-from star group by manufacturer, year""")
-_wh("kpi_reporting_by_role", """
-select manufacturer, year, 'PIREP' as "role",
-  cast(1000 * round(sum(pilotreports) / nullif(sum(flighthours), 0), 3) as decimal(10,3)) RRh,
-  cast(100 * round(sum(pilotreports) / nullif(sum(takeoffs), 0), 2) as decimal(10,2)) RRc
-from star group by manufacturer, year
-union all
-select manufacturer, year, 'MAREP' as "role",
-  cast(1000 * round(sum(maintenancereports) / nullif(sum(flighthours), 0), 3) as decimal(10,3)) RRh,
-  cast(100 * round(sum(maintenancereports) / nullif(sum(takeoffs), 0), 2) as decimal(10,2)) RRc
-from star group by manufacturer, year""")
+       (1000 * round((pireps + mareps) / nullif(flying, 0), 3))::decimal(10,3) RRh,
+       (100 * round((pireps + mareps) / nullif(cycles, 0), 2))::decimal(10,2) RRc
+from g""")
+_wh("kpi_reporting_by_role", _sums_of("true") + """,
+r as (select *, unnest(['PIREP', 'MAREP']) as "role", unnest([pireps, mareps]) reports from g)
+select manufacturer, year, "role",
+       (1000 * round(reports / nullif(flying, 0), 3))::decimal(10,3) RRh,
+       (100 * round(reports / nullif(cycles, 0), 2))::decimal(10,2) RRc
+from r""")
+
+# ---- what is kept from refresh to refresh -----------------------------------
+_wh("overlap_rejects_log",
+    f"select {_FLIGHT_COLS}, unnest(['first', 'second']) run from overlap_rejects")
+_wh("reports_rejects_log",
+    f"select {_REPORT_COLS}, unnest(['first', 'second']) run from reports_rejects")
+_wh("dim_aircraft_kept_ids", """
+select cast(case when manufacturer = 'Boeing' then 0
+                 else (select count(*) from aircrafts where manufacturer = 'Boeing') end
+            + rank() over (partition by manufacturer = 'Boeing' order by aircraftregistration)
+            as int) aircraftid,
+       aircraftregistration, model, manufacturer
+from aircrafts""")
+_wh("dim_airport_kept_ids", """
+select cast(case when airportcode > 'N12' then 0
+                 else (select count(*) from airports where airportcode > 'N12') end
+            + rank() over (partition by airportcode > 'N12' order by airportcode) as int) airportid,
+       airportcode
+from airports""")
 
 # ---- source-level queries (Q4-Q6) ----------------------------------------
 # Manufacturer by IN-lists against the lookup (the Spark code joins instead).

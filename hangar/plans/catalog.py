@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hangar.operators import checks, facts
+from hangar.operators import checks, dimensions, facts
 from hangar.plans import source_kpis, warehouse_kpis
-from hangar.plans.etl import Warehouse, build, checkpointed
+from hangar.plans.etl import Warehouse, build, checkpointed, open_warehouse, publish, read_rejects
+from hangar.session import staging_path
 from hangar.sources import driver_views, text_inputs
 from hangar.sources.readers import registrations_per_manufacturer
 
@@ -61,6 +62,21 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _BUILT[key]
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a published warehouse over ``sf_dir`` (once per application and
+    state of the tables), with a log of rejects of two runs, one of them repeated."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir))
+    if key not in _STORED:
+        root = staging_path(spark, "warehouse")
+        for run in ("first", "second", "first"):
+            publish(spark, _wh(spark, sf_dir), root, run, rejects_format="parquet")
+        _STORED[key] = root
+    return _STORED[key]
+
+
 # ---- sources ---------------------------------------------------------------
 
 @query("scan_flights")
@@ -210,6 +226,50 @@ def kpi_reporting_by_role(spark, sf_dir):
     return warehouse_kpis.reporting_by_role(wh.daily_aircraft_stats, wh.aircrafts, wh.dates)
 
 
+# ---- the stored warehouse ------------------------------------------------------
+
+FIRST_YEAR, LAST_YEAR = 1994, 1996
+
+
+@query("kpi_utilization_years")
+def kpi_utilization_years(spark, sf_dir):
+    """Q1 of a range of years on the fact stored by year: only their partitions are read."""
+    t = open_warehouse(spark, _stored(spark, sf_dir), register_views=False)
+    return warehouse_kpis.utilization(
+        t["daily_aircraft_stats"], t["aircrafts"],
+        warehouse_kpis.in_years(t["dates"], FIRST_YEAR, LAST_YEAR))
+
+
+@query("overlap_rejects_log")
+def overlap_rejects_log(spark, sf_dir):
+    """S7 over all runs."""
+    return read_rejects(spark, _stored(spark, sf_dir), "overlapping_flights")
+
+
+@query("reports_rejects_log")
+def reports_rejects_log(spark, sf_dir):
+    """S8 over all runs."""
+    return read_rejects(spark, _stored(spark, sf_dir), "invalid_reports")
+
+
+@query("dim_aircraft_kept_ids")
+def dim_aircraft_kept_ids(spark, sf_dir):
+    """D1 after a refresh that knew the Boeing aircraft only."""
+    lookup = _src(spark, sf_dir).aircraft_lookup
+    before = dimensions.aircraft_keys(lookup.where("aircraft_manufacturer = 'Boeing'"))
+    return dimensions.aircraft_dimension(
+        lookup, dimensions.aircraft_keys(lookup, checkpointed("aircraft_keys", before)))
+
+
+@query("dim_airport_kept_ids")
+def dim_airport_kept_ids(spark, sf_dir):
+    """D2 after a refresh that knew the airports after N12 only."""
+    lookup = _src(spark, sf_dir).personnel_lookup
+    before = dimensions.airport_keys(lookup.where("airport > 'N12'"))
+    return dimensions.airport_dimension(
+        lookup, dimensions.airport_keys(lookup, checkpointed("airport_keys", before)))
+
+
 @query("source_manufacturer")
 def source_manufacturer(spark, sf_dir):
     s = _src(spark, sf_dir)

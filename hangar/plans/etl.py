@@ -18,7 +18,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hangar import schemas
+from hangar.functions.keys import broadcast_calendar
 from hangar.operators import checks, dimensions, facts, quality
+from hangar.plans import store
 from hangar.sources.driver_views import OperationalSources
 from hangar.session import ensure_checkpoint_dir, staging_path
 
@@ -27,8 +30,9 @@ log = logging.getLogger(__name__)
 Materialize = Callable[[str, DataFrame], DataFrame]
 
 # stages read by more than one later stage: these are materialized
-SHARED_STAGES = ("aircrafts", "airports", "flights_marked", "flight_years", "daily_sums",
-                 "dates", "daily_aircraft_stats", "total_maintenance_reports")
+SHARED_STAGES = ("aircraft_keys", "airport_keys", "aircrafts", "airports", "flights_swapped",
+                 "flights_marked", "reports_marked", "flight_years", "daily_sums", "dates",
+                 "daily_aircraft_stats", "total_maintenance_reports")
 
 
 def lazy(_name: str, df: DataFrame) -> DataFrame:
@@ -52,27 +56,54 @@ class Warehouse:
     """
 
     def __init__(self, src: OperationalSources, materialize: Materialize = lazy,
-                 overlap_bucket: str = "hour"):
+                 overlap_bucket: str = "hour", known_keys: dict[str, DataFrame] | None = None,
+                 observe: bool = False):
         self.src = src
         self._materialize = materialize
         self._bucket = overlap_bucket
+        self._known = known_keys or {}
+        self._observe = observe
+        #: Counts taken of the sources while a stage that reads them is written.
+        self.seen: dict[str, Observation] = {}
+
+    def _counted(self, name: str, df: DataFrame, *counts) -> DataFrame:
+        if not self._observe:
+            return df
+        self.seen[name] = Observation(f"{name}_{uuid.uuid4().hex}")
+        return df.observe(self.seen[name], *counts)
 
     def _stage(self, name: str, df: DataFrame) -> DataFrame:
         return self._materialize(name, df) if name in SHARED_STAGES else df
 
-    # -- dimensions from the lookups
+    # -- key maps and dimensions from the lookups
+    @cached_property
+    def aircraft_keys(self) -> DataFrame:
+        return self._stage("aircraft_keys", dimensions.aircraft_keys(
+            self.src.aircraft_lookup, self._known.get("aircraft_keys")))
+
+    @cached_property
+    def airport_keys(self) -> DataFrame:
+        return self._stage("airport_keys", dimensions.airport_keys(
+            self.src.personnel_lookup, self._known.get("airport_keys")))
+
     @cached_property
     def aircrafts(self) -> DataFrame:
-        return self._stage("aircrafts", dimensions.aircraft_dimension(self.src.aircraft_lookup))
+        return self._stage("aircrafts", dimensions.aircraft_dimension(
+            self.src.aircraft_lookup, self.aircraft_keys))
 
     @cached_property
     def airports(self) -> DataFrame:
-        return self._stage("airports", dimensions.airport_dimension(self.src.personnel_lookup))
+        return self._stage("airports", dimensions.airport_dimension(
+            self.src.personnel_lookup, self.airport_keys))
 
     # -- flights: swap, then overlap removal
     @cached_property
     def flights_swapped(self) -> DataFrame:
-        return quality.swap_reversed_times(self.src.flights)
+        """Staged by the one pass over the source; nulls in ``cancelled`` and
+        reversed times are counted on the way."""
+        counted = self._counted("flights", self.src.flights, *quality.required_counts(["cancelled"]),
+                                quality.reversed_count().alias("reversed"))
+        return self._stage("flights_swapped", quality.swap_reversed_times(counted))
 
     @cached_property
     def flights_marked(self) -> DataFrame:
@@ -90,13 +121,21 @@ class Warehouse:
         return self.flights_marked.where(F.col(quality.OVERLAPS)).drop(quality.OVERLAPS)
 
     # -- reports on known aircraft
+    @cached_property
+    def reports_marked(self) -> DataFrame:
+        """Every report once, flagged ``known`` (staged: valid reports and rejects
+        are filters of it)."""
+        counted = self._counted("reports", self.src.reports,
+                                *quality.required_counts(["aircraftregistration"]))
+        return self._stage("reports_marked", quality.mark_known_aircraft(counted, self.aircrafts))
+
     @cached_property
     def reports_known(self) -> DataFrame:
-        return quality.split_known_aircraft(self.src.reports, self.aircrafts)[0]
+        return self.reports_marked.where(F.col(quality.KNOWN)).drop(quality.KNOWN)
 
     @cached_property
     def reports_rejects(self) -> DataFrame:
-        return quality.split_known_aircraft(self.src.reports, self.aircrafts)[1]
+        return self.reports_marked.where(~F.col(quality.KNOWN)).drop(quality.KNOWN)
 
     # -- flight years
     @cached_property
@@ -111,7 +150,9 @@ class Warehouse:
 
     @cached_property
     def maintenance_valid(self) -> DataFrame:
-        m = self.src.maintenance.withColumn("_day", F.to_date("scheduleddeparture"))
+        counted = self._counted("maintenance", self.src.maintenance,
+                                *quality.required_counts(["programmed"]))
+        m = counted.withColumn("_day", F.to_date("scheduleddeparture"))
         return quality.restrict_to_years(m, "_day", self.flight_years).drop("_day")
 
     @cached_property
@@ -159,19 +200,50 @@ class Warehouse:
 
 
 def build(src: OperationalSources, materialize: Materialize = lazy,
-          overlap_bucket: str = "hour") -> Warehouse:
-    return Warehouse(src, materialize, overlap_bucket)
+          overlap_bucket: str = "hour", known_keys: dict[str, DataFrame] | None = None,
+          observe: bool = False) -> Warehouse:
+    return Warehouse(src, materialize, overlap_bucket, known_keys, observe)
 
 
 WAREHOUSE_TABLES = ["aircrafts", "airports", "dates", "daily_aircraft_stats",
                     "total_maintenance_reports"]
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder from whatever file system holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+#: Key maps, kept from refresh to refresh beside the tables.
+KEY_MAPS = ["aircraft_keys", "airport_keys"]
+REJECT_SCHEMAS = {"overlapping_flights": schemas.FLIGHTS, "invalid_reports": schemas.REPORTS}
+
+
+def with_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """The daily fact with the year that it is partitioned by."""
+    return fact.join(broadcast_calendar(dates.select("dateid", "year")), "dateid").select(
+        *fact.columns, "year")
+
+
+def publish(spark: SparkSession, wh: Warehouse, out_dir: str, run: str,
+            rejects_format: str = "csv") -> tuple[store.Snapshot, dict[str, str]]:
+    """Writes tables, key maps and rejects as a version of ``out_dir`` and shows it."""
+    new = store.Publication(spark, out_dir, run, rejects_format)
+    written: dict[str, str] = {}
+    for rule, df in (("overlapping_flights", wh.overlap_rejects),
+                     ("invalid_reports", wh.reports_rejects)):
+        spark.sparkContext.setJobDescription(f"hangar refresh: rejects {rule}")
+        rows = Observation(f"{rule}_{new.version}")
+        written[f"rejects/{rule}"] = new.reject(rule, df.observe(rows, F.count(F.lit(1)).alias("n")))
+        log.info("rule %s: %d rows rejected", rule, rows.get["n"])
+    for name in [*KEY_MAPS, *WAREHOUSE_TABLES]:
+        spark.sparkContext.setJobDescription(f"hangar refresh: publish {name}")
+        df, by = getattr(wh, name), store.PARTITIONS.get(name, ())
+        written[name] = new.table(name, with_year(df, wh.dates) if by else df, by)
+    snapshot = new.commit()
+    spark.sparkContext.setJobDescription(None)
+    return snapshot, written
+
+
+def known_keys(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Key maps of the published version (none before the first)."""
+    last = store.current(spark, out_dir)
+    return store.read_tables(spark, out_dir, last, KEY_MAPS) if last else {}
 
 
 def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
@@ -179,69 +251,72 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
                      rejects_format: str = "csv") -> dict[str, str]:
     """Rebuild the warehouse under ``out_dir`` (S9-S15) and write the rejects.
 
-    Preconditions (C4/T13) fail the run before anything is written.  All
-    stages, the warehouse tables included, are first written to the shared
-    checkpoint folder; the declared constraints (C1-C3) are checked there, and
-    a violation stops the run with the rules and their counts, so the
-    warehouse of the last good run stays as it is.  Then the tables are
-    published to ``out_dir/<table>`` in load order and the rejects to
-    ``out_dir/rejects/<rule>/run=<id>`` (every run's are kept), as CSV with a
-    header like the operational logs (``rejects_format`` "parquet" suits very
-    large runs).  The staged copies go at the end of a good run.  Returns the
-    written paths by table name.
+    All stages, the warehouse tables included, are first written to the shared
+    checkpoint folder.  The preconditions (C4/T13: no null ``cancelled``,
+    ``programmed`` or report registration) are counted by the stages that read the
+    sources, so each source is read once; a null fails the run after that stage.
+    The declared constraints (C1-C3) are checked on the staged tables, and a
+    violation stops the run with the rules and their counts.  Then tables, key maps
+    (ids given to an aircraft or airport stay) and rejects are written as a new
+    version, which replaces the last one at once (``store``); whatever fails before
+    that leaves the published warehouse as it is.  Rejects are CSV with a header
+    like the operational logs (``rejects_format`` "parquet" suits very large runs).
+    The staged copies go at the end, also of a failed run.  Returns the written
+    paths by table name.
     """
-    spark.sparkContext.setJobDescription("hangar refresh: preconditions")
-    quality.require_no_nulls(src.flights, ["cancelled"], "flights")
-    quality.require_no_nulls(src.maintenance, ["programmed"], "maintenance")
-    quality.require_no_nulls(src.reports, ["aircraftregistration"], "reports")
-
     run = run_id or uuid.uuid4().hex[:12]
-    written: dict[str, str] = {}
+    staging = os.path.dirname(staging_path(spark, "any", f"{run}-{uuid.uuid4().hex[:8]}"))
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
-        path = staging_path(spark, name, run)
+        path = os.path.join(staging, name)
         spark.sparkContext.setJobDescription(f"hangar refresh: {name}")
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    wh = build(src, materialize, overlap_bucket)
-    tables = {name: getattr(wh, name) for name in SHARED_STAGES}
-    tables = {name: tables[name] for name in WAREHOUSE_TABLES}
-    spark.sparkContext.setJobDescription("hangar refresh: constraints")
-    broken = checks.all_violations(tables).where("violations > 0").collect()  # one row per rule
-    if broken:
-        raise ValueError("the new warehouse breaks its constraints, nothing was published: "
-                         + ", ".join(f"{r.rule} ({r.violations})" for r in broken))
-    swapped = quality.count_reversed_times(src.flights).first()[0]
-    log.info("rule BR-22: %d flights with reversed times were swapped", swapped)
-    for rule, df in (("overlapping_flights", wh.overlap_rejects),
-                     ("invalid_reports", wh.reports_rejects)):
-        path = os.path.join(out_dir, "rejects", rule, f"run={run}")
-        spark.sparkContext.setJobDescription(f"hangar refresh: rejects {rule}")
-        rows = Observation(f"{rule}_{run}")
-        df = df.observe(rows, F.count(F.lit(1)).alias("n"))
-        writer = df.write.mode("overwrite")
-        if rejects_format == "csv":
-            writer.option("header", True).csv(path)
-        else:
-            writer.format(rejects_format).save(path)
-        written[f"rejects/{rule}"] = path
-        log.info("rule %s: %d rows rejected", rule, rows.get["n"])
-    for name, df in tables.items():
-        path = os.path.join(out_dir, name)
-        spark.sparkContext.setJobDescription(f"hangar refresh: publish {name}")
-        df.write.mode("overwrite").parquet(path)
-        written[name] = path
-    spark.sparkContext.setJobDescription(None)
-    delete_folder(spark, os.path.dirname(staging_path(spark, "any", run)))
+    wh = build(src, materialize, overlap_bucket, known_keys(spark, out_dir), observe=True)
+    try:
+        for name in SHARED_STAGES:
+            getattr(wh, name)
+            for table in [t for t in REQUIRED if t in wh.seen and name == REQUIRED[t][0]]:
+                counts = wh.seen[table].get
+                quality.refuse_nulls({c: counts[c] for c in REQUIRED[table][1:]}, table)
+        log.info("rule BR-22: %d flights with reversed times were swapped", wh.seen["flights"].get["reversed"])
+        spark.sparkContext.setJobDescription("hangar refresh: constraints")
+        tables = {name: getattr(wh, name) for name in WAREHOUSE_TABLES}
+        broken = checks.all_violations(tables).where("violations > 0").collect()  # one row per rule
+        if broken:
+            raise ValueError("the new warehouse breaks its constraints, nothing was published: "
+                             + ", ".join(f"{r.rule} ({r.violations})" for r in broken))
+        _, written = publish(spark, wh, out_dir, run, rejects_format)
+    finally:
+        spark.sparkContext.setJobDescription(None)
+        store.delete_folder(spark, staging)
     log.info("warehouse refreshed under %s", out_dir)
     return written
 
 
+#: Stage that reads a source, and the columns that may hold no null.
+REQUIRED = {"flights": ("flights_swapped", "cancelled"),
+            "reports": ("reports_marked", "aircraftregistration"),
+            "maintenance": ("daily_sums", "programmed")}
+
+
 def open_warehouse(spark: SparkSession, out_dir: str, register_views: bool = True) -> dict[str, DataFrame]:
-    """Open an existing warehouse for querying (optionally as temp views)."""
-    tables = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in WAREHOUSE_TABLES}
+    """Open the published warehouse for querying (optionally as temp views).
+
+    The pointer is read once, so all tables are of one refresh, and stay so while
+    later ones publish; columns and types are checked against the declared ones.
+    """
+    snapshot = store.current(spark, out_dir)
+    if snapshot is None:
+        raise ValueError(f"{out_dir}: no warehouse was published here")
+    tables = store.read_tables(spark, out_dir, snapshot, WAREHOUSE_TABLES)
     if register_views:
         for name, df in tables.items():
             df.createOrReplaceTempView(name)
     return tables
+
+
+def read_rejects(spark: SparkSession, out_dir: str, rule: str) -> DataFrame:
+    """The rejected rows of all runs, with their ``run``."""
+    return store.read_rejects(spark, out_dir, rule, REJECT_SCHEMAS[rule])

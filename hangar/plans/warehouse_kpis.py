@@ -21,11 +21,25 @@ from hangar.functions.numeric import r_sql as r
 GROUP = ["manufacturer", "year"]
 
 
+def dated(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Fact rows with their year.  Where the fact is stored by year, the year joins
+    too: days that are filtered in the date dimension then prune the fact's
+    partitions, statically (a year) or at run time (days, months)."""
+    keys = ["dateid", "year"] if "year" in fact.columns else ["dateid"]
+    return fact.join(broadcast_calendar(date_dim.select("dateid", "year")), keys)
+
+
+def in_years(date_dim: DataFrame, first: int, last: int) -> DataFrame:
+    """The days of a range of years."""
+    return date_dim.where(F.col("date").between(F.make_date(F.lit(first), F.lit(1), F.lit(1)),
+                                                F.make_date(F.lit(last), F.lit(12), F.lit(31))))
+
+
 def star(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Fact joined to date and aircraft.  The date dimension is
     broadcast (bounded by the calendar); the aircraft dimension is broadcast
     by Spark when its measured size allows."""
-    return (fact.join(broadcast_calendar(date_dim.select("dateid", "year")), "dateid")
+    return (dated(fact, date_dim)
             .join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid"))
 
 
@@ -48,7 +62,7 @@ def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame,
     if not count_aircraft:
         return (star(fact, aircraft_dim, date_dim).groupBy(*GROUP)
                 .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
-    per = (fact.join(broadcast_calendar(date_dim.select("dateid", "year")), "dateid")
+    per = (dated(fact, date_dim)
            .groupBy("aircraftid", "year")
            .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
     return (per.join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid")

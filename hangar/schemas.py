@@ -94,6 +94,9 @@ FACT_TOTAL_MAINTENANCE = _struct(
     ("reports", I, False),
 )
 
+KEYS_AIRCRAFT = _struct(("aircraftid", I, False), ("aircraftregistration", S, False))
+KEYS_AIRPORT = _struct(("airportid", I, False), ("airportcode", S, False))
+
 # natural and foreign keys of the warehouse, used by the integrity checks
 PRIMARY_KEYS = {
     "aircrafts": ["aircraftid"],
@@ -118,3 +121,5 @@ WAREHOUSE_SCHEMAS = {
     "daily_aircraft_stats": FACT_DAILY,
     "total_maintenance_reports": FACT_TOTAL_MAINTENANCE,
 }
+# key maps, kept from refresh to refresh
+KEY_MAP_SCHEMAS = {"aircraft_keys": KEYS_AIRCRAFT, "airport_keys": KEYS_AIRPORT}
