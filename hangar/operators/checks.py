@@ -57,6 +57,8 @@ def reference_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+ALL = (not_null_violations, key_violations, reference_violations)
+
+
 def all_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([not_null_violations(tables), key_violations(tables),
-                   reference_violations(tables)])
+    return _union([check(tables) for check in ALL])

@@ -13,10 +13,12 @@ import logging
 import os
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from hangar import schemas
 from hangar.functions.keys import broadcast_calendar
@@ -205,6 +207,9 @@ def build(src: OperationalSources, materialize: Materialize = lazy,
     return Warehouse(src, materialize, overlap_bucket, known_keys, observe)
 
 
+#: Stages that can run side by side, each in its order; the rest needs them all.
+INDEPENDENT = (("flights_swapped", "flights_marked", "flight_years"),
+               ("aircraft_keys", "aircrafts", "reports_marked"), ("airport_keys", "airports"))
 WAREHOUSE_TABLES = ["aircrafts", "airports", "dates", "daily_aircraft_stats",
                     "total_maintenance_reports"]
 
@@ -214,6 +219,13 @@ KEY_MAPS = ["aircraft_keys", "airport_keys"]
 REJECT_SCHEMAS = {"overlapping_flights": schemas.FLIGHTS, "invalid_reports": schemas.REPORTS}
 
 
+def together(spark: SparkSession, *work: Callable):
+    """Runs jobs that don't need each other at the same time: the tail of one leaves
+    executors free that the next can use.  The first error is raised at the end."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [job.result() for job in [pool.submit(inheritable_thread_target(spark)(f)) for f in work]]
+
+
 def with_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """The daily fact with the year that it is partitioned by."""
     return fact.join(broadcast_calendar(dates.select("dateid", "year")), "dateid").select(
@@ -224,20 +236,23 @@ def publish(spark: SparkSession, wh: Warehouse, out_dir: str, run: str,
             rejects_format: str = "csv") -> tuple[store.Snapshot, dict[str, str]]:
     """Writes tables, key maps and rejects as a version of ``out_dir`` and shows it."""
     new = store.Publication(spark, out_dir, run, rejects_format)
-    written: dict[str, str] = {}
-    for rule, df in (("overlapping_flights", wh.overlap_rejects),
-                     ("invalid_reports", wh.reports_rejects)):
+
+    def reject(rule: str, df: DataFrame) -> tuple[str, str]:
         spark.sparkContext.setJobDescription(f"hangar refresh: rejects {rule}")
         rows = Observation(f"{rule}_{new.version}")
-        written[f"rejects/{rule}"] = new.reject(rule, df.observe(rows, F.count(F.lit(1)).alias("n")))
+        path = new.reject(rule, df.observe(rows, F.count(F.lit(1)).alias("n")))
         log.info("rule %s: %d rows rejected", rule, rows.get["n"])
-    for name in [*KEY_MAPS, *WAREHOUSE_TABLES]:
+        return f"rejects/{rule}", path
+
+    def table(name: str) -> tuple[str, str]:
         spark.sparkContext.setJobDescription(f"hangar refresh: publish {name}")
         df, by = getattr(wh, name), store.PARTITIONS.get(name, ())
-        written[name] = new.table(name, with_year(df, wh.dates) if by else df, by)
-    snapshot = new.commit()
-    spark.sparkContext.setJobDescription(None)
-    return snapshot, written
+        return name, new.table(name, with_year(df, wh.dates) if by else df, by)
+
+    written = together(spark, partial(reject, "overlapping_flights", wh.overlap_rejects),
+                       partial(reject, "invalid_reports", wh.reports_rejects),
+                       *[partial(table, name) for name in [*KEY_MAPS, *WAREHOUSE_TABLES]])
+    return new.commit(), dict(written)
 
 
 def known_keys(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
@@ -274,16 +289,22 @@ def run_full_refresh(spark: SparkSession, src: OperationalSources, out_dir: str,
         return spark.read.parquet(path)
 
     wh = build(src, materialize, overlap_bucket, known_keys(spark, out_dir), observe=True)
-    try:
-        for name in SHARED_STAGES:
+    def stages(*names: str) -> None:
+        for name in names:
             getattr(wh, name)
             for table in [t for t in REQUIRED if t in wh.seen and name == REQUIRED[t][0]]:
                 counts = wh.seen[table].get
                 quality.refuse_nulls({c: counts[c] for c in REQUIRED[table][1:]}, table)
+
+    try:
+        together(spark, *[partial(stages, *names) for names in INDEPENDENT])
+        stages("daily_sums", "dates")
+        together(spark, partial(stages, "daily_aircraft_stats"), partial(stages, "total_maintenance_reports"))
         log.info("rule BR-22: %d flights with reversed times were swapped", wh.seen["flights"].get["reversed"])
         spark.sparkContext.setJobDescription("hangar refresh: constraints")
         tables = {name: getattr(wh, name) for name in WAREHOUSE_TABLES}
-        broken = checks.all_violations(tables).where("violations > 0").collect()  # one row per rule
+        found = together(spark, *[check(tables).where("violations > 0").collect for check in checks.ALL])
+        broken = [r for rules in found for r in rules]  # one row per rule
         if broken:
             raise ValueError("the new warehouse breaks its constraints, nothing was published: "
                              + ", ".join(f"{r.rule} ({r.violations})" for r in broken))
