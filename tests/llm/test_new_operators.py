@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow.dataset as ds
 import pytest
 
-from hangar.llm import quality, registry, repair, runs
+from hangar.llm import ann, quality, registry, repair, runs
 from tests.llm.conftest import EDGE
 
 SF = "/root/testdata/sf0.001"
@@ -79,6 +79,40 @@ def test_quality_repeated_ids_and_missing_metadata(spark):
     assert quality.learn(docs, labels.limit(0)).constant == 0.5
 
 
+# ---- 4 nearest neighbours: recall where the share, not the least number, decides ----------
+
+@pytest.mark.parametrize("structured", [False, True])
+def test_ann_recall_of_large_blocks(structured):
+    draw = np.random.default_rng(9)
+    x = draw.standard_normal((3 * ann.BLOCK, 64))
+    if structured:
+        x = x[draw.integers(0, 900, len(x))] + 0.6 * x
+    parts, need, hit = np.array_split(np.arange(len(x)), 3), int(ann.ENOUGH * ann.BLOCK), 0
+    assert need > 1.5 * ann.LEAST
+    queries = np.arange(0, len(x), 191)
+    longest = float(np.sqrt((x * x).sum(1).max()))
+    found = [[] for _ in queries]
+    for part in parts:
+        index = ann.Index(x[part], longest)
+        for begin in range(0, len(queries), ann.TOGETHER):
+            asked = queries[begin:begin + ann.TOGETHER]
+            for k, at in enumerate(index.search(x[asked], need)):
+                assert need <= len(at)
+                found[begin + k].append(part[at])
+    for q, at in zip(queries, found):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(np.argsort(-s)[:20]) & set(np.concatenate(at)))
+    assert hit >= 0.9 * 20 * len(queries)
+
+
+def test_ann_windows_hold_all_copies():
+    x = np.random.default_rng(2).standard_normal((3000, 8))
+    x[1000:2500] = x[1000]
+    index = ann.Index(x, float(np.sqrt((x * x).sum(1).max())))
+    assert set(range(1000, 2500)) <= set(index.search(x[1000:1001], 400)[0].tolist())
+
+
 # ---- 12 periodic runs -----------------------------------------------------------------
 
 def brute_runs(w, least=12):
