@@ -2,8 +2,9 @@
 
 Method: ordered signature rules.  A text is reduced to its words (lower case,
 one space between); texts that hold none of the keywords are done.  In the
-others each rule whose own keyword occurs is matched; the detections are
-ordered, and one that lies inside another of at least its priority is
+others each keyword is looked for once, and where it occurs one pattern, of all its
+rules, tells whether any of them matches; only then each rule of that keyword is
+matched by itself.  The detections are ordered, and one that lies inside another of at least its priority is
 suppressed, so the more specific rule wins.  Everything is DataFrame functions.
 
 Nulls count as the empty text, which has no words and no detections; repeated
@@ -161,12 +162,17 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def starts(norm: Column, pattern: Column) -> Column:
+def bounded(pattern: Column) -> Column:
+    return F.concat(F.lit("(?<![^ ])(?:"), pattern, F.lit(")(?![^ ])"))
+
+
+def starts(norm: Column, pattern: Column, found: Column | None = None) -> Column:
     """Matches between word boundaries: index of the first word, and of the word
-    after the last, by counting the spaces of the matches and the gaps."""
-    bounded = F.concat(F.lit("(?<![^ ])(?:"), pattern, F.lit(")(?![^ ])"))
-    found = F.regexp_extract_all(norm, bounded, F.lit(0))
-    zipped = F.zip_with(F.transform(F.split(norm, bounded, -1), _spaces),
+    after the last, by counting the spaces of the matches (``found``, if they are
+    known) and the gaps."""
+    if found is None:
+        found = F.regexp_extract_all(norm, bounded(pattern), F.lit(0))
+    zipped = F.zip_with(F.transform(F.split(norm, bounded(pattern), -1), _spaces),
                         F.transform(found, _spaces),
                         lambda g, m: F.struct(g.alias("gap"), m.alias("size")))
     return F.aggregate(
@@ -181,22 +187,38 @@ def starts(norm: Column, pattern: Column) -> Column:
         lambda s: s["hits"])
 
 
-def _table(rules: tuple[Rule, ...]) -> Column:
+RULE = "array<struct<order:int,label:string,level:int,pattern:string>>"
+
+
+def _table(rules: list[tuple[int, Rule]]) -> Column:
     return F.array(*[F.struct(
         F.lit(i).alias("order"), F.lit(r.label).alias("label"), F.lit(r.level).alias("level"),
-        F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"))
-        for i, r in enumerate(rules)])
+        F.lit(r.pattern).alias("pattern")) for i, r in rules])
+
+
+def live(norm: Column, rules: tuple[Rule, ...]) -> Column:
+    """The rules of the keywords that occur together with a match of any of their
+    rules.  Keywords and patterns are literals: compiled once, each read once."""
+    groups: dict[str, list[tuple[int, Rule]]] = {}
+    for i, r in enumerate(rules):
+        groups.setdefault(r.keyword, []).append((i, r))
+    return F.flatten(F.array(*[
+        F.when(F.contains(norm, F.lit(word)) & F.regexp_like(norm, F.lit(
+            f"(?<![^ ])(?:{'|'.join(dict.fromkeys(r.pattern for _, r in own))})(?![^ ])")), _table(own))
+        .otherwise(F.array().cast(RULE)) for word, own in groups.items()]))
 
 
 def detect(norm: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """All detections in a lowered word text, ordered by start, longest and
     highest priority first."""
-    live = F.filter(_table(rules), lambda r: F.contains(norm, r["keyword"]))
-    hits = F.flatten(F.transform(live, lambda r: F.transform(
-        starts(norm, r["pattern"]), lambda h: F.struct(
-            h["start"].alias("start"), (-h["end"]).alias("back"), (-r["level"]).alias("down"),
-            r["order"].alias("order"), h["end"].alias("end"), r["label"].alias("label"),
-            r["level"].alias("level")))))
+    matched = F.filter(F.transform(live(norm, rules), lambda r: F.struct(
+        r.alias("rule"), F.regexp_extract_all(norm, bounded(r["pattern"]), F.lit(0)).alias("found"))),
+        lambda m: F.size(m["found"]) > 0)
+    hits = F.flatten(F.transform(matched, lambda m: F.transform(
+        starts(norm, m["rule"]["pattern"], m["found"]), lambda h: F.struct(
+            h["start"].alias("start"), (-h["end"]).alias("back"), (-m["rule"]["level"]).alias("down"),
+            m["rule"]["order"].alias("order"), h["end"].alias("end"), m["rule"]["label"].alias("label"),
+            m["rule"]["level"].alias("level")))))
     return F.transform(F.array_sort(hits), lambda h: F.struct(
         h["start"], h["order"], h["end"], h["label"], h["level"]))
 

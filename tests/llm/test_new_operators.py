@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow.dataset as ds
 import pytest
 
-from hangar.llm import ann, quality, registry, repair, runs
+from hangar.llm import ann, licenses, quality, registry, repair, runs
 from tests.llm.conftest import EDGE
 
 SF = "/root/testdata/sf0.001"
@@ -113,6 +113,42 @@ def test_ann_windows_hold_all_copies():
     assert set(range(1000, 2500)) <= set(index.search(x[1000:1001], 400)[0].tolist())
 
 
+# ---- 10 licenses: rules, priority and containment by plain loops -----------------------------
+
+def brute_detections(text):
+    """(start, order, end, label, level) of the kept detections of a text."""
+    norm = " ".join(w for w in re.split(licenses.SEPARATORS, text or "") if w)
+    norm = norm.translate({c: c + 32 for c in range(65, 91)})
+    hits = []
+    for order, r in enumerate(licenses.RULES):
+        for m in re.finditer(f"(?<![^ ])(?:{r.pattern})(?![^ ])", norm) if r.keyword in norm else ():
+            first = norm[:m.start()].count(" ")
+            hits.append((first, order, first + m.group().count(" ") + 1, r.label, r.level))
+    kept = []
+    for h in hits:
+        rank = lambda x: (x[0], -x[2], -x[4], x[1])
+        inside = any(o is not h and o[0] <= h[0] and h[2] <= o[2] and o[4] >= h[4] and rank(o) < rank(h) for o in hits)
+        if not inside:
+            kept.append(h)
+    return sorted(kept, key=lambda h: (h[0], -h[2], -h[4], h[1]))
+
+
+def test_license_rules_equal_plain_loops(spark):
+    parts = ["mit license", "licensed under the apache license version 2 0", "Apache License", "GNU", "General Public License",
+             "v3 or later", "SPDX-License-Identifier:", "Apache-2.0", "BSD 3-Clause", "the", "mitigate", "mit",
+             "released under the terms of the", "lesser general public license v2.1", "all rights reserved", "public domain",
+             "released into the public domain", "license", "CC BY-SA 4.0", "creative commons attribution", "Open RAIL-M", "."]
+    draw = random.Random(4)
+    texts = [" ".join(draw.choices(parts, k=draw.randint(1, 14))) for _ in range(300)] + [None, ""]
+    texts += list(load("documents").text)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(h) for h in r.detections] for r in licenses.scan(rows).collect()}
+    assert sum(map(bool, got.values())) > 250
+    for i, text in enumerate(texts):
+        # the scan reads a text only if a keyword starts a word of it
+        assert got[i] == brute_detections(text), text
+
+
 # ---- 12 periodic runs -----------------------------------------------------------------
 
 def brute_runs(w, least=12):
