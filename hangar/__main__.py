@@ -59,6 +59,7 @@ def _sources(spark: SparkSession, args) -> driver_views.OperationalSources:
             **tables,
             aircraft_lookup=readers.read_aircraft_lookup(spark, args.aircraft_csv),
             personnel_lookup=readers.read_personnel_lookup(spark, args.personnel_csv),
+            lookup_rejects=readers.lookup_rejects(spark, args.aircraft_csv, args.personnel_csv),
         )
     raise SystemExit("give --driver-tables, --sources or --jdbc-url")
 

@@ -12,12 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hangar import schemas
 from hangar.operators import checks, dimensions, facts
 from hangar.plans import source_kpis, warehouse_kpis
-from hangar.plans.etl import Warehouse, build, checkpointed, open_warehouse, publish, read_rejects
+from hangar.plans.etl import Warehouse, build, checkpointed, open_sets, open_warehouse, publish, read_rejects
 from hangar.session import staging_path
 from hangar.sources import driver_views, text_inputs
-from hangar.sources.readers import registrations_per_manufacturer
+from hangar.sources.readers import coerce_personnel, read_lookup, registrations_per_manufacturer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -240,6 +241,13 @@ def kpi_utilization_years(spark, sf_dir):
         warehouse_kpis.in_years(t["dates"], FIRST_YEAR, LAST_YEAR))
 
 
+@query("kpi_utilization_span")
+def kpi_utilization_span(spark, sf_dir):
+    """Utilization over a range of years as a whole, from the stored sets of aircraft."""
+    return warehouse_kpis.utilization_span(
+        open_sets(spark, _stored(spark, sf_dir)), FIRST_YEAR, LAST_YEAR)
+
+
 @query("overlap_rejects_log")
 def overlap_rejects_log(spark, sf_dir):
     """S7 over all runs."""
@@ -335,3 +343,20 @@ def csv_text_dates(spark, sf_dir):
 @query("csv_text_ids")
 def csv_text_ids(spark, sf_dir):
     return text_inputs.text_ids(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
+def _lookup_csv(spark, sf_dir):
+    """The personnel CSV with malformed lines, as a file of this session's staging."""
+    path = staging_path(spark, "personnel_csv")
+    text_inputs.lookup_lines(spark.read.parquet(f"{sf_dir}/customer.parquet")).write.text(path)
+    return read_lookup(spark, path, schemas.PERSONNEL_LOOKUP_TEXT, header=False)
+
+
+@query("csv_lookup_rows")
+def csv_lookup_rows(spark, sf_dir):
+    return coerce_personnel(_lookup_csv(spark, sf_dir)[0])
+
+
+@query("csv_lookup_rejects")
+def csv_lookup_rejects(spark, sf_dir):
+    return _lookup_csv(spark, sf_dir)[1]

@@ -23,7 +23,7 @@ from pyspark.util import inheritable_thread_target
 from hangar import schemas
 from hangar.functions.keys import broadcast_calendar
 from hangar.operators import checks, dimensions, facts, quality
-from hangar.plans import store
+from hangar.plans import store, warehouse_kpis
 from hangar.sources.driver_views import OperationalSources
 from hangar.session import ensure_checkpoint_dir, staging_path
 
@@ -191,6 +191,10 @@ class Warehouse:
         return self._stage("daily_aircraft_stats", facts.attach_daily_keys(
             facts.fact_measures(self.daily_sums), self.aircrafts, self.dates))
 
+    @cached_property
+    def aircraft_sets(self) -> DataFrame:
+        return warehouse_kpis.aircraft_sets(self.daily_aircraft_stats, self.aircrafts, self.dates)
+
     @cached_property
     def total_maintenance_reports(self) -> DataFrame:
         rows = facts.total_maintenance_rows(
@@ -214,9 +218,12 @@ WAREHOUSE_TABLES = ["aircrafts", "airports", "dates", "daily_aircraft_stats",
                     "total_maintenance_reports"]
 
 
+#: Sets of aircraft, kept beside the fact.
+SETS = "aircraft_sets"
 #: Key maps, kept from refresh to refresh beside the tables.
 KEY_MAPS = ["aircraft_keys", "airport_keys"]
-REJECT_SCHEMAS = {"overlapping_flights": schemas.FLIGHTS, "invalid_reports": schemas.REPORTS}
+REJECT_SCHEMAS = {"overlapping_flights": schemas.FLIGHTS, "invalid_reports": schemas.REPORTS,
+                  "malformed_lookup_lines": schemas.LOOKUP_REJECTS}
 
 
 def together(spark: SparkSession, *work: Callable):
@@ -249,9 +256,11 @@ def publish(spark: SparkSession, wh: Warehouse, out_dir: str, run: str,
         df, by = getattr(wh, name), store.PARTITIONS.get(name, ())
         return name, new.table(name, with_year(df, wh.dates) if by else df, by)
 
-    written = together(spark, partial(reject, "overlapping_flights", wh.overlap_rejects),
-                       partial(reject, "invalid_reports", wh.reports_rejects),
-                       *[partial(table, name) for name in [*KEY_MAPS, *WAREHOUSE_TABLES]])
+    rejects = {"overlapping_flights": wh.overlap_rejects, "invalid_reports": wh.reports_rejects}
+    if wh.src.lookup_rejects is not None:
+        rejects["malformed_lookup_lines"] = wh.src.lookup_rejects
+    written = together(spark, *[partial(reject, rule, df) for rule, df in rejects.items()],
+                       *[partial(table, name) for name in [*KEY_MAPS, *WAREHOUSE_TABLES, SETS]])
     return new.commit(), dict(written)
 
 
@@ -338,6 +347,14 @@ def open_warehouse(spark: SparkSession, out_dir: str, register_views: bool = Tru
     return tables
 
 
+def open_sets(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The sets of aircraft of the published warehouse."""
+    snapshot = store.current(spark, out_dir)
+    if snapshot is None:
+        raise ValueError(f"{out_dir}: no warehouse was published here")
+    return store.read_tables(spark, out_dir, snapshot, [SETS])[SETS]
+
+
 def read_rejects(spark: SparkSession, out_dir: str, rule: str) -> DataFrame:
     """The rejected rows of all runs, with their ``run``."""
     return store.read_rejects(spark, out_dir, rule, REJECT_SCHEMAS[rule])

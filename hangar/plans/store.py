@@ -205,7 +205,7 @@ PARTITIONS = {"daily_aircraft_stats": ("year",)}
 def read_tables(spark: SparkSession, root: str, snapshot: Snapshot, names: Iterable[str]) -> dict[str, DataFrame]:
     """Tables of one version, each checked against its declared columns and types."""
     out = {}
-    declared = {**schemas.WAREHOUSE_SCHEMAS, **schemas.KEY_MAP_SCHEMAS}
+    declared = {**schemas.WAREHOUSE_SCHEMAS, **schemas.KEY_MAP_SCHEMAS, "aircraft_sets": schemas.AIRCRAFT_SETS}
     for name in names:
         df = spark.read.parquet(os.path.join(root, snapshot.tables[name]))
         want = [(f.name, f.dataType) for f in declared[name]]

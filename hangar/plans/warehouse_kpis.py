@@ -62,14 +62,45 @@ def _sums(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame,
     if not count_aircraft:
         return (star(fact, aircraft_dim, date_dim).groupBy(*GROUP)
                 .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
-    per = (dated(fact, date_dim)
-           .groupBy("aircraftid", "year")
-           .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
-    return (per.join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid")
-            .groupBy(*GROUP)
+    return (_per_aircraft(fact, aircraft_dim, date_dim).groupBy(*GROUP)
             .agg(*[F.sum(k).alias(k) for k in _MEASURES], F.count(F.lit(1)).alias("n")))
 
 
+def _per_aircraft(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """The measure sums of each aircraft and year, with its manufacturer."""
+    per = (dated(fact, date_dim).groupBy("aircraftid", "year")
+           .agg(*[F.sum(col).alias(k) for k, col in _MEASURES.items()]))
+    return per.join(aircraft_dim.select("aircraftid", "manufacturer"), "aircraftid")
+
+
+def aircraft_sets(fact: DataFrame, aircraft_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Per (manufacturer, year, bucket of ids): the measure sums and which aircraft have
+    a fact row, as a bitmap.  A few rows per manufacturer and year (a bucket holds
+    32,768 ids), from which the distinct aircraft of any range of years follow."""
+    return (_per_aircraft(fact, aircraft_dim, date_dim)
+            .groupBy(*GROUP, F.bitmap_bucket_number("aircraftid").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("aircraftid")).alias("aircraft"),
+                 *[F.sum(k).alias(k) for k in _MEASURES]))
+
+
+def utilization_span(sets: DataFrame, first: int, last: int) -> DataFrame:
+    """Utilization per manufacturer over a range of years taken together: the number
+    of distinct aircraft (or-ed bitmaps) and the KPIs that don't assume one year."""
+    g = (sets.where(F.col("year").between(first, last)).groupBy("manufacturer", "bucket")
+         .agg(F.bitmap_or_agg("aircraft").alias("aircraft"), *[F.sum(k).alias(k) for k in _MEASURES])
+         .groupBy("manufacturer")
+         .agg(F.sum(F.bitmap_count("aircraft")).alias("n"), *[F.sum(k).alias(k) for k in _MEASURES]))
+    return g.selectExpr(
+        "manufacturer", f"{first} AS first_year", f"{last} AS last_year", "n AS aircraft",
+        f"{dec(r(div('H', 'n'), 2))} AS FH",
+        f"{dec(r('cast(' + idiv('T', 'n') + ' as double)', 2))} AS TakeOff",
+        f"{dec(r(div('S', 'n'), 2))} AS ADOSS",
+        f"{dec(r(div('U', 'n'), 2))} AS ADOSU",
+        f"{dec('100.0D * ' + r(div('D', 'T'), 4))} AS DYR",
+        f"{dec('100.0D * ' + r(div('C', 'T'), 4))} AS CNR",
+    ).orderBy("manufacturer")
+
+
 def utilization_from_sums(g: DataFrame) -> DataFrame:
     """K1-K12 from per-group sums H T S U D C M and aircraft count n."""
     fh = r(div("H", "n"), 2)

@@ -97,6 +97,14 @@ FACT_TOTAL_MAINTENANCE = _struct(
 KEYS_AIRCRAFT = _struct(("aircraftid", I, False), ("aircraftregistration", S, False))
 KEYS_AIRPORT = _struct(("airportid", I, False), ("airportcode", S, False))
 
+# per (manufacturer, year, bucket of aircraft ids): sums of the measures and the
+# aircraft as a bitmap, so that distinct aircraft of any years can be counted
+AIRCRAFT_SETS = T.StructType([
+    T.StructField("manufacturer", T.StringType()), T.StructField("year", T.IntegerType()),
+    T.StructField("bucket", T.LongType()), T.StructField("aircraft", T.BinaryType()),
+    *[T.StructField(n, T.DoubleType() if n in "HSUM" else T.LongType()) for n in "HTSUDCMPR"]])
+LOOKUP_REJECTS = _struct(("lookup", S, True), ("line", S, True))
+
 # natural and foreign keys of the warehouse, used by the integrity checks
 PRIMARY_KEYS = {
     "aircrafts": ["aircraftid"],

@@ -45,6 +45,8 @@ class OperationalSources:
     reports: DataFrame
     aircraft_lookup: DataFrame
     personnel_lookup: DataFrame
+    #: (lookup, line): malformed lines, where the lookups are read from CSV files.
+    lookup_rejects: DataFrame | None = None
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hangar import schemas
 from hangar.functions.temporal import text_to_id
@@ -93,17 +94,50 @@ def jdbc_options(
     return opts
 
 
+_CORRUPT = "_corrupt"
+
+
+def read_lookup(spark: SparkSession, path: str, schema: T.StructType,
+                header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A lookup CSV (comma, UTF-8) as ``(rows, rejects)``.
+
+    Lines that don't have as many fields as the schema go to the rejects (one
+    column ``line``, as they stand in the file) instead of into the lookup with
+    nulls or without their last fields.  The header must name the declared columns
+    in their order, or the read fails.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    # without column pruning: it would count fields only as far as they are asked for
+    parsed = (spark.read.schema(whole).option("header", header).option("enforceSchema", False)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+              .option("columnPruning", False).option("encoding", "UTF-8").csv(path))
+    # Spark refuses to read the corrupt column alone, so the others are looked at too
+    looked_at = F.length(F.concat_ws("", *schema.names)) >= 0
+    return (parsed.where(F.col(_CORRUPT).isNull() & looked_at).drop(_CORRUPT),
+            parsed.where(F.col(_CORRUPT).isNotNull() & looked_at).select(F.col(_CORRUPT).alias("line")))
+
+
 def read_aircraft_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Aircraft CSV (header, comma, UTF-8) with a declared schema."""
-    return (spark.read.schema(schemas.AIRCRAFT_LOOKUP)
-            .option("header", True).option("encoding", "UTF-8").csv(path))
+    """The well-formed lines of the aircraft CSV."""
+    return read_lookup(spark, path, schemas.AIRCRAFT_LOOKUP)[0]
+
+
+def coerce_personnel(rows: DataFrame) -> DataFrame:
+    """Personnel ids are numeric text, coerced (bad -> null)."""
+    return rows.select(text_to_id("reporteurid").alias("reporteurid"), F.col("airport"))
 
 
 def read_personnel_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Personnel CSV; ids are numeric text, coerced (bad -> null)."""
-    raw = (spark.read.schema(schemas.PERSONNEL_LOOKUP_TEXT)
-           .option("header", True).option("encoding", "UTF-8").csv(path))
-    return raw.select(text_to_id("reporteurid").alias("reporteurid"), F.col("airport"))
+    """The well-formed lines of the personnel CSV."""
+    return coerce_personnel(read_lookup(spark, path, schemas.PERSONNEL_LOOKUP_TEXT)[0])
+
+
+def lookup_rejects(spark: SparkSession, aircraft_csv: str, personnel_csv: str) -> DataFrame:
+    """(lookup, line): the malformed lines of both lookup files, for the reject log."""
+    parts = [read_lookup(spark, path, schema)[1].select(F.lit(name).alias("lookup"), "line")
+             for name, path, schema in (("aircraft", aircraft_csv, schemas.AIRCRAFT_LOOKUP),
+                                        ("personnel", personnel_csv, schemas.PERSONNEL_LOOKUP_TEXT))]
+    return parts[0].unionByName(parts[1])
 
 
 def registrations_per_manufacturer(aircraft_lookup: DataFrame) -> DataFrame:

@@ -40,3 +40,18 @@ def text_ids(orders: DataFrame) -> DataFrame:
             .otherwise(F.concat(F.lit("id"), c)))
     return orders.select("o_orderkey", text.alias("text")).withColumn(
         "reporteurid", text_to_id("text"))
+
+
+def lookup_lines(customer: DataFrame) -> DataFrame:
+    """One column ``line``: a personnel CSV without header, made out of ``customer``;
+    some lines have a field too many or too few, others quotes or an id that is no
+    number."""
+    k, key = F.col("c_custkey") % 10, F.col("c_custkey").cast("string")
+    airport = F.format_string("N%02d", F.col("c_nationkey").cast("bigint"))
+    join = lambda *parts: F.concat_ws(",", *parts)
+    return customer.select(
+        F.when(k == 1, join(key, airport, F.lit("extra"))).when(k == 2, key)
+        .when(k == 3, join(key, F.concat(F.lit('"'), airport, F.lit('"'))))
+        .when(k == 4, join(F.concat(F.lit("x"), key), airport))
+        .when(k == 5, join(key, F.concat(F.lit('"'), airport, F.lit(',T2"'))))
+        .otherwise(join(key, airport)).alias("line"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hangar import schemas
 from hangar.plans import etl, store, warehouse_kpis
-from hangar.sources import driver_views
+from hangar.sources import driver_views, readers
 from tests.conftest import SF_SMALL
 
 
@@ -21,6 +21,8 @@ def src(spark, tmp_path_factory):
     mapped = driver_views.load(spark, SF_SMALL)
     tables = {}
     for f in dataclasses.fields(mapped):
+        if getattr(mapped, f.name) is None:
+            continue
         getattr(mapped, f.name).write.parquet(f"{root}/{f.name}")
         tables[f.name] = spark.read.parquet(f"{root}/{f.name}")
     return driver_views.OperationalSources(**tables)
@@ -190,3 +192,54 @@ def test_days_of_some_years_prune_the_fact(spark, built, tmp_path):
     assert "dynamicpruning" in plan
     whole = warehouse_kpis.utilization(t["daily_aircraft_stats"], t["aircrafts"], t["dates"])
     assert some.collect() == [r for r in whole.collect() if r.year in (1994, 1995)]
+
+
+def test_malformed_lookup_lines_are_logged(spark, built, tmp_path):
+    air, people, wrong = (str(tmp_path / n) for n in ("air.csv", "people.csv", "wrong.csv"))
+    with open(air, "w", encoding="utf-8") as f:
+        f.write("aircraft_reg_code,manufacturer_serial_number,aircraft_model,aircraft_manufacturer\n"
+                "XY-001,1,A320,Airbus\nXY-002,2,B737\nXY-003,3,B737,Boeing,x\n")
+    with open(people, "w", encoding="utf-8") as f:
+        f.write('reporteurid,airport\n12,BCN\n13\n"14","MAD"\nx,LHR\n15,"A,B"\n')
+    with open(wrong, "w", encoding="utf-8") as f:
+        f.write("airport,reporteurid\nBCN,12\n")
+    assert [r.aircraft_reg_code for r in readers.read_aircraft_lookup(spark, air).collect()] == ["XY-001"]
+    assert [tuple(r) for r in readers.read_personnel_lookup(spark, people).collect()] == [
+        (12, "BCN"), (14, "MAD"), (None, "LHR"), (15, "A,B")]
+    with pytest.raises(Exception, match="CSV header"):
+        readers.read_personnel_lookup(spark, wrong).collect()
+    few = etl.build(dataclasses.replace(built[1].src, lookup_rejects=readers.lookup_rejects(spark, air, people)))
+    for name in etl.SHARED_STAGES:
+        few.__dict__[name] = getattr(built[1], name)
+    etl.publish(spark, few, str(tmp_path / "wh"), "one")
+    log = etl.read_rejects(spark, str(tmp_path / "wh"), "malformed_lookup_lines").collect()
+    assert sorted(tuple(r) for r in log) == [
+        ("aircraft", "XY-002,2,B737", "one"), ("aircraft", "XY-003,3,B737,Boeing,x", "one"),
+        ("personnel", "13", "one")]
+
+
+def test_aircraft_of_several_years_count_once(spark):
+    """Ids in several buckets; the bitmaps give the distinct aircraft of any years."""
+    ids = spark.range(1, 100_001, 7).select(F.col("id").cast("int").alias("aircraftid"))
+    aircrafts = ids.withColumn("manufacturer", F.when(F.col("aircraftid") % 2 == 0, "Airbus").otherwise("Boeing"))
+    dates = spark.createDataFrame([(1, 2001), (2, 2002), (3, 2003)], "dateid int, year int")
+    fact = ids.join(dates, (F.col("aircraftid") + F.col("dateid")) % 3 != 0).select(
+        "dateid", "aircraftid", *[F.lit(1).alias(c) for c in warehouse_kpis._MEASURES.values()])
+    sets = warehouse_kpis.aircraft_sets(fact, aircrafts, dates)
+    assert sets.select("bucket").distinct().count() == 4
+    joined = fact.join(aircrafts, "aircraftid").join(dates, "dateid")
+    for first, last in ((2001, 2001), (2002, 2003), (2001, 2003)):
+        want = {r[0]: r[1] for r in joined.where(F.col("year").between(first, last)).groupBy("manufacturer")
+                .agg(F.count_distinct("aircraftid")).collect()}
+        got = {r.manufacturer: r.aircraft for r in warehouse_kpis.utilization_span(sets, first, last).collect()}
+        assert got == want
+
+
+def test_reference_checks_do_not_shuffle_the_fact(spark, built):
+    tables = {name: getattr(built[0], name) for name in etl.WAREHOUSE_TABLES}
+    plan = etl.checks.reference_violations(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 4 and plan.count("Aggregate [dateid") == 1
+    tables["aircrafts"] = tables["aircrafts"].where("aircraftid > 1")
+    want = tables["daily_aircraft_stats"].where("aircraftid = 1").count()
+    got = {r.rule: r.violations for r in etl.checks.reference_violations(tables).collect()}
+    assert got["foreign_key:daily_aircraft_stats.aircraftid->aircrafts"] == want > 0
