@@ -10,7 +10,7 @@ import corpus_pipeline
 from hangar.llm.registry import QUERIES
 from tests.llm.conftest import CLASH, EDGE, LONG
 
-BY_DOC = [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op5", "op6", "op8", "op9", "op10")]
+BY_DOC = [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op5", "op6", "op8", "op9", "op10", "op11", "op12")]
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -80,6 +80,20 @@ def test_op10_labels(results):
     assert got[1].n_words == 0 and got[1].first_word is None and got[1].score == 0
 
 
+def test_op11_scores(results):
+    rows = results["op11_quality_fm"]
+    got = _by_id(rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert got[4].score == got[8].score  # equal texts, of one length
+    assert sum(r.doc_id == 7 for r in rows) == 2 and len({r.score for r in rows if r.doc_id == 7}) == 1
+
+
+def test_op13_rows(results):
+    got = {r.conv_id: r for r in results["op13_conversation_repair"]}
+    assert set(got) == {None, 1, 2, 3, 4, 5}
+    assert all(r.cost >= 0 and len(r.repaired_sha256) == 64 for r in got.values())
+
+
 def test_searches(results):
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in results["op7_exact_topk"]}
     assert {q for q, _ in got} == {0, 50}
