@@ -208,7 +208,8 @@ def learn(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_ch
         return model._replace(constant=seen.ones / seen.n if seen.n else 0.5)
     for k in range(ROUNDS):
         last = spark.sparkContext.broadcast(model)
-        parts = found.groupBy("shard").applyInArrow(
+        # a stated number of partitions, or few shards' worth of bytes would share a task
+        parts = found.repartition(SHARDS, "shard").groupBy("shard").applyInArrow(
             _round(last, k), "shard long, n long, model binary").collect()  # SHARDS models of a fixed size
         parts.sort(key=lambda r: r.shard)
         share = np.array([r.n for r in parts], dtype=float) / sum(r.n for r in parts)
