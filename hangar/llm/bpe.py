@@ -3,8 +3,9 @@
 Method: bounded-lookahead streaming transducer.  From the merge list follows
 how far to the left an unread symbol can still change the tokens of what was
 read (``lookahead``); tokens further left are stable and are emitted, so a word
-of any length is encoded in a window of constant size.  Decoding feeds the
-bytes of the tokens to an incremental byte-to-text state machine.
+of any length is encoded in a window of constant size, in time linear in its length.
+Decoding feeds the bytes of the emitted tokens to an incremental byte-to-text state
+machine.
 
 The vocabulary is a ``tokenizers`` JSON file with a BPE model, its path a
 parameter; the driver reads it and broadcasts its text (a file of a few MB,
@@ -24,6 +25,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ CACHE = 250_000
 ROWS_OUT, CHARS_OUT = 512, 4_000_000
 #: No rule; and what marks a special token among chunks.
 NONE, MARK = np.int32(2**31 - 1), " "
+#: Tokens that the decoder is fed at a time.
+FEED = 1 << 16
 #: Characters of a long text that are worked on at a time.
 SLICE = 1 << 20
 #: Bytes up to which words are merged many at a time; longer ones are streamed.
@@ -121,7 +125,8 @@ class Vocabulary:
             split = split.replace(name, body)
         self.pieces = re.compile(split)
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        self.raw = {i: t.encode() for i, t in self.tokens.items()}
+        self.cache: dict[str, bytes] = {}
         self._index()
 
     def _index(self) -> None:
@@ -163,22 +168,28 @@ class Vocabulary:
         return out
 
     def merge(self, ids: list[int]) -> list[int]:
-        """Applies the rules to symbols: lowest rank first, leftmost of those."""
-        rules = self.rules
-        pairs = [rules.get(p) for p in zip(ids, ids[1:])]
-        while True:
-            at, low = -1, None
-            for i, r in enumerate(pairs):
-                if r is not None and (low is None or r[0] < low[0]):
-                    at, low = i, r
-            if low is None:
-                return ids
-            ids[at:at + 2] = [low[1]]
-            del pairs[at]
-            if at:
-                pairs[at - 1] = rules.get((ids[at - 1], ids[at]))
-            if at < len(pairs):
-                pairs[at] = rules.get((ids[at], ids[at + 1]))
+        """Applies the rules to symbols: lowest rank first, leftmost of those.
+
+        The symbols are a linked list, the rules that apply a heap; an entry whose
+        pair has changed since is passed over.
+        """
+        rules, ids, n = self.rules, list(ids), len(ids)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(rules[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rules]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            rule = rules.get((ids[i], ids[j])) if ids[i] >= 0 and j < n else None
+            if rule is None or rule[0] != rank:
+                continue
+            ids[i], ids[j], after[i] = rule[1], -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (new := rules.get((ids[k], ids[after[k]]))):
+                    heappush(heap, (new[0], k))
+        return [t for t in ids if t >= 0]
 
     def merge_many(self, words: list[bytes]) -> list[list[int]]:
         """``merge`` for many short words side by side: words that fit one window
@@ -268,11 +279,11 @@ class Vocabulary:
                 else:
                     for tokens in self.stream(p):
                         ids.extend(tokens)
-            self.cache[chunk] = self._known(ids)
+            self.cache[chunk] = ids.tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian unsigned 32-bit integers, and
-        their decoded form."""
+        the text that the decoder makes of these."""
         split = []
         for text in texts:
             parts = self.marks.split(text) if "<|" in text else [text]
@@ -287,13 +298,10 @@ class Vocabulary:
         if new:
             self.learn(new)
         for mark, i in self.special.items():
-            self.cache.setdefault(MARK + mark, self._known(array("I", [i])))
+            self.cache.setdefault(MARK + mark, array("I", [i]).tobytes())
         for chunks in split:
-            found = list(filter(lambda f: f[0], map(self.cache.__getitem__, chunks)))
-            yield b"".join([f[0] for f in found]), b" ".join([f[1] for f in found]).decode()
-
-    def _known(self, ids: array) -> tuple[bytes, bytes]:
-        return ids.tobytes(), " ".join([self.tokens[i] for i in ids]).encode()
+            ids = b"".join(map(self.cache.__getitem__, chunks))
+            yield ids, Decoder(self, joined=True).decode(ids)
 
 
 def slices(text: str) -> Iterator[str]:
@@ -334,24 +342,34 @@ class Decoder:
         self.text = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
+        if self.joined:
+            raw = list(filter(None, map(self.v.raw.get, ids)))
+            glue = b" " if self.begun and raw else b""
+            self.begun = self.begun or bool(raw)
+            return self.text.decode(glue + b" ".join(raw))
         out = []
         for i in ids:
             token = self.v.tokens.get(i)
             if token is None:
                 continue
-            if self.joined or token in self.v.special:
-                raw = (" " if self.joined and self.begun else "").encode() + token.encode()
+            if token in self.v.special:
+                raw = token.encode()
             else:
                 end = self.v.suffix and token.endswith(self.v.suffix)
                 body = token.removesuffix(self.v.suffix) if end else token
                 raw = bytes(self.v.bytes_of[c] for c in body) + (b" " if end else b"")
-            self.begun = True
             out.append(self.text.decode(raw))
         return "".join(out)
 
     def finish(self) -> str:
         return self.text.decode(b"", True)
 
+    def decode(self, ids: bytes) -> str:
+        """All of a text, ``FEED`` tokens at a time."""
+        step = 4 * FEED
+        return "".join([self.feed(memoryview(ids)[at:at + step].cast("I"))
+                        for at in range(0, len(ids), step)]) + self.finish()
+
 
 def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch (second column: texts) in parts of bounded rows and characters."""
@@ -414,9 +432,7 @@ def decode(tokens: DataFrame, path: str, joined: bool = True) -> DataFrame:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part, texts = batch.slice(at, ROWS_OUT), []
                 for raw in part.column(1).to_pylist():
-                    machine = Decoder(vocabulary, joined)
-                    texts.append("" if raw is None else machine.feed(array("I", raw))
-                                 + machine.finish())
+                    texts.append("" if raw is None else Decoder(vocabulary, joined).decode(raw))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 

@@ -6,6 +6,7 @@ import codecs
 import math
 import random
 import re
+import time
 import zlib
 from array import array
 from collections import Counter
@@ -348,6 +349,39 @@ def test_bpe_matches_library(vocabulary, reference, docs):
         _same(vocabulary, reference, text)
 
 
+def test_merge_is_lowest_rank_leftmost_first(vocabulary):
+    def plain(ids):
+        while True:
+            pairs = [(vocabulary.rules[p][0], i) for i, p in enumerate(zip(ids, ids[1:]))
+                     if p in vocabulary.rules]
+            if not pairs:
+                return ids
+            i = min(pairs)[1]
+            ids = ids[:i] + [vocabulary.rules[ids[i], ids[i + 1]][1]] + ids[i + 2:]
+
+    r = random.Random(8)
+    for n in (0, 1, 2, 7, 60, 200):
+        for letters in (b"a", b"ab", b"theing", bytes(range(256))):
+            ids = [vocabulary.inner[r.choice(letters)] for _ in range(n)]
+            assert vocabulary.merge(ids) == plain(ids)
+
+
+def test_long_word_in_linear_time(vocabulary, reference):
+    r = random.Random(2)
+    word = "".join(r.choice("etaoinsr") for _ in range(300_000))
+    start = time.process_time()
+    list(vocabulary.stream(word.encode()))
+    assert time.process_time() - start < 20  # a quadratic merge took 100 s
+    _same(vocabulary, reference, word)
+
+
+def test_decoder_in_parts(vocabulary, docs, monkeypatch):
+    ids, decoded = next(vocabulary.encode([docs.text.iloc[0] + " <|endoftext|> é日"]))
+    monkeypatch.setattr(bpe, "FEED", 3)
+    assert bpe.Decoder(vocabulary, joined=True).decode(ids) == decoded
+    assert "<|endoftext|>" in bpe.Decoder(vocabulary, joined=False).decode(ids)
+
+
 def test_streaming_keeps_a_bounded_window(vocabulary):
     most = 0
     merge = vocabulary.merge
