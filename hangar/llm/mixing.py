@@ -11,7 +11,10 @@ shuffles its own rows.
 
 What the pass that is cut short still owes is filled, largest first, with free
 documents that fit, until none does: a histogram of their sizes per source says how
-many of each size, and they are looked up by their places.
+many of each size, and they are looked up by their places.  Where that leaves a source
+further than ``NEAR`` from its target (a document as long as a good part of the target
+didn't fit), the pass is closed in another way (``closing``): filled from all documents
+largest first or, if that is no nearer, with one more document that goes beyond.
 
 What reaches the driver is one row per source and one number per source and shard:
 configuration-sized (see ``MAX_CELLS``), never documents or blocks.
@@ -19,6 +22,7 @@ configuration-sized (see ``MAX_CELLS``), never documents or blocks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from fractions import Fraction
 
@@ -35,6 +39,11 @@ MAX_CELLS = 2_000_000
 #: Mixture weights of the sources in code-point order, repeating, and how
 #: often the words of a source may be repeated.
 WEIGHTS, MAX_REPEATS = (5, 2, 1), 3
+#: Share of its target that a source may miss before other closings are looked at: they
+#: favour long documents or go beyond the target, so a small miss is left as it is.
+NEAR = 0.05
+#: Words of a shard that go to one task together (about 64 MB of text).
+PART_WORDS = 10_000_000
 
 
 def targets(sizes: Sequence[int], weights: Sequence[int], cap: int) -> list[Fraction]:
@@ -108,6 +117,117 @@ def _rows(spark, rows, schema):
     return spark.createDataFrame(rows, T.StructType.fromDDL(schema))
 
 
+def closing(near: float, left: int, beyond: int | None, left_again: int,
+            beyond_again: int | None, rest: int, longer: int | None
+            ) -> tuple[bool, int, int | None]:
+    """How a pass that owes ``rest`` words is closed: whether its documents are chosen anew,
+    the words that are then filled, and the size of one document more.
+
+    As it is, ``left`` words are owed and the least free document has ``beyond`` words;
+    chosen anew, largest first, ``left_again`` and ``beyond_again``; ``longer`` is the least
+    document of more than ``rest`` words, which is taken alone.  If one of the two that stay
+    below misses ``near`` words at most, it is taken; else what comes nearest.  Of equals,
+    the first.
+    """
+    below = [(left, (False, rest, None)), (left_again, (True, rest, None))]
+    if min(left, left_again) <= near:
+        return min(below, key=lambda w: w[0])[1]
+    ways = list(below)
+    if beyond is not None:
+        ways.append((abs(beyond - left), (False, rest, beyond)))
+    if beyond_again is not None:
+        ways.append((abs(beyond_again - left_again), (True, rest, beyond_again)))
+    if longer is not None:
+        ways.append((longer - rest, (True, 0, longer)))
+    return min(ways, key=lambda w: w[0])[1]
+
+
+def _free(sizes: DataFrame, known: DataFrame, cuts: DataFrame) -> DataFrame:
+    """How many free documents a block has of each size that fits the gap (or is that of
+    the document that goes beyond)."""
+    k = known.select(F.col("source").alias("_k"), F.col("block").alias("_b"), "part")
+    fits = F.col("size") <= F.col("gap")
+    if "extra" in cuts.columns:
+        fits = fits | F.coalesce(F.col("size") == F.col("extra"), F.lit(False))
+    return (_untaken(sizes, k, cuts).where((F.col("size") > 0) & fits)
+            .groupBy("source", "block", "size", "gap", "after").agg(F.count("*").alias("rows")))
+
+
+def _untaken(sizes: DataFrame, k: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The rows that no whole block and no cut takes, with ``gap`` and ``after``."""
+    return (sizes.join(k.where("part != 'whole'"), F.col("source").eqNullSafe(F.col("_k"))
+                       & (F.col("block") == F.col("_b")))
+            .join(cuts, F.col("source").eqNullSafe(F.col("_s")))
+            .withColumn("after", F.when(F.col("part") == "cut", F.col("cut_place")))
+            .where(F.col("after").isNull() | (F.col("place") > F.col("after"))))
+
+
+def _wanted(free: DataFrame) -> DataFrame:
+    """source, left, picks: documents of each size that fill the gap, largest first, and
+    the words that none fits."""
+    def most(s, x):
+        n = F.least(x["rows"], F.floor(s["left"] / x["size"]).cast("long"))
+        return F.struct((s["left"] - n * x["size"]).alias("left"), F.when(n > 0, F.concat(
+            s["picks"], F.array(F.struct(x["size"].alias("size"), n.alias("want")))))
+            .otherwise(s["picks"]).alias("picks"))
+
+    return (free.groupBy("source", "gap", "size").agg(F.sum("rows").alias("rows"))
+            .groupBy("source", "gap").agg(F.sort_array(F.collect_list(F.struct(
+                "size", "rows")), asc=False).alias("sizes"))
+            .withColumn("x", F.aggregate(
+                "sizes", F.struct(F.col("gap").alias("left"), F.array().cast(
+                    "array<struct<size:bigint,want:bigint>>").alias("picks")), most))
+            .select("source", "x.left", "x.picks"))
+
+
+def _least_beyond(rows: DataFrame, want: DataFrame) -> DataFrame:
+    """_b, beyond: the least size of which ``rows`` (source, size, rows) has more documents
+    than ``want`` takes."""
+    taken = want.select(F.col("source").alias("_w"), F.explode("picks").alias("x")).select(
+        "_w", F.col("x.size").alias("_size"), F.col("x.want").alias("want"))
+    return (rows.join(taken, F.col("source").eqNullSafe(F.col("_w"))
+                      & (F.col("size") == F.col("_size")), "left")
+            .where(F.col("rows") > F.coalesce("want", F.lit(0).cast("long")))
+            .groupBy(F.col("source").alias("_b")).agg(F.min("size").alias("beyond")))
+
+
+def _far(sizes, known, cuts, free, want, by_source, goal, owed) -> list[tuple]:
+    """(source, chosen anew, gap, size of one more) of the sources that another closing
+    brings nearer to their targets; from aggregates, one row per source."""
+    spark = sizes.sparkSession
+    left = cuts.join(want.select(F.col("source").alias("_w"), "left"),
+                     F.col("_s").eqNullSafe(F.col("_w")), "left").select(
+        "_s", F.coalesce("left", "gap").alias("left")).collect()
+    near = {r.source: NEAR * g for r, g in zip(by_source, goal, strict=True)}
+    left = {r._s: int(r.left) for r in left if r.left > near[r._s]}
+    if not left:
+        return []
+    own = F.broadcast(_rows(spark, [(s,) for s in left], "_o string"))
+    some = lambda df, c="source": df.join(
+        own, F.col(c).eqNullSafe(F.col("_o")), "left_semi")
+    k = known.select(F.col("source").alias("_k"), F.col("block").alias("_b"), "part")
+    untaken = _untaken(some(sizes), k, some(cuts, "_s")).where("size > 0").groupBy(
+        "source", "size").agg(F.count("*").alias("rows"))
+    beyond = {r._b: r.beyond for r in _least_beyond(untaken, want).collect()}
+    rest = some(owed).select(F.col("source").alias("_r"), F.col("rest").alias("gap"))
+    every = staged(some(sizes).where("size > 0").groupBy("source", "size").agg(
+        F.count("*").alias("rows")).join(F.broadcast(rest), F.col("source").eqNullSafe(
+            F.col("_r"))).drop("_r"), "mix_every")
+    fresh = staged(_wanted(every.where("size <= gap")), "mix_fresh")
+    left_again = {r.source: int(r.left) for r in fresh.select("source", "left").collect()}
+    beyond_again = {r._b: r.beyond for r in _least_beyond(every, fresh).collect()}
+    longer = {r.source: r.size for r in every.where("size > gap").groupBy("source").agg(
+        F.min("size").alias("size")).collect()}
+    out = []
+    for r in rest.collect():
+        again, gap, extra = closing(
+            near[r._r], left[r._r], beyond.get(r._r), left_again.get(r._r, r.gap),
+            beyond_again.get(r._r), r.gap, longer.get(r._r))
+        if again or extra is not None:
+            out.append((r._r, again, int(gap), extra))
+    return out
+
+
 def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPEATS,
          shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """What the mix takes of each block.
@@ -167,33 +287,27 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
             F.col("size") * F.col("k")))).alias("gap"),
         F.max(F.when(F.col("k") > 0, F.struct("place", "k", "n"))).alias("own"))
     cuts = staged(cuts, "mix_cuts")
-    # What is left of the target: how many free documents of each size that fits there
-    # are in a block, and how many of a size are taken, the largest first.
-    k = known.select(F.col("source").alias("_k"), F.col("block").alias("_b"), "part")
-    after = F.when(F.col("part") == "cut", F.col("cut_place"))
-    free = (sizes.join(k.where("part != 'whole'"), F.col("source").eqNullSafe(F.col("_k"))
-                       & (F.col("block") == F.col("_b")))
-            .join(cuts, F.col("source").eqNullSafe(F.col("_s")))
-            .withColumn("after", after)
-            .where((F.col("after").isNull() | (F.col("place") > F.col("after")))
-                   & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
-            .groupBy("source", "block", "size", "gap", "after").agg(F.count("*").alias("rows")))
-    free = staged(free, "mix_free")
-
-    def most(s, x):
-        n = F.least(x["rows"], F.floor(s["left"] / x["size"]).cast("long"))
-        return F.struct((s["left"] - n * x["size"]).alias("left"), F.when(n > 0, F.concat(
-            s["picks"], F.array(F.struct(x["size"].alias("size"), n.alias("want")))))
-            .otherwise(s["picks"]).alias("picks"))
-
-    want = (free.groupBy("source", "gap", "size").agg(F.sum("rows").alias("rows"))
-            .groupBy("source", "gap").agg(F.sort_array(F.collect_list(F.struct(
-                "size", "rows")), asc=False).alias("sizes"))
-            .select(F.col("source").alias("_w"), F.explode(F.aggregate(
-                "sizes", F.struct(F.col("gap").alias("left"), F.array().cast(
-                    "array<struct<size:bigint,want:bigint>>").alias("picks")),
-                most, lambda s: s["picks"])).alias("x"))
-            .select("_w", F.col("x.size").alias("_size"), F.col("x.want").alias("want")))
+    free = staged(_free(sizes, known, cuts), "mix_free")
+    want = staged(_wanted(free), "mix_want")
+    far = _far(sizes, known, cuts, free, want, by_source, goal, table_)
+    if far:  # other closings for a few sources
+        far = _rows(spark, far, "_f string, again boolean, new_gap long, extra long")
+        other = lambda c: F.col(c).eqNullSafe(F.col("_f"))
+        again = F.coalesce("again", F.lit(False))
+        known = staged(known.join(F.broadcast(far), other("source"), "left").withColumn(
+            "part", F.when(again, "none").otherwise(F.col("part"))).drop(*far.columns),
+            "mix_known")
+        cuts = staged(cuts.join(F.broadcast(far), other("_s"), "left").select(
+            "_s", "_c", F.when(~again, F.col("cut_place")).alias("cut_place"),
+            F.when(again, F.col("new_gap")).otherwise(F.col("gap")).alias("gap"),
+            F.when(~again, F.col("own")).alias("own"), "extra"), "mix_cuts")
+        free = staged(_free(sizes, known, cuts), "mix_free")
+        want = staged(_wanted(free), "mix_want")
+    want = want.select(F.col("source").alias("_w"), F.explode("picks").alias("x")).select(
+        "_w", F.col("x.size").alias("_size"), F.col("x.want").alias("want"))
+    if far:
+        one = cuts.where("extra IS NOT NULL").select("_s", "extra", F.lit(1).cast("long"))
+        want = want.unionAll(one).groupBy("_w", "_size").agg(F.sum("want").alias("want"))
     turn = Window.partitionBy("source", "size").orderBy(
         F.xxhash64(F.lit(seed + 5), "block"), "block").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -211,8 +325,12 @@ def plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MAX_REPE
         .groupBy("source", "block", "size", "take", "place").agg(F.count("*").alias("n"))
         .withColumn("k", F.least("n", F.col("take") - F.sum("n").over(run) + F.col("n")))
         .where("k > 0").select("source", "block", F.struct("place", "k", "n").alias("pick")))
-    picks = (picks.unionAll(cuts.where("own IS NOT NULL").select("_s", "_c", "own"))
-             .groupBy(F.col("source").alias("_p"), F.col("block").alias("pick_block"))
+    picks = picks.unionAll(cuts.where("own IS NOT NULL").select("_s", "_c", "own"))
+    if far:  # the document more can be an equal row of a place that the cut takes in part
+        picks = picks.groupBy("source", "block", "pick.place").agg(
+            F.sum("pick.k").alias("k"), F.max("pick.n").alias("n")).select(
+            "source", "block", F.struct("place", "k", "n").alias("pick"))
+    picks = (picks.groupBy(F.col("source").alias("_p"), F.col("block").alias("pick_block"))
              .agg(F.collect_list("pick").alias("picks")))
 
     # Units: each pass over a block; their shards come from the splitting tree.
@@ -288,13 +406,24 @@ def place(docs: DataFrame, mix: DataFrame, shards: int = SHARDS) -> DataFrame:
             .drop("_ms", "_mb", "_pick", "_nth", "passes", "part", "units", "cut_place", "picks"))
 
 
-def mixture(placed: DataFrame, seed: int = SEED) -> DataFrame:
-    """One row per copy, in its shard, shuffled there."""
+def total_words(mix: DataFrame) -> float:
+    """Words of the whole mixture, from one row per source of its plan."""
+    return mix.groupBy("source").agg(F.max("target").alias("t")).agg(
+        F.coalesce(F.sum("t"), F.lit(0.0))).head()[0]
+
+
+def mixture(placed: DataFrame, seed: int = SEED, words: float = 0, shards: int = SHARDS) -> DataFrame:
+    """One row per copy, in its shard, shuffled there.  If the mixture's ``words`` make a
+    shard larger than ``PART_WORDS``, ranges of its shuffled order go to tasks of their own."""
+    order = F.xxhash64(F.lit(seed + 4), "shard", "doc_id", "epoch")
     rows = placed.select("*", F.explode("placements").alias("_at")).select(
         *[c for c in placed.columns if c != "placements"],
         F.col("_at.shard").alias("shard"), F.col("_at.epoch").alias("epoch"))
-    return rows.repartition("shard").sortWithinPartitions(
-        "shard", F.xxhash64(F.lit(seed + 4), "shard", "doc_id", "epoch"))
+    parts = max(1, math.ceil(words / (shards * PART_WORDS)))
+    by = [F.col("shard")]
+    if parts > 1:
+        by.append(F.floor((order.cast("double") / 2.0**64 + 0.5) * parts))
+    return rows.repartition(*by).sortWithinPartitions("shard", order)
 
 
 def op1_mixing(spark, sf_dir):

@@ -103,6 +103,65 @@ def test_mixing_fills_the_gap_of_a_long_document(spark):
         assert -1 <= target - taken < least
 
 
+@pytest.mark.parametrize("short, other, low, high", [
+    (100, 184, 50_000, 50_679), (300, 88, 50_000, 50_000)])
+def test_mixing_closes_nearest_at_a_long_document(spark, short, other, low, high):
+    """Short documents of a (2,550 or 7,650 words) can't meet its target (50,679 or 47,464);
+    the long one can, with some of the short ones or, beyond the target, alone."""
+    rows = [(i, "a", "w " * (i % 50 + 1)) for i in range(short)]
+    rows += [(700, "a", "w " * 50_000)]
+    rows += [(1000 + i, "b", "w " * 100) for i in range(other)]
+    _, taken, _ = _mixed(spark, rows)["a"]
+    assert low <= taken <= high
+
+
+def _subset_sums(sizes):
+    sums = {0}
+    for n in sizes:
+        sums |= {s + n for s in sums}
+    return sums
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mixing_against_all_subsets(spark, seed):
+    """Few documents a source: no other way is much nearer to the targets (brute force)."""
+    r = random.Random(seed)
+    rows = [(100 * k + i, source, "w " * r.choice((1, 3, 9, 40, 200, 900)))
+            for k, source in enumerate("abcd") for i in range(r.randint(3, 12))]
+    for source, (target, taken, _) in _mixed(spark, rows).items():
+        sizes = [len(t.split()) for _, s, t in rows if s == source]
+        whole = int(target // sum(sizes)) * sum(sizes)
+        best = min(abs(target - whole - s) for s in _subset_sums(sizes))
+        stop = target - whole  # nothing more than whole passes
+        assert abs(target - taken) <= max(best + 0.15 * target, mixing.NEAR * target), source
+        assert abs(target - taken) <= abs(stop) + 1
+
+
+@pytest.mark.parametrize("args, want", [
+    ((0, 10, None, 10, None, 50, None), (False, 50, None)),
+    ((0, 10, 12, 10, 30, 50, None), (False, 50, 12)),
+    ((0, 10, 25, 2, 90, 50, 55), (True, 50, None)),
+    ((9, 10, 12, 9, 13, 50, None), (True, 50, None)),
+    ((8, 10, 25, 9, 13, 50, None), (True, 50, 13)),
+    ((5, 40, 90, 40, 90, 50, 53), (True, 0, 53)),
+    ((4, 5, 10, 5, 10, 50, 55), (False, 50, None))])
+def test_mixing_closing(args, want):
+    assert mixing.closing(*args) == want
+
+
+def test_mixing_parts_of_a_shard(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2], f"x{i} " * 20) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = staged(mixing.plan(staged(mixing.sized(docs), "t")), "t")
+    words = mixing.total_words(plan)
+    assert abs(words - 8000) < 1
+    placed = mixing.place(mixing.located(docs), plan)
+    key = lambda rows: sorted((r.doc_id, r.shard, r.epoch) for r in rows)
+    one = key(mixing.mixture(placed).collect())
+    monkeypatch.setattr(mixing, "PART_WORDS", 50)
+    assert key(mixing.mixture(placed, words=words).collect()) == one
+
+
 @pytest.mark.parametrize("texts", [1, 250])
 def test_mixing_hot_doc_id(spark, texts):
     rows = [(None, "b", "w " * 300 + f"x{i % texts}") for i in range(1000)]
