@@ -66,7 +66,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = staged(mixing.sized(docs), "mix_sizes")
     plan = staged(mixing.plan(sizes), "mix_plan")
     placed = mixing.place(mixing.located(docs), plan)
-    return mixing.mixture(placed).select(*docs.columns)
+    return mixing.mixture(placed, words=mixing.total_words(plan)).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
