@@ -8,8 +8,8 @@ transducer, so that what is weighed is a matched clause ("you are a ...",
 learned: words and stems that set labelled toxic documents apart, with their
 log odds as weights; a logistic model over the clause scores gives the score.
 
-Learning takes at most ``TRAIN_ROWS`` labelled rows, those with the smallest
-hash of their id, so the lexicon (at most ``LEXICON`` entries, broadcast) and
+Learning takes at most ``TRAIN_ROWS`` labelled ids, those with the smallest hash, and
+one text of each, so the lexicon (at most ``LEXICON`` entries, broadcast) and
 the training features (collected) are bounded whatever the input.  Every text
 is scored whole.
 
@@ -140,14 +140,19 @@ def features(texts: list[str], grammar: Grammar, known: dict[str, float]) -> np.
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """text and toxic of labelled documents outside the held-out part."""
+    """text and toxic of labelled documents outside the held-out part: of at most ``rows``
+    ids, and of the texts of a repeated id the one with the least hash."""
     usable = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
               .where(~held_out(F.col("doc_id"), 4, 2))
               .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic")))
     taken = usable.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     # at most ``rows`` pairs of an id and a label
-    return docs.join(F.broadcast(taken), F.col("doc_id") == F.col("_id")).select(
-        F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+            .join(F.broadcast(taken), F.col("doc_id") == F.col("_id"))
+            .groupBy("_id").agg(
+                F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"),
+                F.max("toxic").cast("int").alias("toxic"))
+            .select("text", "toxic"))
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -235,7 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Grammar, np.ndarray]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
-    rows = train.mapInArrow(run, "x array<double>, y int").collect()  # at most TRAIN_ROWS ids
+    rows = train.mapInArrow(run, "x array<double>, y int").collect()  # at most TRAIN_ROWS
     x = np.array([r.x for r in rows]).reshape(len(rows), len(KINDS) + 1)
     return grammar, fit(x, np.array([r.y for r in rows], dtype=float))
 

@@ -302,6 +302,22 @@ def test_clause_kinds():
     assert kind("clean. words only") == set()
 
 
+def test_toxicity_learns_one_text_of_an_id(spark):
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    ids = [i for i in range(40) if not held(i)]
+    rows = [(ids[0], f"hot {i % 7}") for i in range(500)] + [(ids[0], None)]
+    rows += [(i, f"text {i}") for i in ids[1:]] + [(99 + i, "no label") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], 1), (None, 1), (ids[1], None)],
+                                   "doc_id long, toxic int")
+    got = toxicity.training_rows(docs, labels).collect()
+    assert len(got) == len(ids) and got.count(toxicity.training_rows(docs, labels).where(
+        "text like 'hot%' or text = ''").first()) == 1
+    assert {r.text: r.toxic for r in got if r.text.startswith("text")} == {
+        f"text {i}": i % 2 for i in ids[1:]}
+    assert toxicity.training_rows(docs, labels, 3).count() == 3
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rows = registry.QUERIES["op5_toxicity"](spark, sf).toPandas().merge(
