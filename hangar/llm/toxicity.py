@@ -1,12 +1,13 @@
 """Toxicity (operator 5).
 
-Method: weighted finite-state pattern grammar.  Words are mapped to classes
-(insult, threat, target, negation, reported speech); per clause, transducers
-for negation, report and target run in step with the insult and threat
-transducer, so that what is weighed is a matched clause ("you are a ...",
-"not a ...", "X said that ...") and not a word by itself.  The insult class is
-learned: words and stems that set labelled toxic documents apart, with their
-log odds as weights; a logistic model over the clause scores gives the score.
+Method: weighted finite-state pattern grammar.  The lexicon writes a symbol and a
+weight per word (insult, threat, target, negation, reported speech).  Transducers for
+negation, reported speech and a target named before are composed into one machine that
+reads a text from the left; the one for a target named after reads what that wrote from
+the right.  So what is weighed is a matched clause ("you are a ...", "not a ...",
+"X said that ...") and not a word by itself.  The insult class is learned: words and
+stems that set labelled toxic documents apart, with their log odds as weights; a
+logistic model weighs the kinds of clauses and gives the score.
 
 Learning takes at most ``TRAIN_ROWS`` labelled ids, those with the smallest hash, and
 one text of each, so the lexicon (at most ``LEXICON`` entries, broadcast) and
@@ -35,6 +36,7 @@ from pyspark.sql import types as T
 
 from hangar.llm.bpe import parts_of
 from hangar.llm.common import held_out, ship, staged, table
+from hangar.llm.transducers import Transducer, build, compose, tables
 
 TRAIN_ROWS, LEXICON, STEMS = 20_000, 5_000, (4, 5, 6)
 THRESHOLD = 0.3
@@ -50,10 +52,73 @@ REPORTS = "said says called calls quoted wrote claims claimed alleged dit disait
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.,;:!?\n|]")
-#: How many words a negation reaches, and how far a target may be.
-NEGATION_REACH, TARGET_REACH = 3, 4
+#: How many words a negation reaches, and how far the target of an insult and of a threat may be.
+NEGATION_REACH, TARGET_REACH, THREAT_REACH = 3, 4, 2
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
 
+#: Symbols: a pause and the end of a clause, and for a word the kind of its match ("menace":
+#: a threat whose target is not known yet) and its class (target, negation, report).
+PAUSE, END = ("pause", ""), ("end", "")
+READ = [PAUSE, END, *((kind, cls) for kind in ("", "plain") for cls in ("", "G", "N", "R")),
+        ("menace", "")]
+_CLASS = {w: c for c, words in (("G", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in words}
+
+
+def negation(alphabet) -> Transducer:
+    """Insults up to ``NEGATION_REACH`` words after a negation of their clause are negated."""
+    def step(left, symbol):
+        kind, cls = symbol
+        if symbol in (PAUSE, END):
+            return 0, symbol
+        kind = "negated" if kind == "plain" and left else kind
+        return NEGATION_REACH if cls == "N" else max(0, left - 1), (kind, cls)
+
+    return build(0, alphabet, step)
+
+
+def report(alphabet) -> Transducer:
+    """Insults after a verb of saying are reported, pauses or not, to the end of the clause."""
+    def step(said, symbol):
+        kind, cls = symbol
+        if symbol in (PAUSE, END):
+            return said and symbol == PAUSE, symbol
+        return said or cls == "R", ("reported" if kind == "plain" and said else kind, cls)
+
+    return build(False, alphabet, step)
+
+
+def target(alphabet, threats: bool) -> Transducer:
+    """Insults up to ``TARGET_REACH`` words from a target of their clause are targeted; with
+    ``threats`` a threat up to ``THREAT_REACH`` words from one is complete."""
+    def step(left, symbol):
+        kind, cls = symbol
+        if symbol in (PAUSE, END):
+            return 0, symbol
+        if kind == "plain" and left:
+            kind = "targeted"
+        elif kind == "menace" and threats and left > TARGET_REACH - THREAT_REACH:
+            kind = "threat"
+        return TARGET_REACH if cls == "G" else max(0, left - 1), (kind, cls)
+
+    return build(0, alphabet, step)
+
+
+def clause_machines() -> tuple[Transducer, Transducer]:
+    """The composed machine that reads from the left, and the one that reads from the right
+    what the first wrote."""
+    left = negation(READ)
+    for machine, more in ((report, ()), (target, (False,))):
+        left = compose(left, machine(sorted(left.writes()), *more))
+    return left, target(sorted(left.writes()), True)
+
+
+_LEFT, _RIGHT = clause_machines()
+_BETWEEN, _WRITTEN = sorted(_LEFT.writes()), sorted(_RIGHT.writes())
+_LEFT_ARCS, _RIGHT_ARCS = tables(_LEFT, READ, _BETWEEN), tables(_RIGHT, _BETWEEN, _WRITTEN)
+#: Of each symbol written at last, the place of its kind in ``KINDS``, or -1.
+_KIND = [KINDS.index(kind) if kind in KINDS else -1 for kind, _ in _WRITTEN]
+_CODE = {symbol: i for i, symbol in enumerate(READ)}
+
 
 class Grammar(NamedTuple):
     """Learned insults: weights of words and of stems (prefixes)."""
@@ -69,67 +134,48 @@ class Grammar(NamedTuple):
         return found
 
 
-_OTHER = ({w: "G" for w in TARGETS} | {w: "N" for w in NEGATIONS} | {w: "R" for w in REPORTS}
-          | {w: "T" for w in THREATS})
-
-
-def clauses(text: str, grammar: Grammar, known: dict[str, float]) -> dict[str, float]:
-    """Weights of the matched clauses of a lower-case text, summed by kind.
-
-    One step per token; the state holds how far the last negation reaches, if
-    speech is reported, how long ago a target was named, and matches that still
-    wait for a target.
-    """
-    total = dict.fromkeys(KINDS, 0.0)
-    negated = near = 0
-    reported = False
-    waiting: list[list] = []  # [weight, kind, words left]
+    def read(self, token: str) -> tuple[int, float]:
+        """The lexicon's arc: number of the symbol in ``READ``, and its weight."""
+        if len(token) == 1 and token in ".,;:!?\n|":
+            return _CODE[PAUSE if token in ",:" else END], 0.0
+        weight, cls = self.insult(token), _CLASS.get(token, "")
+        if weight > 0:
+            return _CODE["plain", cls], weight
+        if token in THREATS:
+            return _CODE["menace", ""], SEED_WEIGHT
+        return _CODE["", cls], 0.0
 
-    def settle(done):
-        for weight, kind, _ in done:
-            if kind:
-                total[kind] += weight
 
+def clauses(text: str, grammar: Grammar, known: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """Weights of the matched clauses of a lower-case text, summed by kind."""
+    tape, weights, state = [], [], 0
     for token in TOKEN.findall(text):
-        if len(token) == 1 and token in ".,;:!?\n|":
-            settle(waiting)
-            waiting, negated, near = [], 0, 0
-            reported = reported and token in ",:"
-            continue
-        weight, cls = known.get(token), _OTHER.get(token)
-        if weight is None:
-            weight = known[token] = grammar.insult(token)
-        if waiting:
-            for m in waiting:
-                if cls == "G":
-                    m[1] = {"plain": "targeted", "": "threat"}.get(m[1], m[1])
-                m[2] -= 1
-            settle([m for m in waiting if m[2] <= 0])
-            waiting = [m for m in waiting if m[2] > 0]
-        if weight > 0:
-            kind = ("negated" if negated else "reported" if reported
-                    else "targeted" if near else "plain")
-            waiting.append([weight, kind, TARGET_REACH])
-        elif cls == "T":
-            waiting.append([SEED_WEIGHT, "", 2])
-        negated = NEGATION_REACH if cls == "N" else max(0, negated - 1)
-        near = TARGET_REACH if cls == "G" else max(0, near - 1)
-        reported = reported or cls == "R"
-    settle(waiting)
-    return total
-
-
-def features(texts: list[str], grammar: Grammar, known: dict[str, float]) -> np.ndarray:
+        arc = known.get(token)
+        if arc is None:
+            arc = known[token] = grammar.read(token)
+        state, written = _LEFT_ARCS[state][arc[0]]
+        tape.append(written)
+        weights.append(arc[1])
+    total, state = [0.0] * len(KINDS), 0
+    for i in range(len(tape) - 1, -1, -1):
+        state, written = _RIGHT_ARCS[state][tape[i]]
+        if weights[i] and _KIND[written] >= 0:
+            total[_KIND[written]] += weights[i]
+    return dict(zip(KINDS, total))
+
+
+def features(texts: list[str], grammar: Grammar,
+             known: dict[str, tuple[int, float]]) -> np.ndarray:
     """Per text, the damped clause weights by kind, and whether any insult matched."""
     out = np.zeros((len(texts), len(KINDS) + 1))
     for i, text in enumerate(texts):
         text = text.lower()
         hit = False
         for w in set(WORD.findall(text)):
-            weight = known.get(w)
-            if weight is None:
-                weight = known[w] = grammar.insult(w)
-            hit = hit or weight > 0 or w in THREATS
+            arc = known.get(w)
+            if arc is None:
+                arc = known[w] = grammar.read(w)
+            hit = hit or arc[1] > 0
         if hit:
             found = clauses(text, grammar, known)
             out[i, :-1] = [math.log1p(found[k]) for k in KINDS]
@@ -234,7 +280,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Grammar, np.ndarray]:
     own = docs.sparkSession.sparkContext.broadcast(grammar)
 
     def run(batches):
-        known: dict[str, float] = {}
+        known: dict[str, tuple[int, float]] = {}
         for batch in batches:
             x = features(batch.column(0).to_pylist(), own.value, known)
             yield pa.RecordBatch.from_arrays(
@@ -254,7 +300,7 @@ def score(docs: DataFrame, grammar: Grammar, weights: np.ndarray) -> DataFrame:
     rows = docs.select(F.struct(*columns).alias("row"),
                        F.coalesce("text", F.lit("")).alias("text"))
     schema = rows.schema["row"].dataType
-    known: dict[str, float] = {}
+    known: dict[str, tuple[int, float]] = {}
 
     def run(batches):
         g, w = model.value

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import itertools
 import math
 import random
 import re
@@ -302,6 +303,60 @@ def test_clause_kinds():
     assert kind("clean. words only") == set()
 
 
+def _kinds_by_definition(tape):
+    """Kind of each match of a list of symbols, from where the words of its clause stand."""
+    out = []
+    for i, (kind, _) in enumerate(tape):
+        parts = [j for j, s in enumerate(tape) if s in (toxicity.PAUSE, toxicity.END)]
+        first, last = max([j for j in parts if j < i], default=-1), min(
+            [j for j in parts if j > i], default=len(tape))
+        said = max([j for j in parts if j < i and tape[j] == toxicity.END], default=-1)
+        have = lambda cls, lo, hi: any(tape[j][1] == cls for j in range(max(lo, 0), hi))
+        if kind == "plain":
+            if have("N", max(first + 1, i - 3), i):
+                kind = "negated"
+            elif have("R", said + 1, i):
+                kind = "reported"
+            elif have("G", max(first + 1, i - 4), i) or have("G", i + 1, min(last, i + 5)):
+                kind = "targeted"
+        elif kind == "menace" and have("G", i + 1, min(last, i + 3)):
+            kind = "threat"
+        out.append(kind)
+    return out
+
+
+def test_clause_machines_against_enumerated_tapes():
+    """Every tape of up to four symbols, and random longer ones."""
+    left, right = toxicity.clause_machines()
+    rng = random.Random(5)
+    tapes = [t for k in range(5) for t in itertools.product(toxicity.READ, repeat=k)]
+    tapes += [tuple(rng.choices(toxicity.READ, [1, 1, 6] + [2] * 8, k=rng.randint(5, 25)))
+              for _ in range(3000)]
+    for tape in tapes:
+        got = right.run(left.run(tape)[::-1])[::-1]
+        assert [k for k, _ in got] == _kinds_by_definition(tape), tape
+
+
+def test_composition_is_one_machine_after_the_other():
+    parts = [toxicity.negation(toxicity.READ)]
+    parts.append(toxicity.report(sorted(parts[0].writes())))
+    parts.append(toxicity.target(sorted(parts[1].writes()), False))
+    whole, rng = toxicity.clause_machines()[0], random.Random(6)
+    for _ in range(500):
+        tape = rng.choices(toxicity.READ, k=rng.randint(0, 30))
+        step = tape
+        for part in parts:
+            step = part.run(step)
+        assert whole.run(tape) == step
+
+
+def test_clause_weights():
+    g = toxicity.Grammar({"idiot": 2.0, "kill": 0.0}, {"moro": 1.0})
+    got = toxicity.clauses("you idiot, moron. not an idiot: he said moron! kill him, kill it", g, {})
+    assert got == {"plain": 1.0, "targeted": 2.0, "negated": 2.0, "reported": 1.0,
+                   "threat": toxicity.SEED_WEIGHT}
+
+
 def test_toxicity_learns_one_text_of_an_id(spark):
     held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
     ids = [i for i in range(40) if not held(i)]
