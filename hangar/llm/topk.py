@@ -31,6 +31,9 @@ from hangar.llm.common import ship, table
 TOP, EVERY, SCALE = 5, 50, 256.0
 #: Depth of the first round.
 DEPTH = 8
+#: Rows of a block, and the queries that meet it at a time: blocks spread over tasks, and
+#: their copies in the shuffle grow with rows times queries / 4,096.
+BLOCK, BATCH = 8_192, 8_192
 _LONG = 2**63 - 1
 
 
@@ -88,7 +91,7 @@ class Lists:
 
 
 def op7_search(rows: DataFrame, queries: DataFrame, top: int = TOP,
-               block: int = vectors.BLOCK) -> DataFrame:
+               block: int = BLOCK) -> DataFrame:
     """The ``top`` best rows of each query: query_id, rank, vec_id, score.  Both
     tables as from ``vectors.clean``."""
     ship(rows.sparkSession)
@@ -101,7 +104,7 @@ def op7_search(rows: DataFrame, queries: DataFrame, top: int = TOP,
             yield qid, found, np.array([max(-_LONG - 1, min(_LONG, int(s))) for s in scores],
                                        dtype=np.int64)
 
-    return vectors.search(rows, queries, top, "long", run, block)
+    return vectors.search(rows, queries, top, "long", run, block, BATCH)
 
 
 def op7_exact_topk(spark, sf_dir):
