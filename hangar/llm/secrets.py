@@ -4,8 +4,9 @@ Method: incremental blob ledger.  Every version of a text is content-addressed
 (SHA-256); the ledger lists, per blob, the rule versions it was scanned with
 and the findings.  A run scans only unseen (blob, rule version) pairs, each
 blob once however many paths hold it, and joins the findings back to all
-paths.  Everything is DataFrame functions: match positions follow from the
-lengths of the matches and of the gaps between them.
+paths.  The ledger counts the rows that hold a blob; one that many hold is joined
+back in parts, so that no task meets all its rows.  Everything is DataFrame functions:
+match positions follow from the lengths of the matches and of the gaps between them.
 
 Nulls count as the empty text; an empty text has no findings; repeated rows
 and copies share a blob and each get its findings; an empty table gives an
@@ -19,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangar.llm.common import table
+from hangar.llm.common import staged, table
 
 
 class Rule(NamedTuple):
@@ -35,6 +36,9 @@ class Rule(NamedTuple):
     version: int = 1
 
 
+#: A blob that more than one row in so many holds is joined back in parts.
+SHARE = 1_024
+
 #: The base kinds, in the order in which they are listed.
 BASE = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -105,17 +109,20 @@ def scan(versions: DataFrame, rules: tuple[Rule, ...] = RULES,
          ledger: DataFrame | None = None) -> DataFrame:
     """Ledger entries of the blobs of ``versions`` (column text).
 
-    Returns blob, rules (array of kind@version scanned by now) and findings
-    (array of spans).  ``ledger`` is an earlier result; pairs that it lists are
-    not scanned again, and findings of superseded rule versions go.
+    Returns blob, copies (rows of ``versions`` that hold it), rules (array of
+    kind@version scanned by now) and findings (array of spans); to be written before
+    it is joined back.  ``ledger`` is an earlier result; pairs that it lists are not
+    scanned again, and findings of superseded rule versions go.
     """
     blobs = versions.select(address(F.col("text")).alias("blob"),
-                            F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["blob"])
+                            F.coalesce("text", F.lit("")).alias("text")).groupBy("blob").agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     keys = F.array(*[F.lit(_key(r)) for r in rules])
     if ledger is None:
-        scanned = blobs.select("blob", F.concat(
+        scanned = blobs.select("blob", "copies", F.concat(
             *[spans(F.col("text"), r, i) for i, r in enumerate(rules)]).alias("new"))
-        return scanned.select("blob", keys.alias("rules"), F.array_sort("new").alias("findings"))
+        return scanned.select("blob", "copies", keys.alias("rules"),
+                              F.array_sort("new").alias("findings"))
     old = ledger.select("blob", F.col("rules").alias("_seen"), F.col("findings").alias("_old"))
     known = blobs.join(old, "blob", "left")
     unseen = lambda r: ~F.coalesce(F.array_contains("_seen", _key(r)), F.lit(False))
@@ -124,14 +131,33 @@ def scan(versions: DataFrame, rules: tuple[Rule, ...] = RULES,
     live = F.array(*[F.when(~unseen(r), F.lit(r.kind)) for r in rules])
     kept = F.filter(F.coalesce("_old", F.array().cast(SPAN)),
                     lambda f: F.coalesce(F.array_contains(live, f["kind"]), F.lit(False)))
-    return known.select("blob", keys.alias("rules"),
+    return known.select("blob", "copies", keys.alias("rules"),
                         F.array_sort(F.concat(new, kept)).alias("findings"))
 
 
+def dealt(rows: DataFrame, found: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` and ``found`` (both with _blob) with a column _part to join on as well.
+
+    Blobs that more than one row in ``SHARE`` holds, at most ``SHARE`` of them, are dealt to
+    parts below that share; their entries of ``found`` are there once per part.
+    """
+    total = ledger.agg(F.sum("copies")).first()[0] or 1
+    often = F.col("copies") * SHARE / F.lit(total)
+    hot = F.broadcast(ledger.where((often > 1) & (F.col("copies") > 1)).select(
+        F.col("blob").alias("_blob"), F.least(F.ceil(often), "copies").cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    return (rows.withColumn("_part", F.xxhash64(F.monotonically_increasing_id()))
+            .join(hot, "_blob", "left")
+            .withColumn("_part", F.pmod("_part", parts).cast("int")).drop("_parts"),
+            found.join(hot, "_blob", "left")
+            .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
+
+
 def findings(paths: DataFrame, ledger: DataFrame, path: str = "doc_id") -> DataFrame:
-    """The findings of the blob that each path holds."""
-    return paths.select(F.col(path), address(F.col("text")).alias("blob")).join(
-        ledger.select("blob", "findings"), "blob").select(path, "findings")
+    """The findings of the blob that each path holds; ``ledger`` covers all paths."""
+    rows, found = dealt(paths.select(F.col(path), address(F.col("text")).alias("_blob")),
+                        ledger.select(F.col("blob").alias("_blob"), "findings"), ledger)
+    return rows.join(found, ["_blob", "_part"]).select(path, "findings")
 
 
 def _text(spans_: Column) -> Column:
@@ -142,7 +168,7 @@ def _text(spans_: Column) -> Column:
 def op6_secret_scan(spark, sf_dir):
     """Base counts, hash of the base spans, and all spans of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = findings(docs, scan(docs))
+    found = findings(docs, staged(scan(docs), "secret_ledger"))
     base = F.filter("findings", lambda f: f["rank"] < len(BASE))
     count = lambda k: F.size(F.filter("findings", lambda f: f["kind"] == k)).cast("long")
     return found.select(
@@ -164,7 +190,8 @@ def redact(docs: DataFrame, ledger: DataFrame) -> DataFrame:
 
     found = ledger.where(F.size("findings") > 0).select(
         F.col("blob").alias("_blob"), F.col("findings").alias("_found"))
-    marked = docs.withColumn("_blob", address(F.col("text"))).join(found, "_blob", "left")
+    rows, found = dealt(docs.withColumn("_blob", address(F.col("text"))), found, ledger)
+    marked = rows.join(found, ["_blob", "_part"], "left")
     clean = F.aggregate("_found", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
                         lambda s: F.concat(s["out"], F.substring(
                             F.col("text"), s["at"] + 1, F.length("text"))))

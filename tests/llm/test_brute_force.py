@@ -423,6 +423,27 @@ def test_secret_ledger_scans_unseen_pairs_only(spark):
     assert got == {"c": [0], "d": [0]}
 
 
+def test_hot_blobs_are_joined_back_in_parts(spark):
+    """A text that half of the rows hold, one id for all of them."""
+    hot, key = "password = hunter22", "AKIA" + "Q" * 20
+    texts = [hot] * 3000 + [f"row {i} {key if i % 3 == 0 else ''}" for i in range(2950)] + [None] * 50
+    rows = spark.createDataFrame([(7 if i < 3000 else i, t) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    ledger = staged(secrets.scan(rows), "hot_ledger")
+    assert {r.copies for r in ledger.collect()} == {3000, 50, 1}
+    blobs = rows.select("doc_id", secrets.address(rows.text).alias("_blob"))
+    left, right = secrets.dealt(blobs, ledger.selectExpr("blob AS _blob", "findings"), ledger)
+    sizes = left.groupBy("_blob", "_part").count().toPandas()["count"]
+    assert sizes.max() < 40 and sizes.sum() == 6000
+    assert right.count() - ledger.count() <= secrets.SHARE
+    got = Counter((r.doc_id, len(r.findings)) for r in secrets.findings(rows, ledger).collect())
+    want = Counter((7 if i < 3000 else i, int(t == hot or key in (t or "")))
+                   for i, t in enumerate(texts))
+    assert got == want
+    clean = Counter(r.text for r in secrets.redact(rows, ledger).collect())
+    assert clean["[assign]"] == 3000 and clean[None] == 50 and clean.total() == 6000
+
+
 def test_redact(spark):
     rows = spark.createDataFrame([(1, "é token=abcdefgh12 end"), (2, "clean"), (3, None)],
                                  "doc_id long, text string")
