@@ -57,7 +57,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 @guarded
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret found replaced by the name of its kind."""
-    return secrets.redact(docs, secrets.scan(docs))
+    return secrets.redact(docs, staged(secrets.scan(docs), "secret_ledger"))
 
 
 @guarded
