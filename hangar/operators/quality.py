@@ -102,7 +102,13 @@ def _bucket(bucket: str) -> Column:
     return minute - minute % BUCKETS[bucket]
 
 
-def mark_overlapping(flights: DataFrame, bucket: str = "hour") -> DataFrame:
+#: Flights that one window partition may hold; aircraft with more are split by time.
+BUSY = 500_000
+#: Slots that aircraft are counted in: a task sends no more rows than that.
+SLOTS = 16_384
+
+
+def mark_overlapping(flights: DataFrame, bucket: str = "hour", busy: int = BUSY) -> DataFrame:
     """All flights plus a boolean ``overlaps``: true for every flown flight
     that is still in the air when the next one of the same aircraft departs.
 
@@ -113,15 +119,18 @@ def mark_overlapping(flights: DataFrame, bucket: str = "hour") -> DataFrame:
     flights without registration and flights without actual departure never
     take part and never overlap; a null arrival never overlaps.
 
-    Scale: the "next departure" is a ``lead`` over a window partitioned by
-    (aircraft, bucket of departure), so one busy aircraft is spread over as
-    many tasks as it has flying hours, whatever the data.  The last flight of
-    a bucket needs the first departure of the aircraft's next non-empty
-    bucket: a summary with one row per (aircraft, bucket) -- pre-aggregated
-    map-side, bounded per aircraft by the hours of history (8,766 a year) --
-    finds it, and one "ghost" row per bucket carrying it is unioned into the same window
-    input, ordered after the bucket's flights.  The flights are shuffled
-    once for the window and never joined with it.
+    Scale: flights are read and shuffled once, for a ``lead`` over a window
+    partitioned by aircraft; those that don't take part sort last, spread over
+    ``SLOTS`` partitions of their aircraft.  An aircraft with over ``busy`` flights
+    is partitioned by the bucket of the departure too, so it is spread over as many
+    tasks as it has flying hours, whatever the data.  Aircraft are counted by a hash
+    of the registration (``SLOTS`` counts at most, from each task and in all); all
+    aircraft of a slot with over ``busy`` flights count as busy, which changes no
+    result.  The last flight of a bucket needs the first departure of the aircraft's
+    next non-empty bucket: a summary of the busy aircraft with one row per (aircraft,
+    bucket) -- pre-aggregated map-side, bounded per aircraft by the hours of history
+    (8,766 a year) -- finds it, and one "ghost" row per bucket that departs then is
+    unioned into the same window input, where it sorts after the bucket's flights.
     """
     if bucket not in BUCKETS:
         raise ValueError(f"bucket must be 'day', 'hour' or 'minute', not {bucket!r}")
@@ -129,26 +138,32 @@ def mark_overlapping(flights: DataFrame, bucket: str = "hour") -> DataFrame:
     takes_part = F.coalesce(
         (~F.col(CANCELLED)) & F.col(REG).isNotNull() & F.col(DEP).isNotNull(), F.lit(False)
     )
-    flown = flights.where(takes_part).withColumns(
-        {"_bucket": _bucket(bucket), "_ghost": F.lit(False), "_dep": F.col(DEP)})
-    others = flights.where(~takes_part).withColumn(OVERLAPS, F.lit(False))
-
-    # per (aircraft, bucket): first departure of the next non-empty bucket
+    slot = F.pmod(F.hash(REG), F.lit(SLOTS)).alias("_slot")
+    crowded = F.broadcast(  # at most SLOTS rows
+        flights.where(F.col(REG).isNotNull()).groupBy(slot).agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > busy).select("_slot", F.lit(True).alias("_busy")))
+    parts = F.when(~F.col("_flown"), F.pmod(F.hash(*cols), F.lit(SLOTS)).cast("bigint")).when(
+        F.col("_busy"), _bucket(bucket))
+    placed = (
+        flights.select(*cols, takes_part.alias("_flown"), slot).join(crowded, "_slot", "left")
+        .select(*cols, "_flown", parts.alias("_bucket"), F.lit(False).alias("_ghost"))
+    )
+    # per busy (aircraft, bucket): first departure of the next non-empty bucket
     ghosts = (
-        flown.groupBy(REG, "_bucket").agg(F.min(DEP).alias("_first"))
-        .withColumn("_dep", F.lead("_first").over(Window.partitionBy(REG).orderBy("_bucket")))
-        .where(F.col("_dep").isNotNull())
-        .select(REG, "_bucket", F.lit(True).alias("_ghost"), "_dep")
+        flights.where(takes_part).select(REG, DEP, slot).join(crowded, "_slot")
+        .groupBy(REG, _bucket(bucket).alias("_bucket")).agg(F.min(DEP).alias("_first"))
+        .withColumn(DEP, F.lead("_first").over(Window.partitionBy(REG).orderBy("_bucket")))
+        .where(F.col(DEP).isNotNull())
+        .select(REG, DEP, "_bucket", F.lit(True).alias("_flown"), F.lit(True).alias("_ghost"))
     )
-    within = Window.partitionBy(REG, "_bucket").orderBy(F.col("_ghost"), *flight_order())
-    marked = (
-        flown.unionByName(ghosts, allowMissingColumns=True)
-        .withColumn("_next", F.lead("_dep").over(within))
+    within = Window.partitionBy(REG, "_bucket").orderBy(F.col("_flown").desc(), *flight_order())
+    return (
+        placed.unionByName(ghosts, allowMissingColumns=True)
+        .withColumn("_next", F.lead(F.when(F.col("_flown"), F.col(DEP))).over(within))
         .where(~F.col("_ghost"))
-        .withColumn(OVERLAPS, F.coalesce(F.col(ARR) > F.col("_next"), F.lit(False)))
+        .withColumn(OVERLAPS, F.coalesce(F.col("_flown") & (F.col(ARR) > F.col("_next")), F.lit(False)))
         .select(*cols, OVERLAPS)
     )
-    return marked.unionByName(others)
 
 
 def split_overlapping(flights: DataFrame, bucket: str = "hour") -> tuple[DataFrame, DataFrame]:

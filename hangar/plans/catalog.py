@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hangar import schemas
 from hangar.operators import checks, dimensions, facts
 from hangar.plans import source_kpis, warehouse_kpis
-from hangar.plans.etl import Warehouse, build, checkpointed, open_sets, open_warehouse, publish, read_rejects
+from hangar.plans.etl import Warehouse, build, checkpointed, from_tables, open_sets, open_warehouse, publish, read_rejects
 from hangar.session import staging_path
 from hangar.sources import driver_views, text_inputs
 from hangar.sources.readers import coerce_personnel, read_lookup, registrations_per_manufacturer
@@ -59,7 +59,7 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir))
     if key not in _BUILT:
-        _BUILT[key] = build(_src(spark, sf_dir), checkpointed)
+        _BUILT[key] = build(_src(spark, sf_dir), from_tables)
     return _BUILT[key]
 
 

@@ -54,13 +54,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _minutes(e: Column) -> Column:
-    return F.make_dt_interval(mins=e.cast("int"))
+    return e.cast("int") * F.expr("INTERVAL '1' MINUTE")
 
 
 def _padded(prefix: str, value: Column, width: int) -> Column:
     """Prefix and number, zero-padded to at least ``width`` digits (null stays null)."""
-    digits = F.format_string(f"{prefix}%0{width}d", value.cast("bigint"))
-    return F.when(value.isNotNull(), digits)
+    number = value.cast("bigint")
+    digits = number.cast("string")
+    zeros = F.repeat(F.lit("0"), F.lit(width) - F.length(digits))
+    return F.when(number < 0, F.format_string(f"{prefix}%0{width}d", number)).otherwise(
+        F.concat(F.lit(prefix), zeros, digits))
 
 
 def aircraft_lookup(supplier: DataFrame) -> DataFrame:
