@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, partial
+from threading import RLock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ Materialize = Callable[[str, DataFrame], DataFrame]
 # stages read by more than one later stage: these are materialized
 SHARED_STAGES = ("aircraft_keys", "airport_keys", "aircrafts", "airports", "flights_swapped",
                  "flights_marked", "reports_marked", "flight_years", "daily_sums", "dates",
-                 "daily_aircraft_stats", "total_maintenance_reports")
+                 "daily_aircraft_stats", "aircraft_sets", "total_maintenance_reports")
 
 
 def lazy(_name: str, df: DataFrame) -> DataFrame:
@@ -57,6 +58,18 @@ def from_tables(name: str, df: DataFrame) -> DataFrame:
     return df if name == "flights_swapped" else checkpointed(name, df)
 
 
+class stage(cached_property):
+    """An attribute that is built once, also when several threads ask for it at the
+    same time: the others wait.  A stage only asks for stages before it, so threads
+    never wait for each other in a circle."""
+
+    def __get__(self, instance, owner=None):
+        if instance is None:
+            return self
+        with instance.locks.setdefault(self.attrname, RLock()):
+            return super().__get__(instance, owner)
+
+
 class Warehouse:
     """The warehouse as a set of lazily built stages.
 
@@ -74,6 +87,7 @@ class Warehouse:
         self._observe = observe
         #: Counts taken of the sources while a stage that reads them is written.
         self.seen: dict[str, Observation] = {}
+        self.locks: dict[str, RLock] = {}
 
     def _counted(self, name: str, df: DataFrame, *counts) -> DataFrame:
         if not self._observe:
@@ -85,28 +99,28 @@ class Warehouse:
         return self._materialize(name, df) if name in SHARED_STAGES else df
 
     # -- key maps and dimensions from the lookups
-    @cached_property
+    @stage
     def aircraft_keys(self) -> DataFrame:
         return self._stage("aircraft_keys", dimensions.aircraft_keys(
             self.src.aircraft_lookup, self._known.get("aircraft_keys")))
 
-    @cached_property
+    @stage
     def airport_keys(self) -> DataFrame:
         return self._stage("airport_keys", dimensions.airport_keys(
             self.src.personnel_lookup, self._known.get("airport_keys")))
 
-    @cached_property
+    @stage
     def aircrafts(self) -> DataFrame:
         return self._stage("aircrafts", dimensions.aircraft_dimension(
             self.src.aircraft_lookup, self.aircraft_keys))
 
-    @cached_property
+    @stage
     def airports(self) -> DataFrame:
         return self._stage("airports", dimensions.airport_dimension(
             self.src.personnel_lookup, self.airport_keys))
 
     # -- flights: swap, then overlap removal
-    @cached_property
+    @stage
     def flights_swapped(self) -> DataFrame:
         """Staged by the one pass over the source; nulls in ``cancelled`` and
         reversed times are counted on the way."""
@@ -114,23 +128,23 @@ class Warehouse:
                                 quality.reversed_count().alias("reversed"))
         return self._stage("flights_swapped", quality.swap_reversed_times(counted))
 
-    @cached_property
+    @stage
     def flights_marked(self) -> DataFrame:
         """Every flight once, flagged ``overlaps`` (staged: both the clean
         flights and the rejects are filters of it)."""
         return self._stage("flights_marked",
                            quality.mark_overlapping(self.flights_swapped, self._bucket))
 
-    @cached_property
+    @stage
     def flights_clean(self) -> DataFrame:
         return self.flights_marked.where(~F.col(quality.OVERLAPS)).drop(quality.OVERLAPS)
 
-    @cached_property
+    @stage
     def overlap_rejects(self) -> DataFrame:
         return self.flights_marked.where(F.col(quality.OVERLAPS)).drop(quality.OVERLAPS)
 
     # -- reports on known aircraft
-    @cached_property
+    @stage
     def reports_marked(self) -> DataFrame:
         """Every report once, flagged ``known`` (staged: valid reports and rejects
         are filters of it)."""
@@ -138,71 +152,72 @@ class Warehouse:
                                 *quality.required_counts(["aircraftregistration"]))
         return self._stage("reports_marked", quality.mark_known_aircraft(counted, self.aircrafts))
 
-    @cached_property
+    @stage
     def reports_known(self) -> DataFrame:
         return self.reports_marked.where(F.col(quality.KNOWN)).drop(quality.KNOWN)
 
-    @cached_property
+    @stage
     def reports_rejects(self) -> DataFrame:
         return self.reports_marked.where(~F.col(quality.KNOWN)).drop(quality.KNOWN)
 
     # -- flight years
-    @cached_property
+    @stage
     def flights_dated(self) -> DataFrame:
         return quality.with_flight_day(self.flights_clean)
 
-    @cached_property
+    @stage
     def flight_years(self) -> DataFrame:
         """At most 9,999 rows; staged because maintenance, reports and the
         per-airport fact all filter on it."""
         return self._stage("flight_years", quality.flight_years(self.flights_dated))
 
-    @cached_property
+    @stage
     def maintenance_valid(self) -> DataFrame:
         counted = self._counted("maintenance", self.src.maintenance,
                                 *quality.required_counts(["programmed"]))
         m = counted.withColumn("_day", F.to_date("scheduleddeparture"))
         return quality.restrict_to_years(m, "_day", self.flight_years).drop("_day")
 
-    @cached_property
+    @stage
     def reports_valid(self) -> DataFrame:
         return quality.restrict_to_years(self.reports_known, "reportingdate", self.flight_years)
 
     # -- per-row measures
-    @cached_property
+    @stage
     def flight_measures(self) -> DataFrame:
         return facts.flight_measures(self.flights_dated)
 
-    @cached_property
+    @stage
     def maintenance_measures(self) -> DataFrame:
         return facts.maintenance_measures(self.maintenance_valid)
 
-    @cached_property
+    @stage
     def report_measures(self) -> DataFrame:
         return facts.report_measures(self.reports_valid)
 
     # -- daily sums, date dimension and facts
-    @cached_property
+    @stage
     def daily_sums(self) -> DataFrame:
         """One row per (day, registration) of any input (staged: the date
         dimension, the daily fact and the aircraft totals all read it)."""
         return self._stage("daily_sums", facts.daily_sums(
             self.flight_measures, self.maintenance_measures, self.report_measures))
 
-    @cached_property
+    @stage
     def dates(self) -> DataFrame:
         return self._stage("dates", dimensions.date_dimension(self.daily_sums))
 
-    @cached_property
+    @stage
     def daily_aircraft_stats(self) -> DataFrame:
         return self._stage("daily_aircraft_stats", facts.attach_daily_keys(
             facts.fact_measures(self.daily_sums), self.aircrafts, self.dates))
 
-    @cached_property
+    @stage
     def aircraft_sets(self) -> DataFrame:
-        return warehouse_kpis.aircraft_sets(self.daily_aircraft_stats, self.aircrafts, self.dates)
+        return self._stage("aircraft_sets", warehouse_kpis.aircraft_sets(
+            self.daily_aircraft_stats, self.aircrafts, self.dates))
 
-    @cached_property
+    @stage
     def total_maintenance_reports(self) -> DataFrame:
         rows = facts.total_maintenance_rows(
             facts.airport_report_totals(facts.marep_counts(self.reports_valid),
