@@ -207,15 +207,20 @@ class Warehouse:
     def dates(self) -> DataFrame:
         return self._stage("dates", dimensions.date_dimension(self.daily_sums))
 
+    @stage
+    def stats_by_year(self) -> DataFrame:
+        """The daily fact with its year, staged in the order that it is published in."""
+        fact = facts.attach_daily_keys(facts.fact_measures(self.daily_sums), self.aircrafts, self.dates)
+        return self._stage("daily_aircraft_stats", by_year(with_year(fact, self.dates)))
+
     @stage
     def daily_aircraft_stats(self) -> DataFrame:
-        return self._stage("daily_aircraft_stats", facts.attach_daily_keys(
-            facts.fact_measures(self.daily_sums), self.aircrafts, self.dates))
+        return self.stats_by_year.drop("year")
 
     @stage
     def aircraft_sets(self) -> DataFrame:
         return self._stage("aircraft_sets", warehouse_kpis.aircraft_sets(
-            self.daily_aircraft_stats, self.aircrafts, self.dates))
+            self.stats_by_year, self.aircrafts, self.dates))
 
     @stage
     def total_maintenance_reports(self) -> DataFrame:
@@ -261,6 +266,18 @@ def with_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
         *fact.columns, "year")
 
 
+#: Parts of a year: aircraft by the remainder of their ids.
+PARTS = 64
+
+
+def by_year(fact: DataFrame) -> DataFrame:
+    """The fact with year as it is stored: rows of a part of the aircraft and a year are
+    brought together (small parts in one task, a large one in several), or each task
+    would write a file for each year and hold a few rows of each aircraft."""
+    part = F.pmod("aircraftid", F.lit(PARTS))
+    return fact.withColumn("_part", part).hint("rebalance", "year", "_part").drop("_part")
+
+
 def publish(spark: SparkSession, wh: Warehouse, out_dir: str, run: str,
             rejects_format: str = "csv") -> tuple[store.Snapshot, dict[str, str]]:
     """Writes tables, key maps and rejects as a version of ``out_dir`` and shows it."""
@@ -275,8 +292,8 @@ def publish(spark: SparkSession, wh: Warehouse, out_dir: str, run: str,
 
     def table(name: str) -> tuple[str, str]:
         spark.sparkContext.setJobDescription(f"hangar refresh: publish {name}")
-        df, by = getattr(wh, name), store.PARTITIONS.get(name, ())
-        return name, new.table(name, with_year(df, wh.dates) if by else df, by)
+        by = store.PARTITIONS.get(name, ())
+        return name, new.table(name, wh.stats_by_year if by else getattr(wh, name), by)
 
     rejects = {"overlapping_flights": wh.overlap_rejects, "invalid_reports": wh.reports_rejects}
     if wh.src.lookup_rejects is not None:

@@ -23,7 +23,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hangar import schemas
@@ -106,14 +105,9 @@ def current(spark: SparkSession, root: str) -> Snapshot | None:
 
 
 def write_table(df: DataFrame, path: str, by: Iterable[str] = ()) -> None:
-    """One table as Parquet.  Partitioned by ``by``, rows of a partition are brought
-    together first (a large one in several tasks), or each task would write a file
-    for each of them."""
-    by = list(by)
-    if by:
-        df.hint("rebalance", *[F.col(c) for c in by]).write.partitionBy(*by).parquet(path)
-    else:
-        df.write.parquet(path)
+    """One table as Parquet, partitioned by ``by``.  Rows of a partition should lie
+    together (``etl.by_year``): each task writes a file for each one it has rows of."""
+    df.write.partitionBy(*by).parquet(path)
 
 
 class Publication:
