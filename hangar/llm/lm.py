@@ -3,19 +3,22 @@
 Method: log-frequency Bloom filter.  Counts of words and word pairs are
 quantised on a log scale; a Bloom filter holds each n-gram once per level up to
 its own, so its quantised count is the number of levels that probe as members.
-The filter is cut into segments by n-gram hash.  Segments are built where their
-n-grams meet after a shuffle and are broadcast in waves of at most
-``WAVE_BYTES``: what a worker holds is bounded, while the filter itself grows
-with the corpus; each wave adds the levels of its own n-grams to the texts'
-probes.  Probabilities come from the probed counts: a bigram estimate,
+The filter is cut into segments by n-gram hash, and neighbouring segments go
+into waves of at most ``WAVE_BYTES``: what a worker holds is bounded, while the
+filter itself grows with the corpus.  Segments are built where their n-grams
+meet after a shuffle.  They stay there: the texts are dealt into chunks, each
+chunk sends every n-gram it holds to that n-gram's wave once, and the wave sends
+the levels back, so all waves are probed in one pass over the texts at any
+size.  Probabilities come from the probed counts: a bigram estimate,
 interpolated with a smoothed unigram estimate.
 
 All words and all pairs of the training texts are stored, those seen once
 included: segments, and with them waves, grow with the distinct n-grams.
 
 The base score needs exact counts.  The ``HEAD`` most frequent words are
-broadcast; the others, none of which is more frequent, are joined by hash.
-Words and pairs are told apart by 64-bit hashes.
+broadcast with their counts and levels; the others, none of which is more
+frequent, meet their counts in their waves.  Words and pairs are told apart by
+64-bit hashes.
 
 Defined cases: a null text is empty and has one token, its end; a null doc_id
 counts as the empty id; repeated rows count and score each; without training
@@ -29,15 +32,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hangar.llm.common import held_out, ship, staged, table
 
-#: Most frequent words whose exact counts are broadcast, bytes of filter per
+#: Most frequent words whose exact counts are broadcast, most bytes of filter per
 #: wave, tokens that a task counts before it hands on, n-grams per segment.
 HEAD, WAVE_BYTES, FLUSH, SEGMENT = 200_000, 96 << 20, 1_500_000, 1_000_000
+#: Bytes of text that are taken for one token when texts are dealt into chunks
+#: of about ``FLUSH`` tokens, n-grams that are probed together.
+LETTERS, PROBED = 6, 1 << 16
 #: Quantisation: level 1 + floor(log(count) / log(BASE)), at most TOP levels.
 BASE, TOP = 2.0, 40
 #: Filter bits per stored level (a power of two fits all), probes per level.
@@ -57,9 +64,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def tokens(text: str) -> np.ndarray:
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``staged``; the shuffles that led to it go as soon as it is written (they
+    would stay on the disks until the driver happens to collect its garbage)."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return staged(df, name)
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
+def tokens(text: str | bytes) -> np.ndarray:
     """Hashes of the words of a text (A-Z in lower case), and of its end."""
-    words = text.encode().lower().split()  # bytes: ASCII case and white space only
+    text = text if isinstance(text, bytes) else text.encode()
+    words = text.lower().split()  # bytes: ASCII case and white space only
     out = np.empty(len(words) + 1, dtype=np.uint64)
     out[:-1] = list(map(xxhash.xxh3_64_intdigest, words))
     out[-1] = END
@@ -68,11 +91,17 @@ def tokens(text: str) -> np.ndarray:
 
 def pairs(t: np.ndarray) -> np.ndarray:
     """A hash for each token with the one before it (the end of a text stands
-    before its first)."""
+    before its first, so texts may follow one another)."""
     before = np.concatenate([[END], t[:-1]])
     return mix(before * _C ^ mix(t + _D))
 
 
+def distinct(grams: np.ndarray) -> np.ndarray:
+    """Each once, in order (by a sort: ``np.unique`` takes a slower way for this)."""
+    grams = np.sort(grams)
+    return grams[np.concatenate([[True], grams[1:] != grams[:-1]])[:len(grams)]]
+
+
 def level(count: np.ndarray) -> np.ndarray:
     """Quantised count: 1 + floor(log_BASE(count)), 0 for 0."""
     c = np.asarray(count, dtype=np.float64)
@@ -86,6 +115,10 @@ def spread(levels: np.ndarray) -> np.ndarray:
     return np.where(lv > 0, (BASE ** (lv - 1) + np.maximum(BASE ** lv - 1, 1)) / 2, 0.0)
 
 
+#: The counts that the levels stand for.
+SPREAD = spread(np.arange(TOP + 1))
+
+
 def spots(gram: np.ndarray, lv: int, bits: int) -> np.ndarray:
     """Bit positions, shape (PROBES, n), of n-grams at a level."""
     h = mix(gram + np.uint64(lv) * _D)
@@ -125,23 +158,29 @@ def segment_of(gram: np.ndarray, segments: int) -> np.ndarray:
     return ((mix(gram ^ _C) >> np.uint64(33)) % np.uint64(segments)).astype(np.int64)
 
 
+def by_segment(grams: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of n-grams by segment, and where in it each segment begins."""
+    seg = segment_of(grams, segments)
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(seg, minlength=segments))])
+    small = segments <= 1 << 16  # short keys are sorted in linear time
+    return np.argsort(seg.astype(np.uint16) if small else seg, kind="stable"), cuts
+
+
 def count_grams(train: DataFrame, segments: int) -> DataFrame:
     """segment, words, pairs: for each segment the n-grams of a task with their
     counts, packed (hashes, then counts as 32-bit integers)."""
     def packed(values):
-        grams, counts = np.unique(np.concatenate(values), return_counts=True)
-        seg = segment_of(grams, segments)
-        order = np.argsort(seg, kind="stable")
-        grams, counts, cuts = grams[order], counts[order], np.searchsorted(
-            seg[order], np.arange(segments + 1))
-        return [(grams[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes())
-                for a, b in zip(cuts, cuts[1:])]
+        grams, counts = np.unique(values, return_counts=True)
+        order, cuts = by_segment(grams, segments)
+        grams, counts = grams[order], counts[order].astype(np.uint32)
+        return [(grams[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
 
     def flush(held):
-        w, p = packed([t for t in held]), packed([pairs(t) for t in held])
-        cols = [[x[0] for x in w], [x[1] for x in w], [x[0] for x in p], [x[1] for x in p]]
+        toks = np.concatenate(held)
+        rows = [(s, *w, *p) for s, (w, p) in enumerate(zip(packed(toks), packed(pairs(toks))))
+                if w[0] or p[0]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(range(segments), pa.int32()), *(pa.array(c, pa.binary()) for c in cols)],
+            [pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(zip(*rows))],
             names=["segment", "w", "wn", "p", "pn"])
 
     def run(batches):
@@ -168,7 +207,8 @@ def _sum(keys, counts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merge(parts: DataFrame) -> DataFrame:
-    """Per segment: its filter, its exact words, and their totals."""
+    """Per segment: its filter, its exact words with the levels that the filter
+    gives them, and their totals."""
     def run(key, rows):
         cols = {n: rows.column(n).to_pylist() for n in ("w", "wn", "p", "pn")}
         words, n = _sum(cols["w"], cols["wn"])
@@ -180,14 +220,15 @@ def merge(parts: DataFrame) -> DataFrame:
             "bits": pa.array([bits.tobytes()], pa.binary()),
             "words": pa.array([words.view(np.int64)], pa.list_(pa.int64())),
             "counts": pa.array([n], pa.list_(pa.int64())),
+            "probed": pa.array([probe(bits, words)], pa.list_(pa.int8())),
             "tokens": pa.array([int(n.sum())], pa.int64()),
             "distinct": pa.array([len(words)], pa.int64()),
             "mass": pa.array([float(spread(lw).sum())], pa.float64()),
             "size": pa.array([len(bits)], pa.int64())})
 
     return parts.groupBy("segment").applyInArrow(
-        run, "segment int, bits binary, words array<long>, counts array<long>, tokens long, "
-             "distinct long, mass double, size long")
+        run, "segment int, bits binary, words array<long>, counts array<long>, "
+             "probed array<tinyint>, tokens long, distinct long, mass double, size long")
 
 
 def train_model(train: DataFrame) -> tuple[DataFrame, dict]:
@@ -195,7 +236,7 @@ def train_model(train: DataFrame) -> tuple[DataFrame, dict]:
     ship(train.sparkSession)
     chars = train.agg(F.sum(F.length("text"))).first()[0] or 0
     segments = max(8, -(-int(chars) // 12 // SEGMENT))
-    model = staged(merge(count_grams(train, segments)), "lm_model")
+    model = settled(merge(count_grams(train, segments)), "lm_model")
     t = model.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct"),
                   F.sum("mass").alias("mass")).first()
     return model, {"tokens": int(t.tokens or 0), "distinct": int(t.distinct or 0),
@@ -214,53 +255,159 @@ def waves(model: DataFrame, most: int = WAVE_BYTES) -> list[list[int]]:
     return out
 
 
-def hold(model: DataFrame, wave: list[int]):
-    """The filters of a wave's segments, broadcast: at most the bytes of a wave."""
-    held = {r.segment: bytes(r.bits) for r in
-            model.where(F.col("segment").isin(wave)).select("segment", "bits").toLocalIterator()}
-    return model.sparkSession.sparkContext.broadcast(held)
+def most_frequent(model: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``head`` most frequent words in order, with their counts and levels."""
+    exact = model.select(F.explode(F.arrays_zip("words", "counts", "probed")).alias("x")).select("x.*")
+    top = exact.orderBy(F.desc("counts"), "words").limit(head).toArrow()  # at most ``head`` rows
+    words, counts, probed = (top.column(c).to_numpy() for c in ("words", "counts", "probed"))
+    order = np.argsort(words.view(np.uint64))
+    return words.view(np.uint64)[order], counts[order], probed[order].astype(np.uint8)
 
 
-def levels_of(toks: list[np.ndarray], held: dict[int, bytes], segments: int,
-              before: list[bytes | None]) -> list[np.ndarray]:
-    """Per text a level for each word, then each pair: what the held segments know,
-    added to what earlier waves found."""
-    grams = np.concatenate([np.concatenate([t, pairs(t)]) for t in toks])
-    distinct, back = np.unique(grams, return_inverse=True)
-    seg, lv = segment_of(distinct, segments), np.zeros(len(distinct), np.uint8)
-    order = np.argsort(seg, kind="stable")
-    cuts = np.searchsorted(seg[order], np.arange(segments + 1))
-    for s, bits in held.items():
-        at = order[cuts[s]:cuts[s + 1]]
-        lv[at] = probe(np.frombuffer(bits, np.uint8), distinct[at])
-    parts = np.split(lv[back], np.cumsum([2 * len(t) for t in toks])[:-1])
-    return [p if b is None else p + np.frombuffer(b, np.uint8) for p, b in zip(parts, before)]
+def find(words: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``words`` are among the sorted ``known``, and where those stand there."""
+    at = np.searchsorted(known, words)
+    hit = at < len(known)
+    hit[hit] = known[at[hit]] == words[hit]
+    return hit, at[hit]
+
 
+def chunked(docs: DataFrame) -> DataFrame:
+    """chunk, ids, outs, sizes, texts: rows (doc_id, held_out, text) in chunks of
+    about ``FLUSH`` tokens, the texts one after another and compressed."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def packed(chunk, held):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        texts = [t.encode() for t in rows.column("text").to_pylist()]
+        ids, outs = (pa.array(rows.column(c).to_pylist(), rows.column(c).type)
+                     for c in ("doc_id", "held_out"))
+        sizes = pa.array([len(t) for t in texts], pa.int64())
+        ends = pa.array([0, len(texts)], pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk], pa.int64()), *(pa.ListArray.from_arrays(ends, c) for c in (ids, outs, sizes)),
+             pa.array([pa.Codec("zstd", 3).compress(b"".join(texts), asbytes=True)], pa.binary())],
+            names=["chunk", "ids", "outs", "sizes", "texts"])
 
-def add_levels(rows: DataFrame, shared, segments: int) -> DataFrame:
-    """``rows`` (doc_id, held_out, text, levels) with what a wave adds to ``levels``."""
     def run(batches):
+        from pyspark import TaskContext
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                toks = [tokens(t) for t in part.column("text").to_pylist()]
-                new = levels_of(toks, shared.value, segments, part.column("levels").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([x.tobytes() for x in new], pa.binary())],
-                    names=part.schema.names)
+            begun = 0
+            for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+                size += n // LETTERS + 1
+                if size >= FLUSH:
+                    yield packed(chunk, [*held, batch.slice(begun, i + 1 - begun)])
+                    chunk, held, size, begun = chunk + 1, [], 0, i + 1
+            if begun < batch.num_rows:
+                held.append(batch.slice(begun))
+        if held:
+            yield packed(chunk, held)
 
-    return rows.mapInArrow(run, rows.schema)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(
+        run, f"chunk long, ids array<{kind}>, outs array<boolean>, sizes array<long>, texts binary")
 
 
-def log_prob(levels: np.ndarray, total: dict) -> float:
-    """log10 probability of a text from its levels (words, then pairs)."""
-    w, p = levels[:len(levels) // 2], levels[len(levels) // 2:]
-    cw, cp = spread(w), spread(p)
+def unpacked(sizes: list[int], texts: bytes) -> list[np.ndarray]:
+    """The tokens of each text of a chunk."""
+    ends = np.cumsum(sizes).tolist()
+    blob = pa.Codec("zstd").decompress(texts, ends[-1], asbytes=True)
+    return [tokens(blob[end - n:end]) for n, end in zip(sizes, ends)]
+
+
+def of_waves(grams: np.ndarray, starts: list[int], segments: int) -> list[np.ndarray]:
+    """Where the n-grams of each wave stand (a wave ends where the next one begins)."""
+    order, cuts = by_segment(grams, segments)
+    return [order[cuts[a]:cuts[b]] for a, b in zip(starts, [*starts[1:], segments])]
+
+
+def ask(texts: DataFrame, known, starts: list[int], segments: int) -> DataFrame:
+    """chunk, wave, w, p: the words, but for the ``known`` ones, and the pairs of a
+    chunk that belong to a wave, each once."""
+    def run(batches):
+        for batch in batches:
+            for chunk, sizes, blob in zip(*(batch.column(c) for c in ("chunk", "sizes", "texts"))):
+                toks = np.concatenate(unpacked(sizes.as_py(), blob.as_py()))
+                words, grams = distinct(toks), distinct(pairs(toks))
+                words = words[~find(words, known.value[0])[0]]
+                cuts = zip(of_waves(words, starts, segments), of_waves(grams, starts, segments))
+                rows = [(k, words[w].tobytes(), grams[p].tobytes())
+                        for k, (w, p) in enumerate(cuts) if len(w) or len(p)]
+                if rows:
+                    numbers, w, p = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([chunk.as_py()] * len(rows), pa.int64()), pa.array(numbers, pa.int32()),
+                         pa.array(w, pa.binary()), pa.array(p, pa.binary())],
+                        names=["chunk", "wave", "w", "p"])
+
+    return texts.select("chunk", "sizes", "texts").mapInArrow(
+        run, "chunk long, wave int, w binary, p binary")
+
+
+def levels_of(grams: np.ndarray, held: dict[int, np.ndarray], segments: int) -> np.ndarray:
+    """A level for each n-gram: what the held segments know."""
+    out = np.zeros(len(grams), np.uint8)
+    order, cuts = by_segment(grams, segments)
+    for s, bits in held.items():
+        for a in range(cuts[s], cuts[s + 1], PROBED):
+            at = order[a:min(a + PROBED, cuts[s + 1])]
+            out[at] = probe(bits, grams[at])
+    return out
+
+
+def answer(asked: DataFrame, model: DataFrame, starts: list[int], segments: int) -> DataFrame:
+    """chunk, wave, levels, counts: the levels of the words, then of the pairs, that
+    a chunk asked a wave for, and the exact counts of the words."""
+    spark = model.sparkSession
+    ends = [*starts[1:], segments]
+    place = spark.createDataFrame([(s, k) for k, (a, b) in enumerate(zip(starts, ends)) for s in range(a, b)],
+                                  "segment int, wave int")
+    filters = model.join(F.broadcast(place), "segment").select("wave", "segment", "bits", "words", "counts")
+
+    def run(key, left, right):
+        held = {s: np.frombuffer(bits.as_py(), np.uint8) for s, bits in
+                zip(left.column("segment").to_pylist(), left.column("bits"))}
+        words, counts = (c.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+                         for c in (left.column("words"), left.column("counts")))
+        order = np.argsort(words.view(np.uint64))
+        words, counts = words.view(np.uint64)[order], counts[order]
+        out = {"levels": [], "counts": []}
+
+        def say(rows):
+            grams = levels_of(np.concatenate([x for row in rows for x in row]), held, segments)
+            asked = np.concatenate([w for w, _ in rows])
+            hit, at = find(asked, words)
+            n = np.zeros(len(asked), np.int64)
+            n[hit] = counts[at]
+            for name, x, sizes in (("levels", grams, [len(w) + len(p) for w, p in rows]),
+                                   ("counts", n, [len(w) for w, _ in rows])):
+                out[name] += [part.tobytes() for part in np.split(x, np.cumsum(sizes)[:-1])]
+
+        rows, size = [], 0
+        for w, p in zip(right.column("w"), right.column("p")):
+            rows.append(tuple(np.frombuffer(x.as_buffer(), np.uint64) for x in (w, p)))
+            size += sum(map(len, rows[-1]))
+            if size >= SEGMENT:
+                say(rows)
+                rows, size = [], 0
+        if rows:
+            say(rows)
+        return pa.table({"chunk": right.column("chunk"), "wave": right.column("wave"),
+                         **{n: pa.array(x, pa.binary()) for n, x in out.items()}})
+
+    return filters.groupBy("wave").cogroup(asked.groupBy("wave")).applyInArrow(
+        run, "chunk long, wave int, levels binary, counts binary")
+
+
+def log_prob(w: np.ndarray, p: np.ndarray, total: dict) -> np.ndarray:
+    """log10 probabilities of the tokens of texts that follow one another, from
+    the levels of words and pairs."""
+    cw, cp = SPREAD[w], SPREAD[p]
     before = np.concatenate([cw[-1:], cw[:-1]])  # the end stands before the first word
     uni = (cw + ALPHA) / (total["mass"] + ALPHA * (total["distinct"] + 1))
     bi = np.where(cp > 0, cp / np.maximum(np.maximum(before, cp), 1.0), 0.0)
     known = before > 0
-    return float(np.log10(np.where(known, MIX * bi + (1 - MIX) * uni, uni)).sum())
+    return np.log10(np.where(known, MIX * bi + (1 - MIX) * uni, uni))
 
 
 def score(docs: DataFrame, model: DataFrame, total: dict, head: int = HEAD,
@@ -269,72 +416,49 @@ def score(docs: DataFrame, model: DataFrame, total: dict, head: int = HEAD,
     (doc_id, held_out, text)."""
     spark = docs.sparkSession
     ship(spark)
-    kind = docs.schema["doc_id"].dataType
-    rows = docs.select("doc_id", "held_out", "text", F.lit(None).cast("binary").alias("levels"))
-    groups = waves(model, wave)
-    for w in groups[:-1]:  # the last wave is met while scoring
-        shared = hold(model, w)
-        rows = staged(add_levels(rows, shared, total["segments"]), "lm_levels")
-        shared.destroy()  # one wave at a time, on the driver too
-    last = hold(model, groups[-1] if groups else [])
-    exact = model.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
-        F.col("x.words").alias("word"), F.col("x.counts").alias("count"))
-    top = exact.orderBy(F.desc("count"), "word").limit(head).toArrow()  # at most ``head`` pairs
-    words, times = top.column("word").to_numpy(), top.column("count").to_numpy()
-    order = np.argsort(words)
-    shared = spark.sparkContext.broadcast((words[order], times[order]))
+    kind, segments = docs.schema["doc_id"].dataType.simpleString(), total["segments"]
+    # As many waves as tasks of a shuffle at least, if there are as many segments.
+    size = model.agg(F.sum("size")).first()[0] or 0
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = waves(model, max(1, min(wave, size // tasks)))
+    starts = [0, *(g[0] for g in groups[1:])]
+    known = spark.sparkContext.broadcast(most_frequent(model, head))
+    texts = settled(chunked(docs), "lm_texts")
+    told = settled(answer(ask(texts, known, starts, segments), model, starts, segments), "lm_levels")
     floor = ALPHA, total["tokens"] + ALPHA * (total["distinct"] + 1)
 
-    def run(batches):
-        from pyspark import TaskContext
-        known, counts = shared.value
-        uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out = {n: [] for n in ("n_tokens", "head_known", "head_sum", "score", "tail", "times")}
-                toks = [tokens(t) for t in part.column("text").to_pylist()]
-                levels = levels_of(toks, last.value, total["segments"],
-                                   part.column("levels").to_pylist())
-                for tok, lv in zip(toks, levels):
-                    t, n = np.unique(tok.view(np.int64), return_counts=True)
-                    spot = np.searchsorted(known, t)
-                    spot[spot == len(known)] = 0
-                    hit = known[spot] == t if len(known) else np.zeros(len(t), dtype=bool)
-                    c = counts[spot[hit]] if len(known) else np.zeros(0)
-                    out["n_tokens"].append(int(n.sum()))
-                    out["head_known"].append(int(n[hit].sum()))
-                    out["head_sum"].append(float((n[hit] * np.log10((c + floor[0]) / floor[1])).sum()))
-                    out["score"].append(log_prob(lv, total))
-                    out["tail"].append(t[~hit])
-                    out["times"].append(n[~hit])
-                ids = np.arange(uid, uid + part.num_rows)
-                uid += part.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), part.column("doc_id"), part.column("held_out"),
-                     pa.array(out["n_tokens"], pa.int64()), pa.array(out["head_known"], pa.int64()),
-                     pa.array(out["head_sum"], pa.float64()), pa.array(out["score"], pa.float64()),
-                     pa.array(out["tail"], pa.list_(pa.int64())),
-                     pa.array(out["times"], pa.list_(pa.int64()))],
-                    names=["uid", "doc_id", "held_out", *out])
-
-    part = staged(rows.mapInArrow(
-        run, f"uid long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, "
-             "head_known long, head_sum double, score double, tail array<long>, times array<long>"),
-        "lm_scored")
-    # The tail: no word here is more frequent than the last of the head.
-    tail = part.select("uid", F.explode(F.arrays_zip("tail", "times")).alias("x")).select(
-        "uid", F.col("x.tail").alias("word"), F.col("x.times").alias("times"))
-    counts = tail.join(exact, "word", "left")
-    c = F.coalesce(F.col("count"), F.lit(0))
-    sums = counts.groupBy("uid").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("tail_known"),
-        F.sum(F.col("times") * F.log10((c + F.lit(floor[0])) / F.lit(floor[1]))).alias("tail_sum"))
-    return part.drop("tail", "times").join(sums, "uid", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(total["tokens"]).cast("long").alias("train_tokens"),
-        (F.col("head_sum") + F.coalesce("tail_sum", F.lit(0.0))).alias("base_score"), "score")
+    def run(key, left, right):
+        ids, outs, sizes, blob = (left.column(c)[0] for c in ("ids", "outs", "sizes", "texts"))
+        toks = unpacked(sizes.as_py(), blob.as_py())
+        ends = np.cumsum([len(t) for t in toks])
+        toks = np.concatenate(toks)
+        words, at = np.unique(toks, return_inverse=True)
+        grams, pair_at = np.unique(pairs(toks), return_inverse=True)
+        word_levels, counts = np.zeros(len(words), np.uint8), np.zeros(len(words), np.int64)
+        pair_levels = np.zeros(len(grams), np.uint8)
+        hit, spot = find(words, known.value[0])
+        counts[hit], word_levels[hit] = known.value[1][spot], known.value[2][spot]
+        tail = np.flatnonzero(~hit)
+        tail_of, grams_of = of_waves(words[tail], starts, segments), of_waves(grams, starts, segments)
+        for k, lv, n in zip(*(right.column(c).to_pylist() for c in ("wave", "levels", "counts"))):
+            w, p, lv = tail[tail_of[k]], grams_of[k], np.frombuffer(lv, np.uint8)
+            word_levels[w], pair_levels[p] = lv[:len(w)], lv[len(w):]
+            counts[w] = np.frombuffer(n, np.int64)
+        base = np.log10((counts + floor[0]) / floor[1])[at]
+        fits = log_prob(word_levels[at], pair_levels[pair_at], total)
+        begins = np.concatenate([[0], ends[:-1]])
+        sums = [[float(x[a:b].sum()) for a, b in zip(begins, ends)] for x in (base, fits)]
+        return pa.table({
+            "doc_id": ids.values, "held_out": outs.values,
+            "n_tokens": pa.array(ends - begins, pa.int64()),
+            "n_known": pa.array(np.add.reduceat((counts > 0)[at].astype(np.int64), begins), pa.int64()),
+            "train_tokens": pa.array(np.full(len(ends), total["tokens"]), pa.int64()),
+            "base_score": pa.array(sums[0], pa.float64()), "score": pa.array(sums[1], pa.float64())})
+
+    out = texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+             "base_score double, score double")
+    return settled(out, "lm_scored")
 
 
 def op9_lm_score(spark, sf_dir):
